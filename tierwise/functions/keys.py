@@ -51,8 +51,20 @@ def dense_key_map(df: DataFrame, keys: list[str], sk: str, offset: int | Column
 
 def with_dense_key(df: DataFrame, keys: list[str], sk: str,
                    num_partitions: int | None = None) -> DataFrame:
-    """Prepend ``sk`` to ``df`` (unique on ``keys``); NULL keys get a key too."""
+    """Prepend ``sk`` to ``df`` (unique on ``keys``); NULL keys get a key too.
+
+    For a single-column key the join back is a plain equi-join on the key,
+    so ``df`` keeps the hash partitioning it already has on that key (for a
+    deduplicated dimension: no extra shuffle of the wide rows). A NULL key
+    sorts first and therefore always holds rank 1.
+    """
+    renamed = {k: f"_key_{k}" for k in keys}
     key_map = dense_key_map(df, keys, sk, num_partitions=num_partitions)
-    cond = [df[k].eqNullSafe(key_map[k]) for k in keys]
-    joined = df.join(key_map, cond, "inner")
-    return joined.select(key_map[sk], *[df[c] for c in df.columns])
+    key_map = key_map.select(*[F.col(k).alias(renamed[k]) for k in keys], sk)
+    if len(keys) == 1:
+        (k,) = keys
+        joined = df.join(key_map, F.col(k) == F.col(renamed[k]), "left")
+        sk_col = F.when(F.col(k).isNull(), F.lit(1).cast("bigint")).otherwise(F.col(sk))
+        return joined.select(sk_col.alias(sk), *df.columns)
+    cond = [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+    return df.join(key_map, cond, "inner").select(sk, *df.columns)

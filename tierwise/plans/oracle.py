@@ -154,3 +154,157 @@ SELECT data_issue, count(*) AS row_count FROM labelled_products GROUP BY data_is
 SQL["silver_customers"] = with_(_customers(False)) + "SELECT * FROM silver_customers"
 
 SQL["silver_products"] = with_(_products(False)) + "SELECT * FROM silver_products"
+
+
+# ---------------------------------------------------------------- gold
+
+def _gold(dirty_customers: bool = False) -> str:
+    return with_(DEDUP_SALES, _customers(dirty_customers), _products(False), """
+dim_customer AS (
+  SELECT row_number() OVER (ORDER BY customer_id NULLS FIRST) AS customer_sk,
+         customer_id, name, email, region, segment, country_code, updated_at
+  FROM silver_customers),
+dim_product AS (
+  SELECT row_number() OVER (ORDER BY product_id NULLS FIRST) AS product_sk,
+         product_id, name, category, brand, unit_cost
+  FROM silver_products),
+dim_channel AS (
+  SELECT row_number() OVER (ORDER BY channel NULLS FIRST) AS channel_sk, channel
+  FROM (SELECT DISTINCT channel FROM silver_sales) t),
+spine AS (
+  SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE)
+         AS full_date
+  FROM silver_sales),
+dim_date AS (
+  SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_sk, full_date,
+         CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+         CAST(month(full_date) AS INTEGER) AS month, CAST(day(full_date) AS INTEGER) AS day,
+         strftime(full_date, '%A') AS day_name, strftime(full_date, '%B') AS month_name,
+         CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
+         CASE WHEN strftime(full_date, '%A') IN ('Saturday', 'Sunday') THEN 'Weekend'
+              ELSE 'Weekday' END AS day_type
+  FROM spine),
+fact_sales AS (
+  SELECT s.order_id, s.line_no, c.customer_sk, p.product_sk, ch.channel_sk,
+         CAST(strftime(s.order_date, '%Y%m%d') AS INTEGER) AS date_sk,
+         s.customer_id, s.product_id, s.channel, s.order_date, s.quantity, s.unit_price,
+         s.amount, s.discount_pct, s.amount - s.quantity * p.unit_cost AS gross_profit
+  FROM silver_sales s
+  LEFT JOIN dim_customer c ON s.customer_id = c.customer_id
+  LEFT JOIN dim_product p ON s.product_id = p.product_id
+  LEFT JOIN dim_channel ch ON s.channel = ch.channel)""")
+
+
+def money(expr: str) -> str:
+    """Exact sum of a double money column, DECIMAL(38,2)."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+
+
+def cents_sum(expr: str) -> str:
+    return f"CAST(sum(CAST({expr} AS DECIMAL(18,2)) * 100) AS BIGINT)"
+
+
+def from_cents(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2))"
+
+
+def rounded(num: str, den: str, scale: int) -> str:
+    """round(num/den*scale), half away from zero, with integer arithmetic."""
+    return (f"(CASE WHEN ({den}) = 0 THEN NULL ELSE sign({num}) * sign({den}) * "
+            f"((abs({num}) * {2 * scale} + abs({den})) // (abs({den}) * 2)) END)")
+
+
+def avg_money(sum_cents: str, n: str) -> str:
+    return from_cents(rounded(sum_cents, n, 1))
+
+
+def pct(part: str, whole: str) -> str:
+    return f"CAST(CAST({rounded(part, whole, 1000)} AS DECIMAL(38,0)) * 0.1 AS DECIMAL(38,1))"
+
+
+STAR_GROUPS = ("d.year, d.quarter, d.month, d.month_name, d.day_type, p.category, p.brand, "
+               "c.region, c.segment, c.country_code, ch.channel")
+
+KPI_STAR = f"""
+kpi AS (
+  SELECT {STAR_GROUPS},
+         count(DISTINCT f.order_id) AS order_count,
+         CAST(sum(f.quantity) AS BIGINT) AS units_sold,
+         {money('f.amount')} AS revenue,
+         {avg_money(cents_sum('f.amount'), 'count(f.amount)')} AS avg_order_value,
+         {money('f.gross_profit')} AS gross_profit,
+         {pct(cents_sum('f.gross_profit'), cents_sum('f.amount'))} AS margin_pct
+  FROM fact_sales f
+  JOIN dim_date d ON f.date_sk = d.date_sk
+  JOIN dim_product p ON f.product_sk = p.product_sk
+  JOIN dim_customer c ON f.customer_sk = c.customer_sk
+  JOIN dim_channel ch ON f.channel_sk = ch.channel_sk
+  GROUP BY {STAR_GROUPS})"""
+
+SQL["dim_date_data"] = _gold() + "SELECT * FROM dim_date"
+SQL["dim_date_range"] = _gold() + \
+    "SELECT * FROM dim_date WHERE full_date BETWEEN DATE '1998-01-15' AND DATE '1998-01-18'"
+SQL["dim_customer"] = _gold() + "SELECT * FROM dim_customer"
+SQL["dim_product"] = _gold() + "SELECT * FROM dim_product"
+SQL["dim_channel"] = _gold() + "SELECT * FROM dim_channel"
+SQL["fact_sales"] = _gold() + "SELECT * FROM fact_sales"
+SQL["kpi_star"] = _gold().rstrip() + "," + KPI_STAR + "\nSELECT * FROM kpi"
+SQL["kpi_top"] = _gold().rstrip() + "," + KPI_STAR + """
+SELECT * FROM kpi
+ORDER BY revenue DESC, year NULLS FIRST, quarter NULLS FIRST, month NULLS FIRST,
+         month_name NULLS FIRST, day_type NULLS FIRST, category NULLS FIRST, brand NULLS FIRST,
+         region NULLS FIRST, segment NULLS FIRST, country_code NULLS FIRST, channel NULLS FIRST
+LIMIT 10"""
+
+SQL["kpi_time"] = _gold() + f"""
+SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(quarter(order_date) AS INTEGER) AS quarter,
+       CAST(month(order_date) AS INTEGER) AS month,
+       CAST(GROUPING(year(order_date), quarter(order_date), month(order_date)) AS INTEGER)
+         AS grouping_level,
+       count(DISTINCT order_id) AS order_count, CAST(sum(quantity) AS BIGINT) AS units_sold,
+       {money('amount')} AS revenue
+FROM fact_sales
+GROUP BY ROLLUP (year(order_date), quarter(order_date), month(order_date))"""
+
+SQL["kpi_channel"] = _gold() + f"""
+SELECT channel, count(DISTINCT order_id) AS order_count, count(*) AS line_count,
+       {money('amount')} AS revenue
+FROM fact_sales GROUP BY channel"""
+
+SQL["kpi_daytype"] = _gold() + f"""
+SELECT CASE WHEN dayofweek(order_date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       count(DISTINCT order_id) AS order_count, CAST(sum(quantity) AS BIGINT) AS units_sold,
+       {money('amount')} AS revenue
+FROM fact_sales GROUP BY 1"""
+
+SQL["kpi_segment"] = _gold() + f"""
+SELECT c.segment, count(DISTINCT f.order_id) AS order_count, {money('f.amount')} AS revenue,
+       {avg_money(cents_sum('f.amount'), 'count(DISTINCT f.order_id)')} AS avg_order_value
+FROM fact_sales f JOIN dim_customer c ON f.customer_sk = c.customer_sk
+GROUP BY c.segment"""
+
+SQL["kpi_category"] = _gold() + f"""
+SELECT p.category, {money('f.amount')} AS revenue, {money('f.gross_profit')} AS gross_profit,
+       {pct(cents_sum('f.gross_profit'), cents_sum('f.amount'))} AS margin_pct
+FROM fact_sales f JOIN dim_product p ON f.product_sk = p.product_sk
+GROUP BY p.category"""
+
+SQL["kpi_geo"] = _gold() + f"""
+SELECT c.region, c.country_code,
+       CAST(GROUPING(c.region, c.country_code) AS INTEGER) AS grouping_level,
+       count(*) AS line_count, {money('f.amount')} AS revenue
+FROM fact_sales f JOIN dim_customer c ON f.customer_sk = c.customer_sk
+GROUP BY ROLLUP (c.region, c.country_code)"""
+
+SQL["kpi_dropped"] = _gold(dirty_customers=True) + f"""
+SELECT count(*) FILTER (WHERE dropped) AS dropped_rows,
+       COALESCE({money('CASE WHEN dropped THEN amount END')}, CAST(0 AS DECIMAL(38,2)))
+         AS dropped_revenue,
+       count(*) FILTER (WHERE customer_sk IS NULL) AS missing_customer,
+       count(*) FILTER (WHERE product_sk IS NULL) AS missing_product,
+       count(*) FILTER (WHERE channel_sk IS NULL) AS missing_channel,
+       count(*) FILTER (WHERE has_date IS NULL) AS missing_date
+FROM (SELECT f.*, d.date_sk IS NOT NULL AS has_date,
+             (f.customer_sk IS NULL OR f.product_sk IS NULL OR f.channel_sk IS NULL
+              OR d.date_sk IS NULL) AS dropped
+      FROM fact_sales f LEFT JOIN dim_date d ON f.date_sk = d.date_sk) t"""

@@ -119,3 +119,113 @@ def q_silver_customers(spark, d):
 @register("silver_products")
 def q_silver_products(spark, d):
     return silver_products(spark, d)
+
+
+# ------------------------------------------------------------------ gold
+
+from tierwise.operators import dims as dm  # noqa: E402
+from tierwise.operators import facts as fc  # noqa: E402
+from tierwise.operators import kpis as kp  # noqa: E402
+
+
+class Gold:
+    """Lazy gold-layer plans for one input directory (nothing is computed here)."""
+
+    def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False):
+        self.silver_sales = silver_sales(spark, d)
+        self.dim_customer = dm.dim_customer(silver_customers(spark, d, dirty=dirty_customers))
+        self.dim_product = dm.dim_product(silver_products(spark, d))
+        self.dim_channel = dm.dim_from_values(self.silver_sales, "channel", "channel_sk")
+        self.dim_date = dm.dim_date(dm.date_spine_of(self.silver_sales, "order_date"))
+        self.fact = fc.fact_sales(self.silver_sales, self.dim_customer, self.dim_product,
+                                  self.dim_channel)
+
+    def star(self) -> DataFrame:
+        return kp.star(self.fact, self.dim_date, self.dim_product, self.dim_customer,
+                       self.dim_channel)
+
+
+# The reference's calendar and its preview window; the preview
+# window used on the driver's data lies inside its order dates.
+REF_CALENDAR = ("2023-01-01", "2025-12-31")
+DATA_PREVIEW = ("1998-01-15", "1998-01-18")
+
+
+@register("dim_date_data")
+def q_dim_date_data(spark, d):
+    return Gold(spark, d).dim_date
+
+
+@register("dim_date_range")
+def q_dim_date_range(spark, d):
+    lo, hi = DATA_PREVIEW
+    return Gold(spark, d).dim_date.where(F.col("full_date").between(lo, hi))
+
+
+@register("dim_customer")
+def q_dim_customer(spark, d):
+    return Gold(spark, d).dim_customer
+
+
+@register("dim_product")
+def q_dim_product(spark, d):
+    return Gold(spark, d).dim_product
+
+
+@register("dim_channel")
+def q_dim_channel(spark, d):
+    return Gold(spark, d).dim_channel
+
+
+@register("fact_sales")
+def q_fact_sales(spark, d):
+    return Gold(spark, d).fact
+
+
+@register("kpi_star")
+def q_kpi_star(spark, d):
+    return kp.kpi_star(Gold(spark, d).star())
+
+
+@register("kpi_top")
+def q_kpi_top(spark, d):
+    return kp.kpi_top(kp.kpi_star(Gold(spark, d).star()), 10)
+
+
+@register("kpi_time")
+def q_kpi_time(spark, d):
+    return kp.kpi_time(Gold(spark, d).fact)
+
+
+@register("kpi_channel")
+def q_kpi_channel(spark, d):
+    return kp.kpi_channel(Gold(spark, d).fact)
+
+
+@register("kpi_daytype")
+def q_kpi_daytype(spark, d):
+    return kp.kpi_daytype(Gold(spark, d).fact)
+
+
+@register("kpi_segment")
+def q_kpi_segment(spark, d):
+    g = Gold(spark, d)
+    return kp.kpi_segment(g.fact, g.dim_customer)
+
+
+@register("kpi_category")
+def q_kpi_category(spark, d):
+    g = Gold(spark, d)
+    return kp.kpi_category(g.fact, g.dim_product)
+
+
+@register("kpi_geo")
+def q_kpi_geo(spark, d):
+    g = Gold(spark, d)
+    return kp.kpi_geo(g.fact, g.dim_customer)
+
+
+@register("kpi_dropped")
+def q_kpi_dropped(spark, d):
+    g = Gold(spark, d, dirty_customers=True)
+    return kp.kpi_dropped(g.fact, g.dim_date)
