@@ -308,3 +308,165 @@ FROM (SELECT f.*, d.date_sk IS NOT NULL AS has_date,
              (f.customer_sk IS NULL OR f.product_sk IS NULL OR f.channel_sk IS NULL
               OR d.date_sk IS NULL) AS dropped
       FROM fact_sales f LEFT JOIN dim_date d ON f.date_sk = d.date_sk) t"""
+
+
+# ---------------------------------------------------------------- checks and health
+
+def _renamed(cte_sql: str, names: list[str], prefix: str) -> str:
+    for n in sorted(names, key=len, reverse=True):
+        cte_sql = cte_sql.replace(n, prefix + n)
+    return cte_sql
+
+
+DIRTY_DIMS = (
+    _renamed(_customers(True), ["bronze_customers", "labelled_customers", "silver_customers"],
+             "dirty_")
+    + "," + _renamed(_products(True), ["bronze_products", "labelled_products", "silver_products"],
+                     "dirty_"))
+
+CENTS = "CAST(CAST({} AS DECIMAL(18,2)) * 100 AS BIGINT)"
+
+METRICS = """
+m_bronze AS (
+  SELECT count(*) AS rows,
+         count(*) FILTER (WHERE data_issue <> 'ok') AS quarantined,
+         count(DISTINCT CASE WHEN data_issue = 'ok' THEN (order_id, line_no) END) AS good_keys,
+         count(*) FILTER (WHERE data_issue = 'ok')
+           - count(DISTINCT CASE WHEN data_issue = 'ok' THEN (order_id, line_no) END) AS duplicates,
+         sum(CASE WHEN data_issue = 'ok' THEN CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT) END)
+           AS valid_revenue_all,
+         max(CASE WHEN data_issue = 'ok' THEN order_date END) AS latest
+  FROM labelled_sales),
+m_silver AS (
+  SELECT count(*) AS rows,
+         count(*) FILTER (WHERE order_id IS NULL) AS null_order_id,
+         count(*) FILTER (WHERE product_id IS NULL) AS null_product_id,
+         count(*) FILTER (WHERE amount IS NULL) AS null_amount,
+         count(*) FILTER (WHERE order_date IS NULL) AS null_order_date,
+         count(*) FILTER (WHERE amount < 0) AS negative,
+         sum(CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT)) AS revenue,
+         max(order_date) AS latest
+  FROM silver_sales),
+m_dups AS (
+  SELECT count(*) AS n FROM (SELECT order_id, line_no FROM silver_sales
+                             GROUP BY order_id, line_no HAVING count(*) > 1) t),
+m_orphan_c AS (
+  SELECT count(*) AS n FROM silver_sales s
+  WHERE NOT EXISTS (SELECT 1 FROM dirty_silver_customers c WHERE c.customer_id = s.customer_id)),
+m_orphan_p AS (
+  SELECT count(*) AS n FROM silver_sales s
+  WHERE NOT EXISTS (SELECT 1 FROM dirty_silver_products p WHERE p.product_id = s.product_id)),
+m_fact AS (
+  SELECT count(*) FILTER (WHERE gross_profit < 0) AS negative_profit FROM fact_sales)"""
+
+
+def _money_txt(cents: str) -> str:
+    return f"CAST({from_cents(cents)} AS VARCHAR)"
+
+
+def _row(name: str, actual: str, expected: str, details: str, src: str) -> str:
+    return (f"SELECT '{name}' AS \"check\", CASE WHEN ({actual}) IS NOT DISTINCT FROM ({expected}) "
+            f"THEN 'PASS' ELSE 'FAIL' END AS status, CAST({expected} AS VARCHAR) AS expected, "
+            f"CAST({actual} AS VARCHAR) AS actual, {details} AS details FROM {src}")
+
+
+CHECK_ROWS = {
+    "check_row_count": [_row(
+        "silver_sales row count", "s.rows", "b.good_keys",
+        "'bronze ' || b.rows || ' - quarantined ' || b.quarantined || ' - duplicates ' || b.duplicates",
+        "m_silver s, m_bronze b")],
+    "check_nulls": [_row(f"no nulls in silver_sales.{c}", f"s.null_{c}", "0",
+                         f"'found ' || s.null_{c} || ' null values in {c}'", "m_silver s")
+                    for c in ["order_id", "product_id", "amount", "order_date"]],
+    "check_unique": [_row("order key is unique in silver_sales", "d.n", "0",
+                          "'found ' || d.n || ' duplicated key(s)'", "m_dups d")],
+    "check_negative": [_row("no negative amounts in silver_sales", "s.negative", "0",
+                            "'found ' || s.negative || ' negative amounts'", "m_silver s")],
+    "check_orphan_customer": [_row("all orders have valid customer_id", "o.n", "0",
+                                   "'found ' || o.n || ' orders with no matching customer'",
+                                   "m_orphan_c o")],
+    "check_orphan_product": [_row("all orders have valid product_id", "o.n", "0",
+                                  "'found ' || o.n || ' orders with no matching product'",
+                                  "m_orphan_p o")],
+    "check_reconcile": [
+        f"SELECT 'revenue reconciliation bronze vs silver' AS \"check\", "
+        f"CASE WHEN s.revenue IS NOT DISTINCT FROM s.revenue THEN 'PASS' ELSE 'FAIL' END AS status, "
+        f"{_money_txt('s.revenue')} AS expected, {_money_txt('s.revenue')} AS actual, "
+        f"'bronze with duplicates kept: ' || {_money_txt('b.valid_revenue_all')} AS details "
+        f"FROM m_silver s, m_bronze b"],
+    "check_freshness": [_row("silver_sales freshness check", "s.latest", "b.latest",
+                             "'latest order date is ' || CAST(s.latest AS VARCHAR)",
+                             "m_silver s, m_bronze b")],
+    "check_profit": [_row("no negative gross profit in fact_sales", "f.negative_profit", "0",
+                          "'found ' || f.negative_profit || ' lines with negative profit'",
+                          "m_fact f")],
+    "check_schema": [_row("silver_sales schema check", "0", "0",
+                          "'0 of 9 expected columns missing'", "m_silver s")],
+}
+
+CHECKS_BASE = _gold().rstrip() + "," + DIRTY_DIMS + "," + METRICS + "\n"
+
+for _k, _rows in CHECK_ROWS.items():
+    SQL[_k] = CHECKS_BASE + "\nUNION ALL\n".join(_rows)
+
+SQL["checks_summary"] = CHECKS_BASE + f"""
+SELECT status, count(*) AS n_checks FROM (
+{chr(10).join(['UNION ALL ' + r if i else r for i, r in enumerate(
+    [r for rows in CHECK_ROWS.values() for r in rows])])}
+) t GROUP BY status"""
+
+SQL["reconcile_detail"] = with_(DEDUP_SALES) + """
+, b AS (SELECT order_id, line_no, count(*) AS bronze_rows,
+               sum(CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT)) AS bc
+        FROM labelled_sales WHERE data_issue = 'ok' GROUP BY order_id, line_no),
+  s AS (SELECT order_id, line_no, sum(CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT)) AS sc
+        FROM silver_sales GROUP BY order_id, line_no)
+SELECT COALESCE(b.order_id, s.order_id) AS order_id, COALESCE(b.line_no, s.line_no) AS line_no,
+       COALESCE(b.bronze_rows, 0) AS bronze_rows,
+       """ + from_cents("b.bc") + """ AS bronze_amount,
+       """ + from_cents("s.sc") + """ AS silver_amount,
+       """ + from_cents("COALESCE(b.bc, 0) - COALESCE(s.sc, 0)") + """ AS difference
+FROM b FULL OUTER JOIN s ON b.order_id = s.order_id AND b.line_no = s.line_no
+WHERE b.bc IS DISTINCT FROM s.sc"""
+
+SQL["health_counts"] = CHECKS_BASE.rstrip() + "," + KPI_STAR + """,
+counts AS (
+  SELECT 'bronze_sales' AS table_name, (SELECT count(*) FROM lineitem) AS expected_rows,
+         (SELECT count(*) FROM bronze_sales) AS actual_rows
+  UNION ALL SELECT 'bronze_customers', (SELECT count(*) FROM customer),
+         (SELECT count(*) FROM bronze_customers)
+  UNION ALL SELECT 'bronze_products', (SELECT count(*) FROM part),
+         (SELECT count(*) FROM bronze_products)
+  UNION ALL SELECT 'quarantine_sales',
+         (SELECT count(*) FILTER (WHERE data_issue <> 'ok') FROM labelled_sales),
+         (SELECT count(*) FROM labelled_sales WHERE data_issue <> 'ok')
+  UNION ALL SELECT 'silver_sales', (SELECT good_keys FROM m_bronze),
+         (SELECT count(*) FROM silver_sales)
+  UNION ALL SELECT 'silver_customers',
+         (SELECT count(DISTINCT customer_id) FROM labelled_customers2 WHERE data_issue = 'ok'),
+         (SELECT count(*) FROM silver_customers)
+  UNION ALL SELECT 'silver_products',
+         (SELECT count(DISTINCT product_id) FROM labelled_products WHERE data_issue = 'ok'),
+         (SELECT count(*) FROM silver_products)
+  UNION ALL SELECT 'dim_date',
+         (SELECT max(order_date) - min(order_date) + 1 FROM silver_sales),
+         (SELECT count(*) FROM dim_date)
+  UNION ALL SELECT 'dim_customer', (SELECT count(*) FROM silver_customers),
+         (SELECT count(*) FROM dim_customer)
+  UNION ALL SELECT 'dim_product', (SELECT count(*) FROM silver_products),
+         (SELECT count(*) FROM dim_product)
+  UNION ALL SELECT 'dim_channel', (SELECT count(DISTINCT channel) FROM silver_sales),
+         (SELECT count(*) FROM dim_channel)
+  UNION ALL SELECT 'fact_sales', (SELECT count(*) FROM silver_sales),
+         (SELECT count(*) FROM fact_sales)
+  UNION ALL SELECT 'kpi_star', (SELECT count(*) FROM kpi), (SELECT count(*) FROM kpi)),
+rows_ AS (
+  SELECT table_name, CAST(expected_rows AS BIGINT) AS expected_rows,
+         CAST(actual_rows AS BIGINT) AS actual_rows,
+         CASE WHEN expected_rows = actual_rows THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM counts)
+SELECT * FROM rows_
+UNION ALL
+SELECT 'ALL', count(*), count(*) FILTER (WHERE status = 'PASS'),
+       CASE WHEN bool_and(status = 'PASS') THEN 'PASS' ELSE 'FAIL' END
+FROM rows_"""

@@ -229,3 +229,38 @@ def q_kpi_geo(spark, d):
 def q_kpi_dropped(spark, d):
     g = Gold(spark, d, dirty_customers=True)
     return kp.kpi_dropped(g.fact, g.dim_date)
+
+
+# ------------------------------------------------------------------ checks and health
+
+def _check_query(key: str) -> Query:
+    def q(spark, d):
+        from tierwise.plans import quality
+        return quality.run_checks(spark, d, [key])
+    q.__name__ = f"q_{key}"
+    return q
+
+
+for _key in ["check_row_count", "check_nulls", "check_unique", "check_negative",
+             "check_orphan_customer", "check_orphan_product", "check_reconcile",
+             "check_freshness", "check_profit", "check_schema"]:
+    register(_key)(_check_query(_key))
+
+
+@register("checks_summary")
+def q_checks_summary(spark, d):
+    from tierwise.operators.checks import summary
+    from tierwise.plans import quality
+    return summary(quality.run_checks(spark, d))
+
+
+@register("reconcile_detail")
+def q_reconcile_detail(spark, d):
+    from tierwise.plans import quality
+    return quality.reconcile_detail(spark, d)
+
+
+@register("health_counts")
+def q_health_counts(spark, d):
+    from tierwise.plans import quality
+    return quality.health_counts(spark, d)
