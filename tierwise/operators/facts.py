@@ -13,7 +13,7 @@ FACT_COLS = ["order_id", "line_no", "customer_sk", "product_sk", "channel_sk", "
 
 
 def fact_sales(silver_sales: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_channel: DataFrame) -> DataFrame:
+               dim_channel: DataFrame, extra_cols: list[str] | None = None) -> DataFrame:
     """LEFT joins on the natural keys keep every order line (orphans get NULL
     keys and a NULL ``gross_profit``). Join strategy is left to Spark: the
     channel dimension is tiny and is broadcast by size; customer and product
@@ -29,5 +29,7 @@ def fact_sales(silver_sales: DataFrame, dim_customer: DataFrame, dim_product: Da
             .join(dim_product.select("product_id", "product_sk", "unit_cost"), "product_id", "left")
             .join(dim_channel.select("channel", "channel_sk"), "channel", "left"))
     gross_profit = (F.col("amount") - F.col("quantity") * F.col("unit_cost")).alias("gross_profit")
-    cols = [gross_profit if c == "gross_profit" else F.col(c) for c in FACT_COLS]
+    present = set(wide.columns) | {"gross_profit"}
+    cols = [gross_profit if c == "gross_profit" else F.col(c) for c in FACT_COLS if c in present]
+    cols += [F.col(c) for c in (extra_cols or [])]
     return wide.select(*cols)

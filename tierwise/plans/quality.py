@@ -8,6 +8,7 @@ number of distinct business keys among the valid bronze rows
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,46 +27,76 @@ EXPECTED_SILVER_COLUMNS = ["order_id", "customer_id", "product_id", "order_date"
                            "unit_price", "amount", "channel", "discount_pct"]
 CRITICAL_COLUMNS = ["order_id", "product_id", "amount", "order_date"]
 
-OK = F.col(ISSUE) == "ok"
+def _ok() -> Column:
+    return F.col(ISSUE) == "ok"
 
 
 def _good_key() -> Column:
-    return F.when(OK, F.struct(*[F.col(k) for k in rg.SALES.keys]))
-
-
-def _table_builders(spark: SparkSession, d: str) -> dict[str, Callable[[], tuple]]:
+    return F.when(_ok(), F.struct(*[F.col(k) for k in rg.SALES.keys]))
+
+
+class Frames:
+    """The DataFrames a check suite reads: lazy plans or written tables."""
+
+    def __init__(self, labelled_sales, silver_sales, bronze_dedup, customers_ref, products_ref,
+                 fact, keys):
+        self.labelled_sales = labelled_sales      # callables returning DataFrames
+        self.silver_sales = silver_sales
+        self.bronze_dedup = bronze_dedup
+        self.customers_ref = customers_ref
+        self.products_ref = products_ref
+        self.fact = fact
+        self.keys = keys
+
+
+def registry_frames(spark: SparkSession, d: str) -> Frames:
+    """Frames over the registry's plans. Orphan checks use the dirty-customer
+    and dirty-product variants so that they bite."""
+    return Frames(
+        labelled_sales=lambda: rg.labelled_sales(spark, d),
+        silver_sales=lambda: rg.silver_sales(spark, d),
+        bronze_dedup=lambda: sv.silver(rg.SALES, rg.bronze_sales(spark, d)),
+        customers_ref=lambda: rg.silver_customers(spark, d, dirty=True),
+        products_ref=lambda: rg.silver_products(spark, d, dirty=True),
+        fact=lambda: rg.Gold(spark, d).fact,
+        keys=rg.SALES.keys,
+    )
+
+
+def _table_builders(fr: Frames) -> dict[str, Callable[[], tuple]]:
     """Metric groups by table; each is built only when a selected check needs it."""
-    silver = rg.silver_sales(spark, d)
-    missing = len([c for c in EXPECTED_SILVER_COLUMNS if c not in silver.columns])
-    return {
-        "bronze": lambda: (rg.labelled_sales(spark, d), dict(
-            rows=F.count(F.lit(1)),
-            quarantined=F.count_if(~OK),
-            good_keys=F.count_distinct(_good_key()),
-            duplicates=F.count_if(OK) - F.count_distinct(_good_key()),
-            valid_revenue_all=F.sum(F.when(OK, cents("amount"))),
-            latest=F.unix_date(F.max(F.when(OK, F.col("order_date")))),
-        )),
-        "bronze_dedup": lambda: (sv.silver(rg.SALES, rg.bronze_sales(spark, d)), dict(
-            revenue=F.sum(cents("amount")),
-        )),
-        "silver": lambda: (silver, dict(
+    good_key = F.when(_ok(), F.struct(*[F.col(k) for k in fr.keys]))
+
+    def silver():
+        df = fr.silver_sales()
+        missing = len([c for c in EXPECTED_SILVER_COLUMNS if c not in df.columns])
+        return df, dict(
             rows=F.count(F.lit(1)),
             **{f"null_{c}": F.count_if(F.col(c).isNull()) for c in CRITICAL_COLUMNS},
             negative=F.count_if(F.col("amount") < 0),
             revenue=F.sum(cents("amount")),
             latest=F.unix_date(F.max("order_date")),
             missing_columns=F.lit(missing),
+        )
+
+    return {
+        "bronze": lambda: (fr.labelled_sales(), dict(
+            rows=F.count(F.lit(1)),
+            quarantined=F.count_if(~_ok()),
+            good_keys=F.count_distinct(good_key),
+            duplicates=F.count_if(_ok()) - F.count_distinct(good_key),
+            valid_revenue_all=F.sum(F.when(_ok(), cents("amount"))),
+            latest=F.unix_date(F.max(F.when(_ok(), F.col("order_date")))),
         )),
-        "silver_dups": lambda: (ck.duplicate_keys(silver, rg.SALES.keys), dict(
-            n=F.count(F.lit(1)))),
-        "orphan_customers": lambda: (ck.orphans(
-            silver, rg.silver_customers(spark, d, dirty=True), "customer_id"), dict(
+        "bronze_dedup": lambda: (fr.bronze_dedup(), dict(revenue=F.sum(cents("amount")))),
+        "silver": silver,
+        "silver_dups": lambda: (ck.duplicate_keys(fr.silver_sales(), fr.keys), dict(
             n=F.count(F.lit(1)))),
-        "orphan_products": lambda: (ck.orphans(
-            silver, rg.silver_products(spark, d, dirty=True), "product_id"), dict(
-            n=F.count(F.lit(1)))),
-        "fact": lambda: (rg.Gold(spark, d).fact, dict(
+        "orphan_customers": lambda: (ck.orphans(fr.silver_sales(), fr.customers_ref(),
+                                                "customer_id"), dict(n=F.count(F.lit(1)))),
+        "orphan_products": lambda: (ck.orphans(fr.silver_sales(), fr.products_ref(),
+                                               "product_id"), dict(n=F.count(F.lit(1)))),
+        "fact": lambda: (fr.fact(), dict(
             negative_profit=F.count_if(F.col("gross_profit") < 0))),
     }
 
@@ -106,15 +137,19 @@ METRIC_KINDS = {"bronze.valid_revenue_all": "money", "bronze.latest": "date",
 def _tables_of(checks: list[ck.Check]) -> list[str]:
     refs = set()
     for c in checks:
-        for ref in [c.actual, c.expected] + __import__("re").findall(r"\{([^{}]+)\}", c.details):
+        for ref in [c.actual, c.expected] + re.findall(r"\{([^{}]+)\}", c.details):
             if isinstance(ref, str) and "." in ref:
                 refs.add(ref.split(".")[0])
     return sorted(refs)
 
 
 def run_checks(spark: SparkSession, d: str, keys: list[str] | None = None) -> DataFrame:
+    return run_suite(registry_frames(spark, d), keys)
+
+
+def run_suite(frames: Frames, keys: list[str] | None = None) -> DataFrame:
     selected = [c for k in (keys or list(CHECKS)) for c in CHECKS[k]]
-    builders = _table_builders(spark, d)
+    builders = _table_builders(frames)
     metrics = ck.MetricSet()
     for t in _tables_of(selected):
         df, exprs = builders[t]()
@@ -125,7 +160,7 @@ def run_checks(spark: SparkSession, d: str, keys: list[str] | None = None) -> Da
 def reconcile_detail(spark: SparkSession, d: str) -> DataFrame:
     """Keys whose valid bronze total (duplicates kept) differs from silver (C12)."""
     keys = rg.SALES.keys
-    bronze = (rg.labelled_sales(spark, d).where(OK).groupBy(*keys)
+    bronze = (rg.labelled_sales(spark, d).where(_ok()).groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("bronze_rows"), F.sum(cents("amount")).alias("_b")))
     silver = rg.silver_sales(spark, d).groupBy(*keys).agg(F.sum(cents("amount")).alias("_s"))
     joined = bronze.join(silver, keys, "full_outer")
@@ -148,12 +183,12 @@ def health_counts(spark: SparkSession, d: str) -> DataFrame:
     m.add("src_lineitem", td.table(spark, d, "lineitem"), rows=n())
     m.add("src_customer", td.table(spark, d, "customer"), rows=n())
     m.add("src_part", td.table(spark, d, "part"), rows=n())
-    m.add("bronze_sales", rg.labelled_sales(spark, d), rows=n(), bad=F.count_if(~OK),
+    m.add("bronze_sales", rg.labelled_sales(spark, d), rows=n(), bad=F.count_if(~_ok()),
           good_keys=F.count_distinct(_good_key()))
     m.add("bronze_customers", lab_c, rows=n(),
-          good_keys=F.count_distinct(F.when(OK, F.struct("customer_id"))))
+          good_keys=F.count_distinct(F.when(_ok(), F.struct("customer_id"))))
     m.add("bronze_products", lab_p, rows=n(),
-          good_keys=F.count_distinct(F.when(OK, F.struct("product_id"))))
+          good_keys=F.count_distinct(F.when(_ok(), F.struct("product_id"))))
     m.add("quarantine_sales", sv.quarantined(rg.SALES, rg.bronze_sales(spark, d)), rows=n())
     m.add("silver_sales", g.silver_sales, rows=n(),
           days=F.datediff(F.max("order_date"), F.min("order_date")) + 1,

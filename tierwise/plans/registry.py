@@ -129,12 +129,24 @@ from tierwise.operators import kpis as kp  # noqa: E402
 
 
 class Gold:
-    """Lazy gold-layer plans for one input directory (nothing is computed here)."""
-
-    def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False):
-        self.silver_sales = silver_sales(spark, d)
-        self.dim_customer = dm.dim_customer(silver_customers(spark, d, dirty=dirty_customers))
-        self.dim_product = dm.dim_product(silver_products(spark, d))
+    """Gold-layer plans for one input directory.
+
+    Silver order lines and the two keyed dimensions are the pipeline's
+    written tables; here they are cut with ``checkpoint()`` (reliable, in the
+    session's ``spark.checkpoint.dir``) so every later branch -- the fact,
+    the channel and date dimensions, the star joins -- reads them once
+    instead of recomputing bronze -> silver, and the surrogate keys are fixed
+    for the rest of the run. Everything else stays lazy.
+    """
+
+    def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False,
+                 materialize: bool = True):
+        def cut(df: DataFrame) -> DataFrame:
+            return df.checkpoint(eager=True) if materialize else df
+
+        self.silver_sales = cut(silver_sales(spark, d))
+        self.dim_customer = cut(dm.dim_customer(silver_customers(spark, d, dirty=dirty_customers)))
+        self.dim_product = cut(dm.dim_product(silver_products(spark, d)))
         self.dim_channel = dm.dim_from_values(self.silver_sales, "channel", "channel_sk")
         self.dim_date = dm.dim_date(dm.date_spine_of(self.silver_sales, "order_date"))
         self.fact = fc.fact_sales(self.silver_sales, self.dim_customer, self.dim_product,

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files are removed once their DataFrame is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
