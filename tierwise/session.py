@@ -17,6 +17,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
+    # Conservative broadcast threshold: only genuinely small sides (date and
+    # channel dimensions, nation, region) are broadcast by static size; AQE
+    # still switches a join to broadcast when the measured shuffle output is
+    # below it. Dimensions that grow with the data are shuffle-joined.
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     # Checkpoint files are removed once their DataFrame is garbage-collected.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
