@@ -13,7 +13,8 @@ DB = "sample_run"
 @pytest.fixture(scope="module")
 def run(spark, landing):
     src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
-    p = pl.Pipeline(spark, src, database=DB, calendar=("2023-01-01", "2025-12-31"))
+    p = pl.Pipeline(spark, src, database=DB, calendar=("2023-01-01", "2025-12-31"),
+                    fact_grain="day")
     results = p.run()
     return p, results
 
@@ -32,6 +33,24 @@ def test_layer_counts(spark, run):
     assert p.metrics == {"bronze_rows": 9, "good_rows": 7}
 
 
+def test_fact_is_partitioned_by_order_date(spark, run):
+    files = spark.table(f"{DB}.fact_orders").inputFiles()
+    days = {f.split("order_date=")[1].split("/")[0] for f in files}
+    assert days == {"2024-01-15", "2024-01-16", "2024-01-17", "2024-01-18"}
+    pruned = spark.table(f"{DB}.fact_orders").where("order_date = '2024-01-15'")
+    assert "PartitionFilters: [isnotnull(order_date" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 2
+
+
+def test_auto_grain_uses_month_folders_for_small_days(spark, landing):
+    src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
+    p = pl.Pipeline(spark, src, database="sample_month", calendar=("2024-01-01", "2024-01-31"))
+    p.bronze(); p.silver(); p.gold()
+    files = spark.table("sample_month.fact_orders").inputFiles()
+    assert {f.split("order_month=")[1].split("/")[0] for f in files} == {"2024-01-01"}
+    assert spark.table("sample_month.vw_sales_kpis").count() == 6
+
+
 def test_quarantine_labels(spark, run):
     rows = spark.table(f"{DB}.quarantine_orders").select("order_id", "data_issue").collect()
     assert sorted(map(tuple, rows)) == [("ORD006", "missing customer_id"),
