@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tierwise.functions.money import cents, from_cents
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import ISSUE
+from tierwise.session import checkpoint_dir
 from tierwise.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +142,9 @@ class Gold:
 
     def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False,
                  materialize: bool = True):
+        if materialize:
+            checkpoint_dir(spark)  # the session's shared folder (set only if unset, locally)
+
         def cut(df: DataFrame) -> DataFrame:
             return df.checkpoint(eager=True) if materialize else df
 
