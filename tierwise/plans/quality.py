@@ -8,6 +8,7 @@ number of distinct business keys among the valid bronze rows
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from tierwise.operators import kpis as kp
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import ISSUE
 from tierwise.plans import registry as rg
+from tierwise.session import checkpoint_dir
 from tierwise.sources import testdata as td
 
 # The columns the reference's schema check expects in silver orders.
@@ -51,14 +53,25 @@ class Frames:
 
 def registry_frames(spark: SparkSession, d: str) -> Frames:
     """Frames over the registry's plans. Orphan checks use the dirty-customer
-    and dirty-product variants so that they bite."""
+    and dirty-product variants so that they bite.
+
+    Silver is checkpointed once (when a check first needs it) and shared by
+    every silver-side metric and by the fact; the bronze side of the
+    reconciliation is deduplicated again, independently, from bronze.
+    """
+    def _silver() -> DataFrame:
+        checkpoint_dir(spark)
+        return rg.silver_sales(spark, d).checkpoint(eager=True)
+
+    silver = functools.cache(_silver)
+    gold = functools.cache(lambda: rg.Gold(spark, d, silver=silver()))
     return Frames(
         labelled_sales=lambda: rg.labelled_sales(spark, d),
-        silver_sales=lambda: rg.silver_sales(spark, d),
+        silver_sales=silver,
         bronze_dedup=lambda: sv.silver(rg.SALES, rg.bronze_sales(spark, d)),
         customers_ref=lambda: rg.silver_customers(spark, d, dirty=True),
         products_ref=lambda: rg.silver_products(spark, d, dirty=True),
-        fact=lambda: rg.Gold(spark, d).fact,
+        fact=lambda: gold().fact,
         keys=rg.SALES.keys,
     )
 

@@ -141,14 +141,14 @@ class Gold:
     """
 
     def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False,
-                 materialize: bool = True):
+                 materialize: bool = True, silver: DataFrame | None = None):
         if materialize:
             checkpoint_dir(spark)  # the session's shared folder (set only if unset, locally)
 
         def cut(df: DataFrame) -> DataFrame:
             return df.checkpoint(eager=True) if materialize else df
 
-        self.silver_sales = cut(silver_sales(spark, d))
+        self.silver_sales = silver if silver is not None else cut(silver_sales(spark, d))
         self.dim_customer = cut(dm.dim_customer(silver_customers(spark, d, dirty=dirty_customers)))
         self.dim_product = cut(dm.dim_product(silver_products(spark, d)))
         self.dim_channel = dm.dim_from_values(self.silver_sales, "channel", "channel_sk")

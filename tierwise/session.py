@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when that adds a shuffle after the join (the
+    # dedup and rollup aggregates downstream combine map-side anyway).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -27,6 +31,18 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: start with enough shuffle partitions
+    for ~128 MB each at the input size (at least 2 per core) and let AQE
+    coalesce them; files are split at 256 MB."""
+    parts = max(2 * cores, input_bytes // (128 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tierwise", extra_conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
