@@ -43,9 +43,10 @@ def _by_order_then_group(rows: DataFrame, groups: list[str]) -> DataFrame:
     doubles the rows; both levels combine map-side before their shuffle.
     Output columns: groups, order_count, units_sold, _rev, _n, _gp.
     """
+    gp = cents("gross_profit") if "gross_profit" in rows.columns else F.lit(None).cast("bigint")
     per_order = rows.groupBy(*groups, "order_id").agg(
         F.sum("quantity").alias("_q"), F.sum(cents("amount")).alias("_rev"),
-        F.count("amount").alias("_n"), F.sum(cents("gross_profit")).alias("_gp"),
+        F.count("amount").alias("_n"), F.sum(gp).alias("_gp"),
         F.count(F.lit(1)).alias("_lines"))
     return per_order.groupBy(*groups).agg(
         F.count("order_id").alias("order_count"),
