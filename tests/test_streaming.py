@@ -27,3 +27,21 @@ def test_incremental_ingest_appends_only_new_files(spark, tmp_path):
     assert df.count() == 12
     assert df.select("_file").distinct().count() == 2
     assert set(df.columns) >= {"_ingest_at", "_source", "_file", "order_id"}
+
+
+def test_stream_bronze_events_reads_every_row(spark, tmp_path):
+    """SURVEY E1 on the driver's events table: every row arrives once."""
+    from conftest import SMOKE_DIR
+
+    events = spark.read.parquet(f"{SMOKE_DIR}/events.parquet")
+    landing = tmp_path / "events"
+    events.write.parquet(str(landing))  # a landing folder the stream watches
+    spark.sql("CREATE DATABASE IF NOT EXISTS stream_run")
+    table = "stream_run.bronze_events"
+    ingest_files(spark, str(landing), events.schema, table, "events", fmt="parquet",
+                 max_files_per_trigger=1)
+    ingest_files(spark, str(landing), events.schema, table, "events", fmt="parquet")
+    got = spark.table(table)
+    assert got.count() == events.count()
+    assert got.select("event_id").distinct().count() == events.select("event_id").distinct().count()
+    assert got.drop("_ingest_at", "_source", "_file").exceptAll(events).count() == 0
