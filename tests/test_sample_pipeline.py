@@ -30,7 +30,8 @@ def test_layer_counts(spark, run):
                 "quarantine_orders": 2, "dim_date": 1096, "dim_customer": 5, "dim_product": 5,
                 "dim_channel": 3, "fact_orders": 6}
     assert {k: count(spark, k) for k in expected} == expected
-    assert p.metrics == {"bronze_rows": 9, "good_rows": 7}
+    assert p.metrics == {"bronze_rows": 9, "good_rows": 7, "quarantined_rows": 2,
+                         "silver_rows": 6, "duplicates_removed": 1}
 
 
 def test_fact_is_partitioned_by_order_date(spark, run):
@@ -40,6 +41,9 @@ def test_fact_is_partitioned_by_order_date(spark, run):
     pruned = spark.table(f"{DB}.fact_orders").where("order_date = '2024-01-15'")
     assert "PartitionFilters: [isnotnull(order_date" in pruned._jdf.queryExecution().executedPlan().toString()
     assert pruned.count() == 2
+    view = spark.table(f"{DB}.vw_sales_kpis").where("day_type = 'Weekend'")
+    view.collect()
+    assert "dynamicpruning" in view._jdf.queryExecution().executedPlan().toString().lower()
 
 
 def test_auto_grain_uses_month_folders_for_small_days(spark, landing):
@@ -49,6 +53,9 @@ def test_auto_grain_uses_month_folders_for_small_days(spark, landing):
     files = spark.table("sample_month.fact_orders").inputFiles()
     assert {f.split("order_month=")[1].split("/")[0] for f in files} == {"2024-01-01"}
     assert spark.table("sample_month.vw_sales_kpis").count() == 6
+    view = spark.table("sample_month.vw_sales_kpis").where("month = 1")
+    view.collect()
+    assert "dynamicpruning" in view._jdf.queryExecution().executedPlan().toString().lower()
 
 
 def test_quarantine_labels(spark, run):
@@ -114,6 +121,18 @@ def test_health_reports_every_table(spark, run):
     rows = {r.table_name: r for r in p.health({"silver_orders": 6, "fact_orders": 6}).collect()}
     assert rows["silver_orders"].status == "PASS" and rows["vw_sales_kpis"].actual_rows == 6
     assert all(r.status == "PASS" for r in rows.values())
+    assert (rows["ALL"].actual_rows, rows["ALL"].expected_rows) == (13, 13)
+    expected = p.default_expectations()
+    assert expected == {"bronze_orders": 9, "fact_orders": 6, "dim_customer": 5, "dim_product": 5}
+    bad = {r.table_name: r.status for r in p.health({**expected, "dim_date": 7}).collect()}
+    assert bad["dim_date"] == "FAIL" and bad["ALL"] == "FAIL"
+
+
+def test_reconcile_detail_on_tables(spark, run):
+    p, _ = run
+    rows = p.reconcile_detail().collect()
+    assert [(r.order_id, r.bronze_rows, str(r.bronze_amount), str(r.silver_amount),
+             str(r.difference)) for r in rows] == [("ORD001", 2, "119.96", "59.98", "59.98")]
 
 
 def test_fail_on_error_raises_after_writing(spark, landing):

@@ -116,7 +116,11 @@ class Pipeline:
         rows = rows.select(*cols, *[c for c in rows.columns if c not in cols])
         sinks.overwrite(stamp(rows, "_silver_at"), self.t(silver))
         if obs is not None:
-            self.metrics.update({k: int(v) for k, v in obs.get.items()})
+            m = {k: int(v) for k, v in obs.get.items()}
+            m["quarantined_rows"] = m["bronze_rows"] - m["good_rows"]
+            m["silver_rows"] = self.table(silver).count()  # parquet footers, no data scan
+            m["duplicates_removed"] = m["good_rows"] - m["silver_rows"]
+            self.metrics.update(m)
 
     def silver(self) -> None:
         s = self.src
@@ -168,12 +172,13 @@ class Pipeline:
         sinks.overwrite(dim_channel, self.t("dim_channel"))
         fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
                              self.table("dim_channel"), extra_cols=["_silver_at"])
-        if self._fact_grain(silver) == "month":
+        self.grain = self._fact_grain(silver)
+        if self.grain == "month":
             fact = fact.withColumn("order_month", F.trunc("order_date", "MM"))
             sinks.write_partitioned(fact, self.t("fact_orders"), "order_month", "order_date")
         else:
             sinks.write_partitioned(fact, self.t("fact_orders"), "order_date", "order_id")
-        self.spark.sql(kpi_view_sql(self.db))
+        self.spark.sql(kpi_view_sql(self.db, month_folders=self.grain == "month"))
 
     def _fact_grain(self, silver: DataFrame) -> str:
         if self.fact_grain != "auto":
@@ -234,11 +239,51 @@ class Pipeline:
                             expect[F.col("table_name")].cast("bigint").alias("expected_rows"))
         passed = F.col("actual_rows").isNotNull() & (
             F.col("expected_rows").isNull() | (F.col("actual_rows") == F.col("expected_rows")))
-        return res.withColumn("status", F.when(passed, ck.PASS).otherwise(ck.FAIL))
+        res = res.withColumn("status", F.when(passed, ck.PASS).otherwise(ck.FAIL))
+        verdict = res.agg(
+            F.lit("ALL").alias("table_name"),
+            F.count_if(F.col("status") == ck.PASS).alias("actual_rows"),
+            F.count(F.lit(1)).alias("expected_rows"),
+            F.when(F.bool_and(F.col("status") == ck.PASS), F.lit(ck.PASS))
+             .otherwise(F.lit(ck.FAIL)).alias("status"))
+        return res.unionByName(verdict)
 
+    def default_expectations(self) -> dict[str, int]:
+        """Expected rows from this run: bronze from the observed input rows,
+        facts from silver, dimensions from their silver tables."""
+        exp = {}
+        if "bronze_rows" in self.metrics:
+            exp["bronze_orders"] = self.metrics["bronze_rows"]
+        for t, src in [("fact_orders", "silver_orders"), ("dim_customer", "silver_customers"),
+                       ("dim_product", "silver_products")]:
+            if sinks.table_exists(self.spark, self.t(src)):
+                exp[t] = self.table(src).count()
+        return exp
 
-def kpi_view_sql(db: str) -> str:
-    """The KPI view: the reference's grain and measures, money in exact cents."""
+    def reconcile_detail(self) -> DataFrame:
+        """Keys whose valid bronze total (duplicates kept) differs from silver (C12)."""
+        from tierwise.functions.money import cents, from_cents
+        keys = self.src.sales_entity.keys
+        lab = sv.labelled(self.src.sales_entity, self.table("bronze_orders"))
+        bronze = (lab.where(F.col(ISSUE) == OK).groupBy(*keys)
+                  .agg(F.count(F.lit(1)).alias("bronze_rows"), F.sum(cents("amount")).alias("_b")))
+        silver = self.table("silver_orders").groupBy(*keys).agg(F.sum(cents("amount")).alias("_s"))
+        diff = bronze.join(silver, keys, "full_outer").where(~F.col("_b").eqNullSafe(F.col("_s")))
+        return diff.select(*keys, F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
+                           from_cents("_b").alias("bronze_amount"),
+                           from_cents("_s").alias("silver_amount"),
+                           from_cents(F.coalesce("_b", F.lit(0)) - F.coalesce("_s", F.lit(0)))
+                           .alias("difference"))
+
+
+def kpi_view_sql(db: str, month_folders: bool = False) -> str:
+    """The KPI view: the reference's grain and measures, money in exact cents.
+
+    The date dimension joins on the fact's partition column (``order_date``,
+    or ``order_month`` for month folders) so a filter on the view's date
+    attributes prunes fact folders at run time (dynamic partition pruning).
+    """
+    month_join = " AND f.order_month = trunc(d.full_date, 'MM')" if month_folders else ""
     return f"""
 CREATE OR REPLACE VIEW {db}.vw_sales_kpis AS
 SELECT year, quarter, month, month_name, day_type, category, brand, region, segment,
@@ -259,7 +304,7 @@ FROM (
          COUNT(f.amount) AS n,
          SUM(CAST(CAST(f.gross_profit AS DECIMAL(18,2)) * 100 AS BIGINT)) AS gp
   FROM {db}.fact_orders f
-  JOIN {db}.dim_date d ON f.order_date = d.full_date
+  JOIN {db}.dim_date d ON f.order_date = d.full_date{month_join}
   JOIN {db}.dim_product p ON f.product_sk = p.product_sk
   JOIN {db}.dim_customer c ON f.customer_sk = c.customer_sk
   JOIN {db}.dim_channel ch ON f.channel_sk = ch.channel_sk
