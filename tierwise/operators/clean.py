@@ -56,11 +56,11 @@ def standardise(df: DataFrame, spec: list[Col], flag_invalid: bool = False) -> D
         col = F.col(name)
         if src_is_text:
             col = _clean_text(col, c.upper)
-        if target and target not in ("string",) and (src_is_text or
-                                                      types[name].simpleString() != target):
+        if target and target != "string" and (src_is_text
+                                               or types[name].simpleString() != target):
             if src_is_text and flag_invalid:
                 raws.append(F.col(name).alias(RAW_PREFIX + name))
-            col = F.try_cast(col, target) if hasattr(F, "try_cast") else col.try_cast(target)
+            col = col.try_cast(target)
         elif target == "string" and not src_is_text:
             col = _clean_text(col.cast("string"), c.upper)
         out.append(col.alias(name))
