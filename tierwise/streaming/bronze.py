@@ -10,6 +10,8 @@ committed, and a restarted or retried run neither loses nor repeats a file.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +21,12 @@ from tierwise.session import checkpoint_dir
 from tierwise.sources.readers import stamp_ingest
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """Stream state lives under the shared ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+def stream_checkpoint(spark: SparkSession, table: str, path: str) -> str:
+    """Stream state lives under the shared ``spark.checkpoint.dir``, one
+    folder per (target table, landing folder) pair: the same pair resumes
+    where it stopped, a different landing folder starts its own log."""
+    tag = hashlib.sha1(path.encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{table.replace('.', '_')}-{tag}"
 
 
 def ingest_files(spark: SparkSession, path: str, schema: T.StructType, table: str,
@@ -44,7 +49,7 @@ def ingest_files(spark: SparkSession, path: str, schema: T.StructType, table: st
     query = (rows.writeStream
              .format("parquet")
              .outputMode("append")
-             .option("checkpointLocation", stream_checkpoint(spark, table.replace(".", "_")))
+             .option("checkpointLocation", stream_checkpoint(spark, table, path))
              .trigger(availableNow=True)
              .toTable(table))
     if wait:
