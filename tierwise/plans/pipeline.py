@@ -203,9 +203,11 @@ class Pipeline:
         self.grain = self._fact_grain(silver)
         if self.grain == "month":
             fact = fact.withColumn("order_month", F.trunc("order_date", "MM"))
-            sinks.write_partitioned(fact, self.t("fact_orders"), "order_month", "order_date")
+            sinks.write_partitioned(fact, self.t("fact_orders"), "order_month",
+                                    ["order_date", *self.src.sales_entity.keys])
         else:
-            sinks.write_partitioned(fact, self.t("fact_orders"), "order_date", "order_id")
+            sinks.write_partitioned(fact, self.t("fact_orders"), "order_date",
+                                    self.src.sales_entity.keys)
         self.spark.sql(kpi_view_sql(self.db, month_folders=self.grain == "month"))
 
     def _fact_grain(self, silver: DataFrame) -> str:

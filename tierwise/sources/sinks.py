@@ -48,19 +48,21 @@ def append_new(df: DataFrame, name: str, hash_cols: list[str]) -> None:
         rows.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
-def write_partitioned(df: DataFrame, name: str, partition_col: str, order_col: str,
+def write_partitioned(df: DataFrame, name: str, partition_col: str, order_cols: list[str],
                       num_partitions: int | None = None, max_records_per_file: int = 5_000_000
                       ) -> None:
     """Partitioned full refresh (S6).
 
     ``repartition(partition_col)`` would send a whole day to one task; a
-    range partitioning on (partition_col, order_col) gives balanced tasks
-    that each write a contiguous run of folders, and splits a large day
-    across tasks. ``maxRecordsPerFile`` bounds file size.
+    range partitioning on (partition_col, *order_cols) gives balanced tasks
+    that each write a contiguous run of folders and splits a large day
+    across tasks. Pass a unique key as ``order_cols`` so that no single
+    value (say, one order holding a third of all lines) can pin a task.
+    ``maxRecordsPerFile`` bounds file size.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, F.col(partition_col), F.col(order_col))
+    (df.repartitionByRange(n, F.col(partition_col), *[F.col(c) for c in order_cols])
        .write.mode("overwrite").format("parquet")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)
