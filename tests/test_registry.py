@@ -14,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def _norm(v):
     if isinstance(v, float):
-        return round(v, 6)
+        return v  # exact doubles
     if isinstance(v, Decimal):
         return str(v)
     if hasattr(v, "isoformat"):

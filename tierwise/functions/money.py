@@ -1,10 +1,11 @@
 """Exact money arithmetic.
 
 Amounts arrive as doubles. Summing doubles depends on the order of the rows,
-so every aggregate works on integer cents and converts back to a
-DECIMAL(38, 2) only at the end. Rounded ratios are computed with integer
-division (round half away from zero), which gives the same digits on every
-engine.
+so every aggregate works on integer cents. Results are converted once, at
+the end, to a DOUBLE (``cents / 100``): an exact integer divided by 100 is
+the double nearest the exact decimal value, identical on every engine, and
+the reference's measures are doubles too. Rounded ratios are computed with
+integer division (round half away from zero) before that conversion.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(38,2)"
-PCT = "decimal(38,1)"
+MONEY_TEXT = "decimal(38,2)"
 
 
 def _c(col: str | Column) -> Column:
@@ -26,8 +26,13 @@ def cents(col: str | Column) -> Column:
 
 
 def from_cents(col: str | Column) -> Column:
-    """Bigint cents -> DECIMAL(38,2)."""
-    return (_c(col).cast("decimal(38,0)") / F.lit(100)).cast(MONEY)
+    """Bigint cents -> DOUBLE currency units (the double nearest the exact value)."""
+    return _c(col).cast("double") / F.lit(100.0)
+
+
+def cents_text(col: str | Column) -> Column:
+    """Bigint cents -> exact text with two decimals, e.g. ``2381643682.99``."""
+    return (_c(col).cast("decimal(38,0)") / F.lit(100)).cast(MONEY_TEXT).cast("string")
 
 
 def rounded_ratio(num: str, den: str, scale: int) -> Column:
@@ -45,11 +50,10 @@ def rounded_ratio(num: str, den: str, scale: int) -> Column:
 
 
 def avg_cents(sum_cents: str, n: str) -> Column:
-    """Average in cents, rounded to the cent, as DECIMAL(38,2)."""
+    """Average rounded to the cent, as DOUBLE currency units."""
     return from_cents(rounded_ratio(sum_cents, n, 1))
 
 
 def pct_tenths(part_cents: str, whole_cents: str) -> Column:
-    """part / whole * 100 rounded to one decimal, as DECIMAL(38,1); NULL if whole is 0."""
-    tenths = rounded_ratio(part_cents, whole_cents, 1000)
-    return (tenths.cast("decimal(38,0)") / F.lit(10)).cast(PCT)
+    """part / whole * 100 rounded to one decimal, as DOUBLE; NULL if whole is 0."""
+    return rounded_ratio(part_cents, whole_cents, 1000).cast("double") / F.lit(10.0)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.functions.money import from_cents
+from tierwise.functions.money import cents_text
 
 PASS, FAIL = "PASS", "FAIL"
 
@@ -60,7 +60,7 @@ class MetricSet:
 
 def _fmt(v: Column, kind: str) -> Column:
     if kind == "money":
-        return from_cents(v).cast("string")
+        return cents_text(v)
     if kind == "date":
         return F.date_from_unix_date(v.cast("int")).cast("string")
     return v.cast("string")

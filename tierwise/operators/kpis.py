@@ -168,5 +168,5 @@ def kpi_dropped(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     g = dated.agg(F.count_if(dropped).alias("dropped_rows"),
                   F.sum(F.when(dropped, cents("amount"))).alias("_rev"),
                   *[F.count_if(c).alias(n) for n, c in reasons.items()])
-    return g.select("dropped_rows", F.coalesce(from_cents("_rev"), F.lit(0).cast("decimal(38,2)"))
+    return g.select("dropped_rows", F.coalesce(from_cents("_rev"), F.lit(0.0))
                     .alias("dropped_revenue"), *reasons)

@@ -125,7 +125,7 @@ SQL["bronze_sales"] = with_(BRONZE_SALES) + "SELECT * FROM bronze_sales"
 
 SQL["label_sales"] = with_(LABELLED_SALES) + """
 SELECT data_issue, count(*) AS row_count,
-       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount_total
+       CAST(sum(CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT)) AS DOUBLE) / 100 AS amount_total
 FROM labelled_sales GROUP BY data_issue"""
 
 SQL["quarantine_sales"] = with_(LABELLED_SALES) + """
@@ -195,17 +195,18 @@ fact_sales AS (
   LEFT JOIN dim_channel ch ON s.channel = ch.channel)""")
 
 
-def money(expr: str) -> str:
-    """Exact sum of a double money column, DECIMAL(38,2)."""
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DECIMAL(38,2))"
-
-
 def cents_sum(expr: str) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(18,2)) * 100) AS BIGINT)"
 
 
 def from_cents(expr: str) -> str:
-    return f"CAST(CAST({expr} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2))"
+    """Exact cents -> DOUBLE currency units."""
+    return f"(CAST({expr} AS DOUBLE) / 100)"
+
+
+def money(expr: str) -> str:
+    """Exact sum of a double money column, as DOUBLE."""
+    return from_cents(cents_sum(expr))
 
 
 def rounded(num: str, den: str, scale: int) -> str:
@@ -219,7 +220,7 @@ def avg_money(sum_cents: str, n: str) -> str:
 
 
 def pct(part: str, whole: str) -> str:
-    return f"CAST(CAST({rounded(part, whole, 1000)} AS DECIMAL(38,0)) * 0.1 AS DECIMAL(38,1))"
+    return f"(CAST({rounded(part, whole, 1000)} AS DOUBLE) / 10)"
 
 
 STAR_GROUPS = ("d.year, d.quarter, d.month, d.month_name, d.day_type, p.category, p.brand, "
@@ -298,7 +299,7 @@ GROUP BY ROLLUP (c.region, c.country_code)"""
 
 SQL["kpi_dropped"] = _gold(dirty_customers=True) + f"""
 SELECT count(*) FILTER (WHERE dropped) AS dropped_rows,
-       COALESCE({money('CASE WHEN dropped THEN amount END')}, CAST(0 AS DECIMAL(38,2)))
+       COALESCE({money('CASE WHEN dropped THEN amount END')}, CAST(0 AS DOUBLE))
          AS dropped_revenue,
        count(*) FILTER (WHERE customer_sk IS NULL) AS missing_customer,
        count(*) FILTER (WHERE product_sk IS NULL) AS missing_product,
@@ -361,7 +362,7 @@ m_fact AS (
 
 
 def _money_txt(cents: str) -> str:
-    return f"CAST({from_cents(cents)} AS VARCHAR)"
+    return f"CAST(CAST(CAST({cents} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2)) AS VARCHAR)"
 
 
 def _row(name: str, actual: str, expected: str, details: str, src: str) -> str:
