@@ -13,6 +13,7 @@ range-partitioned fact write; checks compiled to one aggregate per table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -88,6 +89,14 @@ def incremental_landing_sources(spark: SparkSession, orders_dir: str, customers_
     return src
 
 
+def _concurrently(*steps: Callable[[], None]) -> None:
+    """Run independent steps (each one or more Spark jobs) from driver threads,
+    so their jobs are scheduled side by side; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for f in [pool.submit(step) for step in steps]:
+            f.result()
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, sources: Sources, database: str = "tierwise",
                  calendar: tuple[str, str] | None = None, fact_grain: str = "auto",
@@ -122,10 +131,10 @@ class Pipeline:
                 ingest_files(self.spark, path, schema, self.t(name), label, fmt=fmt,
                              options=opts)
             return
-        for reader, name, label in [(s.sales, "bronze_orders", s.labels[0]),
-                                    (s.customers, "bronze_customers", s.labels[1]),
-                                    (s.products, "bronze_products", s.labels[2])]:
-            sinks.overwrite(readers.stamp_ingest(reader(), label), self.t(name))
+        _concurrently(*[
+            (lambda r=reader, n=name, lb=label:
+             sinks.overwrite(readers.stamp_ingest(r(), lb), self.t(n)))
+            for reader, name, label in zip([s.sales, s.customers, s.products], names, s.labels)])
 
     # ------------------------------------------------------------------ silver
     def _silver_one(self, entity: sv.Entity, bronze: str, silver: str, quarantine: str,
@@ -152,12 +161,13 @@ class Pipeline:
 
     def silver(self) -> None:
         s = self.src
-        self._silver_one(s.sales_entity, "bronze_orders", "silver_orders", "quarantine_orders",
-                         observe=True)
-        self._silver_one(s.customer_entity, "bronze_customers", "silver_customers",
-                         "quarantine_customers")
-        self._silver_one(s.product_entity, "bronze_products", "silver_products",
-                         "quarantine_products")
+        _concurrently(
+            lambda: self._silver_one(s.sales_entity, "bronze_orders", "silver_orders",
+                                     "quarantine_orders", observe=True),
+            lambda: self._silver_one(s.customer_entity, "bronze_customers", "silver_customers",
+                                     "quarantine_customers"),
+            lambda: self._silver_one(s.product_entity, "bronze_products", "silver_products",
+                                     "quarantine_products"))
 
     # ------------------------------------------------------------------ gold
     def _extend_keymap(self, values: DataFrame, key: str, sk: str) -> DataFrame:
@@ -188,16 +198,24 @@ class Pipeline:
             spine = dm.date_spine_between(self.spark, *self.calendar)
         else:
             spine = dm.date_spine_of(silver, "order_date")
-        sinks.overwrite(dm.dim_date(spine), self.t("dim_date"))
-        sinks.overwrite(self._keyed(self.table("silver_customers"), "customer_id", "customer_sk",
-                                    dm.CUSTOMER_COLS), self.t("dim_customer"))
-        sinks.overwrite(self._keyed(self.table("silver_products"), "product_id", "product_sk",
-                                    dm.PRODUCT_COLS), self.t("dim_product"))
-        keymap = self._extend_keymap(silver.select("channel"), "channel", "channel_sk")
-        channels = silver.select("channel").distinct()
-        dim_channel = channels.join(keymap, channels["channel"].eqNullSafe(keymap["channel"]),
-                                    "inner").select("channel_sk", channels["channel"])
-        sinks.overwrite(dim_channel, self.t("dim_channel"))
+
+        def channel_dim() -> None:
+            keymap = self._extend_keymap(silver.select("channel"), "channel", "channel_sk")
+            channels = silver.select("channel").distinct()
+            dim = channels.join(keymap, channels["channel"].eqNullSafe(keymap["channel"]),
+                                "inner").select("channel_sk", channels["channel"])
+            sinks.overwrite(dim, self.t("dim_channel"))
+
+        # The four dimensions are independent: their jobs run side by side.
+        _concurrently(
+            lambda: sinks.overwrite(dm.dim_date(spine), self.t("dim_date")),
+            lambda: sinks.overwrite(self._keyed(self.table("silver_customers"), "customer_id",
+                                                "customer_sk", dm.CUSTOMER_COLS),
+                                    self.t("dim_customer")),
+            lambda: sinks.overwrite(self._keyed(self.table("silver_products"), "product_id",
+                                                "product_sk", dm.PRODUCT_COLS),
+                                    self.t("dim_product")),
+            channel_dim)
         fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
                              self.table("dim_channel"), extra_cols=["_silver_at"])
         self.grain = self._fact_grain(silver)
