@@ -456,7 +456,9 @@ counts AS (
          (SELECT count(*) FROM dim_customer)
   UNION ALL SELECT 'dim_product', (SELECT count(*) FROM silver_products),
          (SELECT count(*) FROM dim_product)
-  UNION ALL SELECT 'dim_channel', (SELECT count(DISTINCT channel) FROM silver_sales),
+  UNION ALL SELECT 'dim_channel',
+         (SELECT count(DISTINCT channel) + max(CASE WHEN channel IS NULL THEN 1 ELSE 0 END)
+          FROM silver_sales),
          (SELECT count(*) FROM dim_channel)
   UNION ALL SELECT 'fact_sales', (SELECT count(*) FROM silver_sales),
          (SELECT count(*) FROM fact_sales)
