@@ -146,3 +146,23 @@ def test_fail_on_error_raises_after_writing(spark, landing):
     with pytest.raises(RuntimeError, match="valid product_id"):
         p.check(fail_on_error=True)
     assert spark.table("sample_strict.test_results").count() == 13
+
+
+def test_rerun_with_a_fresh_catalog_keeps_keys_and_quarantine(spark, landing):
+    """A later run in a new process (no metastore) finds the earlier tables
+    by location: surrogate keys stay, quarantine does not grow."""
+    src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
+    db = "sample_fresh"
+    p = pl.Pipeline(spark, src, database=db, calendar=("2024-01-01", "2024-01-31"))
+    p.run()
+    keys = sorted(map(tuple, spark.table(f"{db}.dim_customer").select("customer_id", "customer_sk")
+                      .collect()))
+    for t in spark.catalog.listTables(db):  # forget every table; the files stay
+        spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} {db}.{t.name}")
+    p2 = pl.Pipeline(spark, src, database=db, calendar=("2024-01-01", "2024-01-31"))
+    results = p2.run()
+    assert spark.table(f"{db}.quarantine_orders").count() == 2
+    assert sorted(map(tuple, spark.table(f"{db}.dim_customer")
+                      .select("customer_id", "customer_sk").collect())) == keys
+    assert spark.table(f"{db}.keymap_customer_sk").count() == 5
+    assert {r["status"] for r in results.collect()} == {"PASS"}

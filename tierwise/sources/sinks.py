@@ -1,29 +1,65 @@
 """Table sinks (S4-S6): full refresh, idempotent append, partitioned write.
 
-Tables are parquet tables in the session catalog (under
-``spark.sql.warehouse.dir``, a shared folder on a cluster).
+Tables are parquet tables registered in the session catalog, stored at a
+fixed location inside their database's folder (under
+``spark.sql.warehouse.dir``, a shared folder on a cluster). Because the
+location is fixed, a later run -- in a new process, even without a
+persistent metastore -- finds the previous run's data: ``attach`` registers
+a table folder the catalog does not know yet, so key maps stay stable and
+quarantine appends stay idempotent across runs.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW_HASH = "_row_hash"
 
 
+def location(spark: SparkSession, name: str) -> str:
+    db, table = name.split(".", 1)
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+
+
+def attach(spark: SparkSession, name: str) -> bool:
+    """Register ``name`` over its folder if the catalog lacks it and data
+    exists there; returns whether the table exists afterwards."""
+    if spark.catalog.tableExists(name):
+        return True
+    try:
+        spark.catalog.createTable(name, path=location(spark, name), source="parquet")
+    except AnalysisException:  # no folder, or no data files in it
+        return False
+    try:
+        spark.catalog.recoverPartitions(name)
+    except AnalysisException:  # not partitioned
+        pass
+    return True
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+    return attach(spark, name)
+
+
+def _writer(df: DataFrame, name: str, mode: str):
+    return (df.write.mode(mode).format("parquet")
+            .option("path", location(df.sparkSession, name)))
 
 
 def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     """Full refresh. A plan must not read the table it overwrites."""
-    w = df.write.mode("overwrite").format("parquet")
+    w = _writer(df, name, "overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
 
 
+def append(df: DataFrame, name: str) -> None:
+    _writer(df, name, "append").saveAsTable(name)
+
+
 def row_hash(cols: list[str]):
     """Content hash of the listed columns (SHA-256 of their JSON form)."""
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
@@ -42,10 +78,9 @@ def append_new(df: DataFrame, name: str, hash_cols: list[str]) -> None:
     rows = df.withColumn(ROW_HASH, row_hash(hash_cols))
     if table_exists(spark, name):
         seen = spark.table(name).select(ROW_HASH)
-        rows = rows.join(seen, ROW_HASH, "left_anti")
-        rows.write.mode("append").format("parquet").saveAsTable(name)
+        append(rows.join(seen, ROW_HASH, "left_anti"), name)
     else:
-        rows.write.mode("overwrite").format("parquet").saveAsTable(name)
+        overwrite(rows, name)
 
 
 def write_partitioned(df: DataFrame, name: str, partition_col: str, order_cols: list[str],
@@ -62,8 +97,8 @@ def write_partitioned(df: DataFrame, name: str, partition_col: str, order_cols:
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, F.col(partition_col), *[F.col(c) for c in order_cols])
-       .write.mode("overwrite").format("parquet")
+    ranged = df.repartitionByRange(n, F.col(partition_col), *[F.col(c) for c in order_cols])
+    (_writer(ranged, name, "overwrite")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)
        .saveAsTable(name))

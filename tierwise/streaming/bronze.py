@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierwise.session import checkpoint_dir
 from tierwise.sources.readers import stamp_ingest
+from tierwise.sources.sinks import attach, location
 
 
 def stream_checkpoint(spark: SparkSession, table: str, path: str) -> str:
@@ -46,9 +47,11 @@ def ingest_files(spark: SparkSession, path: str, schema: T.StructType, table: st
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     stream = reader.options(**opts).load(path)
     rows = stamp_ingest(stream, source).withColumn("_file", F.col("_metadata.file_path"))
+    attach(spark, table)  # a previous run's table, even in a fresh catalog
     query = (rows.writeStream
              .format("parquet")
              .outputMode("append")
+             .option("path", location(spark, table))
              .option("checkpointLocation", stream_checkpoint(spark, table, path))
              .trigger(availableNow=True)
              .toTable(table))
