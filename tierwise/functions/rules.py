@@ -38,7 +38,7 @@ def first_match(rules: list[Rule], default: str = OK) -> Column:
     return chain.otherwise(F.lit(default))
 
 
-# The labels and their order as the reference's notebooks use them.
+# The labels and their order, as the reference pipeline uses them.
 SALES_RULES = [
     Rule("missing customer and negative amount", "customer_id IS NULL AND amount < 0"),
     Rule("missing customer_id", "customer_id IS NULL"),

@@ -1,7 +1,7 @@
 """The layered pipeline as written tables: bronze -> silver -> gold -> checks.
 
 Each step reads the previous layer's *tables* and writes its own, as the
-reference's notebooks do; no plan spans two layers, so lineage is cut at
+reference pipeline does; no plan spans two layers, so lineage is cut at
 every layer boundary and a lost executor only re-runs the current step.
 
 Fixes over the reference (SURVEY §1.5): standardise before labelling;
