@@ -109,3 +109,14 @@ def test_null_channel_becomes_member_but_never_matches(spark):  # D5
 def test_rule_order_combined_first(spark):
     lab = labelled(spark, [row(cust=None, amount="-5")])
     assert lab.first()["data_issue"] == SALES_RULES[0].label
+
+
+def test_date_outside_dim_date_is_reported_as_dropped(spark):  # trap 18, trap 8
+    from tierwise.operators import kpis as kp
+    fact = spark.createDataFrame(
+        [(1, 1, 1, 1, 20240115, 10.0), (2, 1, 1, 1, 20270101, 5.5), (3, None, 1, 1, 20240115, 2.25)],
+        "order_id int, customer_sk bigint, product_sk bigint, channel_sk bigint, date_sk int, "
+        "amount double")
+    dim_date = dm.dim_date(dm.date_spine_between(spark, "2023-01-01", "2025-12-31"))
+    r = kp.kpi_dropped(fact, dim_date).first()
+    assert (r.dropped_rows, r.dropped_revenue, r.missing_date, r.missing_customer) == (2, 7.75, 1, 1)
