@@ -42,3 +42,13 @@ def test_range_exchange_is_reused_not_single_partition(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan
     assert "ReusedExchange" in plan or "Reused" in plan
+
+
+def test_keys_stay_exact_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 500).select(((F.col("id") * 7919) % 1000).alias("k"))
+        got = {r.k: r.sk for r in dense_key_map(df, ["k"], "sk", num_partitions=5).collect()}
+        assert got == reference(df.distinct(), "k")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")

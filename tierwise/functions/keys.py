@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierwise.session import checkpoint_dir
+
 _INDEX_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
 
@@ -40,6 +42,11 @@ def dense_key_map(df: DataFrame, keys: list[str], sk: str, offset: int | Column
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", _INDEX_BITS))
               .withColumn("_ix", F.col("_mid").bitwiseAND((1 << _INDEX_BITS) - 1)))
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Without exchange reuse the two branches below would each sample
+        # range bounds; cut the ranged keys once so both read the same rows.
+        checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range partition: the running sum runs over at most n rows.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
