@@ -128,6 +128,12 @@ def test_health_reports_every_table(spark, run):
     assert bad["dim_date"] == "FAIL" and bad["ALL"] == "FAIL"
 
 
+def test_nothing_dropped_by_the_view_on_the_sample(spark, run):
+    p, _ = run
+    r = p.dropped().first()
+    assert (r.dropped_rows, r.dropped_revenue) == (0, 0.0)
+
+
 def test_reconcile_detail_on_tables(spark, run):
     p, _ = run
     rows = p.reconcile_detail().collect()

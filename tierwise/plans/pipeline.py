@@ -319,6 +319,11 @@ class Pipeline:
                 exp[t] = self.table(src).count()
         return exp
 
+    def dropped(self) -> DataFrame:
+        """Fact lines the KPI view's inner joins drop, and their revenue (trap 8)."""
+        from tierwise.operators.kpis import kpi_dropped
+        return kpi_dropped(self.table("fact_orders"), self.table("dim_date"))
+
     def reconcile_detail(self) -> DataFrame:
         """Keys whose valid bronze total (duplicates kept) differs from silver (C12)."""
         from tierwise.functions.money import cents, from_cents
