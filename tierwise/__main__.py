@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     results = p.run(fail_on_error=args.fail_on_error)
     results.orderBy("status", "check").show(50, truncate=False)
     p.health(p.default_expectations()).show(50, truncate=False)
+    p.dropped().show(truncate=False)  # facts the KPI view's inner joins leave out
     print(p.metrics)
     return 0
 
