@@ -28,6 +28,7 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     # Checkpoint files are removed once their DataFrame is garbage-collected.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.cleaner.periodicGC.interval": "5min",
 }
 
 
