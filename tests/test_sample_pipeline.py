@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tierwise.operators import dims as dm
 from tierwise.plans import pipeline as pl
 
 DB = "sample_run"
@@ -13,7 +14,7 @@ DB = "sample_run"
 @pytest.fixture(scope="module")
 def run(spark, landing):
     src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
-    p = pl.Pipeline(spark, src, database=DB, calendar=("2023-01-01", "2025-12-31"),
+    p = pl.Pipeline(spark, src, database=DB, calendar=dm.REFERENCE_CALENDAR,
                     fact_grain="day")
     results = p.run()
     return p, results

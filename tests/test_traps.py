@@ -93,7 +93,7 @@ def test_iso_week_vs_calendar_year(spark):  # trap 14
 
 
 def test_dim_date_reference_calendar(spark):  # D1, D2
-    d = dm.dim_date(dm.date_spine_between(spark, "2023-01-01", "2025-12-31"))
+    d = dm.dim_date(dm.date_spine_between(spark, *dm.REFERENCE_CALENDAR))
     assert d.count() == 1096
     r = d.where(F.col("full_date") == "2024-01-15").first()
     assert (r.date_sk, r.quarter, r.month_name, r.day) == (20240115, 1, "January", 15)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tierwise.functions.dates import date_attributes
 from tierwise.functions.keys import dense_key_map, with_dense_key
 
+# The reference's generated calendar (1096 days).
+REFERENCE_CALENDAR = ("2023-01-01", "2025-12-31")
+
 CUSTOMER_COLS = ["customer_id", "name", "email", "region", "segment", "country_code", "updated_at"]
 PRODUCT_COLS = ["product_id", "name", "category", "brand", "unit_cost"]
 
