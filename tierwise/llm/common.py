@@ -45,7 +45,8 @@ def map_batches(df: DataFrame, init: Callable[[], Callable], ddl: str, rows: int
     names = df.columns
 
     def rows_of(out: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        return pa.RecordBatch.from_arrays(
+            [v if isinstance(v := out[f.name], pa.Array) else pa.array(v, f.type) for f in arrow], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = init()

@@ -48,3 +48,15 @@ def op9(spark, d):
     turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
     return read_back(format_turns(turns.unionByName(control)))
+
+
+@register("op10_decontaminate")
+def op10(spark, d):
+    from tierwise.llm.decontaminate import report
+    return report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op6_sentencepiece")
+def op6(spark, d):
+    from tierwise.llm.pieces import encode_documents
+    return encode_documents(table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
