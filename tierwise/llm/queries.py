@@ -60,3 +60,10 @@ def op10(spark, d):
 def op6(spark, d):
     from tierwise.llm.pieces import encode_documents
     return encode_documents(table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@register("op8_simhash")
+def op8(spark, d):
+    from tierwise.llm import simhash
+    rows = simhash.near_duplicates(table(spark, d, "documents"))
+    return rows.select("doc_id", simhash.hex_of(rows["fp"]).alias("fingerprint"), "component_id")
