@@ -67,3 +67,9 @@ def op8(spark, d):
     from tierwise.llm import simhash
     rows = simhash.near_duplicates(table(spark, d, "documents"))
     return rows.select("doc_id", simhash.hex_of(rows["fp"]).alias("fingerprint"), "component_id")
+
+
+@register("op7_quality_mil")
+def op7(spark, d):
+    from tierwise.llm.quality_mil import classify
+    return classify(table(spark, d, "documents"), table(spark, d, "labels"))
