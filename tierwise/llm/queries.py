@@ -73,3 +73,9 @@ def op8(spark, d):
 def op7(spark, d):
     from tierwise.llm.quality_mil import classify
     return classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register("op3_pii")
+def op3(spark, d):
+    from tierwise.llm.pii import find
+    return find(table(spark, d, "documents"))
