@@ -72,3 +72,23 @@ SELECT conv_id, count(*) AS n_turns,
   count(*) FILTER (role = 'assistant') AS n_examples
 FROM r GROUP BY conv_id
 """
+
+SQL["op2_substring_dedup"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS ws FROM documents
+), win AS (
+  SELECT rid, doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) AS g
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)
+), hit AS (
+  SELECT rid, i FROM win QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id
+), gone AS (
+  SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(i, i + 50)) AS p FROM hit)
+), word AS (
+  SELECT rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d
+), kept AS (
+  SELECT rid, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""

@@ -79,3 +79,9 @@ def op7(spark, d):
 def op3(spark, d):
     from tierwise.llm.pii import find
     return find(table(spark, d, "documents"))
+
+
+@register("op2_substring_dedup")
+def op2(spark, d):
+    from tierwise.llm.substring_dedup import dedup
+    return dedup(table(spark, d, "documents"), with_text=False)
