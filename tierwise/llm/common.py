@@ -33,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_by(df: DataFrame, *keys: str) -> DataFrame:
+    """``cut`` with the rows dealt and sorted by ``keys``: joins and groupings on them read the checkpoint
+    without another exchange. (An adaptive plan does not tell its partitioning to the
+    checkpoint, so this one job is planned without it.)"""
+    conf = df.sparkSession.conf
+    n, adaptive = int(conf.get("spark.sql.shuffle.partitions")), conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(n, *keys).sortWithinPartitions(*keys))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 

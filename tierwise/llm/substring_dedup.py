@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import cut, map_batches, text_of
+from tierwise.llm.common import cut, cut_by, map_batches, text_of
 
 WINDOW = 50
 RUN = 8
@@ -305,9 +305,8 @@ def removed(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
 def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: int = SHARD_WORDS,
           with_text: bool = True) -> DataFrame:
     """Per row: words, words removed, digest of what is kept and (``with_text``) the kept words."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = ["doc_id", "tk"]
-    base = cut(prepared(docs, window).repartition(n, *key))
+    base = cut_by(prepared(docs, window), *key)
     whole = base.where("doc_id IS NOT NULL")
     met = whole.select(*key, F.explode("anchors").alias("anchor")).distinct()  # in place: no exchange
     by_doc = cut(met.join(shared(met, "anchor", hot), "anchor").groupBy(*key).agg(
