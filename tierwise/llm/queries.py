@@ -85,3 +85,9 @@ def op3(spark, d):
 def op2(spark, d):
     from tierwise.llm.substring_dedup import dedup
     return dedup(table(spark, d, "documents"), with_text=False)
+
+
+@register("op4_ppm_score")
+def op4(spark, d):
+    from tierwise.llm.ppm import score_documents
+    return score_documents(table(spark, d, "documents"))
