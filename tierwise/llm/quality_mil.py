@@ -187,3 +187,22 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     rows = score(docs, fit(docs, labels, per_class))
     return rows.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
+
+
+def keep_good(docs: DataFrame, model: dict | None) -> DataFrame:
+    """The documents that score 0.5 or more, as they were."""
+    import pyarrow as pa
+
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 128):
+                part = batch.slice(a, 128)
+                bags = [passages(t or "") for t in part.column(at).to_pylist()]
+                if model is not None:
+                    y = forward(model, np.array(sum(bags, [])), np.cumsum([0, *map(len, bags)])[:-1])["y"]
+                    part = part.filter(pa.array(y >= 0.5))
+                yield part
+
+    return docs.mapInArrow(run, docs.schema)

@@ -211,7 +211,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFr
 
 
 def keep_first(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFrame:
-    """One document of each component, the one of least doc_id; repeated rows of it once."""
-    kept = (near_duplicates(docs, size, max_bits).where("doc_id <=> component_id")
-            .select(F.col("component_id").alias("_first")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_first"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, the one of least doc_id, and of its repeated rows
+    one. Rows without a doc_id cannot be told apart by it: they all stay."""
+    kept = (near_duplicates(docs, size, max_bits).where("doc_id = component_id")
+            .select("doc_id").distinct())
+    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            .unionByName(docs.where("doc_id IS NULL")))
