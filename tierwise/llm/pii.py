@@ -137,7 +137,8 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 
 def pattern_counts(found: DataFrame) -> list:
     """How often each (kind, votes, size) occurs: a bounded table, counted over all spans."""
-    spans = found.select(F.explode("_spans").alias("s"))
+    # The outer form, as a filter inferred below a plain explode would compute the spans twice.
+    spans = found.select(F.explode_outer("_spans").alias("s")).where("s IS NOT NULL")
     return (spans.groupBy("s.kind", "s.votes", "s.size", "s.base").agg(F.count(F.lit(1)).alias("n"))
             .orderBy("kind", "votes", "size", "base").collect())
 
