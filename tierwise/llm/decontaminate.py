@@ -164,6 +164,6 @@ def report(docs: DataFrame, items: DataFrame, max_error: float = 0.05) -> DataFr
         F.col(f"{HITS}.item_id").alias("item_ids"), F.array_min(f"{HITS}.distance").alias("least_distance"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, max_error: float = 0.05) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, max_error: float = 0.05, block_chars: int = 4_000_000) -> DataFrame:
     """The documents without a hit, as they were."""
-    return flag(docs, items, max_error).where(F.size(HITS) == 0).select(*docs.columns)
+    return flag(docs, items, max_error, block_chars).where(F.size(HITS) == 0).select(*docs.columns)
