@@ -1,12 +1,16 @@
 """Golden tests: the reference's sample data through the written-table pipeline."""
 
+import uuid
 from decimal import Decimal
 
 import pytest
+from conftest import ORDERS_CSV
 from pyspark.sql import functions as F
 
 from tierwise.operators import dims as dm
+from tierwise.operators import silver as sv
 from tierwise.plans import pipeline as pl
+from tierwise.plans import quality
 
 DB = "sample_run"
 
@@ -14,8 +18,7 @@ DB = "sample_run"
 @pytest.fixture(scope="module")
 def run(spark, landing):
     src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
-    p = pl.Pipeline(spark, src, database=DB, calendar=dm.REFERENCE_CALENDAR,
-                    fact_grain="day")
+    p = pl.Pipeline(spark, src, database=DB, calendar=dm.REFERENCE_CALENDAR)
     results = p.run()
     return p, results
 
@@ -47,10 +50,15 @@ def test_fact_is_partitioned_by_order_date(spark, run):
     assert "dynamicpruning" in view._jdf.queryExecution().executedPlan().toString().lower()
 
 
-def test_auto_grain_uses_month_folders_for_small_days(spark, landing):
+def test_month_folders_on_request_replace_day_folders(spark, landing):
     src = pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"])
-    p = pl.Pipeline(spark, src, database="sample_month", calendar=("2024-01-01", "2024-01-31"))
-    p.bronze(); p.silver(); p.gold()
+    day = pl.Pipeline(spark, src, database="sample_month", calendar=("2024-01-01", "2024-01-31"))
+    day.bronze(); day.silver(); day.gold()
+    p = pl.Pipeline(spark, src, database="sample_month", calendar=("2024-01-01", "2024-01-31"),
+                    fact_grain="month")
+    p.gold()
+    with pytest.raises(ValueError):
+        pl.Pipeline(spark, src, database="sample_month", fact_grain="auto")
     files = spark.table("sample_month.fact_orders").inputFiles()
     assert {f.split("order_month=")[1].split("/")[0] for f in files} == {"2024-01-01"}
     assert spark.table("sample_month.vw_sales_kpis").count() == 6
@@ -97,11 +105,11 @@ def test_kpi_view_golden(spark, run):
 def test_checks_all_pass_on_sample(spark, run):
     _, results = run
     rows = {r["check"]: r for r in results.collect()}
-    assert len(rows) == 13
+    assert len(rows) == 15
     assert all(r["status"] == "PASS" for r in rows.values()), rows
-    rec = rows["revenue reconciliation bronze vs silver"]
+    rec = rows["silver_sales revenue agrees with bronze"]
     assert rec["actual"] == "509.87" and "569.85" in rec["details"]
-    assert rows["silver_sales freshness check"]["actual"] == "2024-01-18"
+    assert rows["silver_sales is as recent as bronze"]["actual"] == "2024-01-18"
 
 
 def test_rerun_is_idempotent(spark, run):
@@ -119,14 +127,19 @@ def test_rerun_is_idempotent(spark, run):
 
 def test_health_reports_every_table(spark, run):
     p, _ = run
-    rows = {r.table_name: r for r in p.health({"silver_orders": 6, "fact_orders": 6}).collect()}
-    assert rows["silver_orders"].status == "PASS" and rows["vw_sales_kpis"].actual_rows == 6
+    expected = {"bronze_orders": 9, "bronze_customers": 5, "bronze_products": 5, "silver_orders": 6,
+                "silver_customers": 5, "silver_products": 5, "quarantine_orders": 2, "dim_date": 1096,
+                "dim_customer": 5, "dim_product": 5, "dim_channel": 3, "fact_orders": 6}
+    assert p.expected == expected
+    # Another process: the expectations are read back from the run's table.
+    rows = {r.table_name: r for r in pl.Pipeline(spark, p.src, database=DB).health().collect()}
+    assert {k: rows[k].expected_rows for k in expected} == expected
     assert all(r.status == "PASS" for r in rows.values())
     assert (rows["ALL"].actual_rows, rows["ALL"].expected_rows) == (13, 13)
-    expected = p.default_expectations()
-    assert expected == {"bronze_orders": 9, "fact_orders": 6, "dim_customer": 5, "dim_product": 5}
     bad = {r.table_name: r.status for r in p.health({**expected, "dim_date": 7}).collect()}
     assert bad["dim_date"] == "FAIL" and bad["ALL"] == "FAIL"
+    none = {r.table_name: r.status for r in p.health({}).collect()}
+    assert none["fact_orders"] == "NO EXPECTATION" and none["ALL"] == "NO EXPECTATION"
 
 
 def test_nothing_dropped_by_the_view_on_the_sample(spark, run):
@@ -150,9 +163,9 @@ def test_fail_on_error_raises_after_writing(spark, landing):
     spark.table("sample_strict.silver_products").where("product_id <> 'PROD05'") \
         .write.mode("overwrite").format("parquet").saveAsTable("sample_strict.silver_products_x")
     p.table = lambda n, _t=p.table: _t("silver_products_x" if n == "silver_products" else n)
-    with pytest.raises(RuntimeError, match="valid product_id"):
+    with pytest.raises(RuntimeError, match="product is known"):
         p.check(fail_on_error=True)
-    assert spark.table("sample_strict.test_results").count() == 13
+    assert spark.table("sample_strict.test_results").count() == 15
 
 
 def test_rerun_with_a_fresh_catalog_keeps_keys_and_quarantine(spark, landing):
@@ -173,3 +186,128 @@ def test_rerun_with_a_fresh_catalog_keeps_keys_and_quarantine(spark, landing):
                       .select("customer_id", "customer_sk").collect())) == keys
     assert spark.table(f"{db}.keymap_customer_sk").count() == 5
     assert {r["status"] for r in results.collect()} == {"PASS"}
+
+
+def write_orders(folder, name, lines, header=None):
+    head = header or ORDERS_CSV.splitlines()[0]
+    (folder / name).write_text("\n".join([head, *lines]) + "\n")
+
+
+def own_sources(spark, landing, folder):
+    return pl.landing_sources(spark, str(folder), landing["customers"], landing["products"])
+
+
+def fresh(spark, src, **kw):
+    return pl.Pipeline(spark, src, database=f"db_{uuid.uuid4().hex[:8]}",
+                       calendar=("2024-01-01", "2024-01-31"), **kw)
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_a_day_that_leaves_the_source_leaves_the_fact(spark, landing, tmp_path, mode):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    lines = ORDERS_CSV.strip().splitlines()[1:]
+    write_orders(folder, "o.csv", lines)
+    p = fresh(spark, own_sources(spark, landing, folder))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        p.run()
+        write_orders(folder, "o.csv", [x for x in lines if "2024-01-17" not in x])
+        results = {r["check"]: r["status"] for r in p.run().collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert p.table("fact_orders").count() == p.table("silver_orders").count() == 5
+    assert results["fact has silver's lines"] == results["fact has silver's revenue"] == "PASS"
+    # A stale fact fails.
+    p.table("silver_orders").where("order_id <> 'ORD008'").write.saveAsTable(p.t("short"))
+    p.table = lambda n, _t=p.table: _t("short" if n == "silver_orders" else n)
+    bad = {r["check"]: r["status"] for r in p.check().collect()}
+    assert bad["fact has silver's lines"] == bad["fact has silver's revenue"] == "FAIL"
+
+
+def test_csv_columns_are_taken_by_name(spark, landing, tmp_path):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    write_orders(folder, "o.csv", ["CUST01,web,O1,PROD01,2024-01-15,2.0,5.00,10.00,0,extra"],
+                 "customer_id,channel,order_id,product_id,order_date,quantity,unit_price,amount,discount_pct,note")
+    p = fresh(spark, own_sources(spark, landing, folder))
+    p.bronze(); p.silver()
+    r = p.table("silver_orders").first()
+    assert (r.order_id, r.customer_id, r.channel, r.quantity) == ("O1", "CUST01", "web", 2)
+    write_orders(folder, "p.csv", ["O2,CUST01,PROD01,2024-01-15,2,5.00,10.00,web,0"])
+    with pytest.raises(Exception, match="(?i)header"):  # another order in a second file
+        fresh(spark, own_sources(spark, landing, folder)).bronze()
+    (folder / "p.csv").unlink()
+    write_orders(folder, "o.csv", ["x"], "order_id")
+    with pytest.raises(ValueError, match="customer_id"):
+        fresh(spark, own_sources(spark, landing, folder)).bronze()
+
+
+def test_quarantine_keeps_what_arrived(spark, landing, tmp_path):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    good = "O1,CUST01,PROD01,2024-01-15,2,5.00,10.00,web,0"
+    bad = ["O2,CUST01,PROD01,2024-01-15,2,5.00,x12.5,web,0", "O3,CUST01,PROD01,2024-01-15,2.5,5.00,10.00,web,0",
+           "O4,CUST01,PROD01,2024-01-15,2,5.00,10.00,web,0,surplus", "O5,CUST01,PROD01"]
+    write_orders(folder, "o.csv", [good, *bad])
+    p = fresh(spark, own_sources(spark, landing, folder))
+    p.bronze(); p.silver()
+    got = {r.order_id: r for r in p.table("quarantine_orders").collect()}
+    assert {k: r.data_issue for k, r in got.items()} == {
+        "O2": "invalid amount", "O3": "invalid quantity", "O4": "malformed record", "O5": "malformed record"}
+    assert got["O2"]["_raw_amount"] == "x12.5" and got["O3"]["_raw_quantity"] == "2.5"
+    assert got["O4"]["_corrupt_record"] == bad[2] and got["O5"]["_corrupt_record"] == bad[3]
+    assert p.table("silver_orders").columns.count("_corrupt_record") == 0
+    p.silver()  # the same files: nothing new
+    assert p.table("quarantine_orders").count() == 4
+    write_orders(folder, "o.csv", [good, bad[0].replace("x12.5", "x99.9")])
+    p.bronze(); p.silver()  # another bad value for the same order is another row
+    assert p.table("quarantine_orders").count() == 5 == p.expected["quarantine_orders"]
+    assert not spark.catalog.tableExists(p.t("quarantine_customers"))
+
+
+def test_every_check_can_fail(spark, landing):
+    p = fresh(spark, pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"]))
+    p.bronze(); p.silver(); p.gold()
+    silver, fact = p.table("silver_orders"), p.table("fact_orders")
+    broken = (silver.where("order_id <> 'ORD008'")
+              .unionByName(silver.where("order_id = 'ORD001'").withColumn("amount", F.lit(-3.0)))
+              .unionByName(silver.where("order_id = 'ORD002'").withColumn("order_id", F.lit(None).cast("string"))
+                           .withColumn("product_id", F.lit(None).cast("string"))
+                           .withColumn("order_date", F.lit(None).cast("date")).withColumn("amount", F.lit(None).cast("double"))))
+    frames = quality.Frames(
+        labelled_sales=lambda: sv.labelled(p.src.sales_entity, p.table("bronze_orders")),
+        silver_sales=lambda: broken.drop("channel").where("order_date < '2024-01-18' OR order_date IS NULL"),
+        customers_ref=lambda: p.table("silver_customers").where("customer_id <> 'CUST01'"),
+        products_ref=lambda: p.table("silver_products").where("product_id <> 'PROD01'"),
+        fact=lambda: fact.withColumn("gross_profit", F.lit(-1.0)),
+        keys=["order_id"], tie_break=p.src.sales_entity.tie_break)
+    rows = {r["check"]: r for r in quality.run_suite(frames, [*quality.CHECKS, *quality.TABLE_CHECKS]).collect()}
+    assert {r["status"] for r in rows.values()} == {"FAIL"} and len(rows) == 15
+    assert rows["silver_sales has every expected column"]["details"] == "absent: channel"
+    frames.silver_sales = lambda: silver.drop("amount")  # reported, not raised
+    got = {r["check"]: r["status"] for r in quality.run_suite(frames, ["check_schema", "check_nulls", "check_negative"]).collect()}
+    assert got["silver_sales.amount is filled"] == "FAIL" and got["silver_sales.order_id is filled"] == "PASS"
+
+
+def test_freshness_by_day_and_by_age(spark, run):
+    p, _ = run
+    def status(**kw):
+        return {r["check"]: r["status"] for r in p.check(**kw).collect()}
+    assert status(fresh_since="2024-01-18")["silver_sales reaches the wanted day"] == "PASS"
+    assert status(fresh_since="2024-01-19")["silver_sales reaches the wanted day"] == "FAIL"
+    got = status(max_age_days=30)
+    assert got["silver_sales is young enough"] == "FAIL" and "silver_sales is as recent as bronze" not in got
+    assert status(max_age_days=100_000)["silver_sales is young enough"] == "PASS"
+    p.check()
+
+
+def test_a_lost_row_fails_the_health_check(spark, landing):
+    p = fresh(spark, pl.landing_sources(spark, landing["orders"], landing["customers"], landing["products"]))
+    p.run()
+    kept = p.table("fact_orders").where("order_id <> 'ORD001'").collect()
+    schema = p.table("fact_orders").schema
+    from tierwise.sources import sinks
+    sinks.write_partitioned(spark.createDataFrame(kept, schema), p.t("fact_orders"), "order_date")
+    rows = {r.table_name: r.status for r in p.health().collect()}
+    assert rows["fact_orders"] == "FAIL" and rows["ALL"] == "FAIL"

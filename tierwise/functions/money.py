@@ -30,6 +30,11 @@ def from_cents(col: str | Column) -> Column:
     return _c(col).cast("double") / F.lit(100.0)
 
 
+def sum_cents(col: str | Column) -> Column:
+    """Sum of a double amount in whole cents, as DECIMAL(30,0): beyond a bigint's range."""
+    return F.sum((_c(col).cast("decimal(18,2)") * 100).cast("decimal(18,0)")).cast("decimal(30,0)")
+
+
 def cents_text(col: str | Column) -> Column:
     """Bigint cents -> exact text with two decimals, e.g. ``2381643682.99``."""
     return (_c(col).cast("decimal(38,0)") / F.lit(100)).cast(MONEY_TEXT).cast("string")
@@ -38,11 +43,12 @@ def cents_text(col: str | Column) -> Column:
 def rounded_ratio(num: str, den: str, scale: int) -> Column:
     """round(num / den * scale) as bigint, half away from zero; NULL if den is 0.
 
-    ``num`` and ``den`` are bigint SQL expressions (column names). Integer
-    division keeps the result exact: ``(2*|n|*scale + |d|) div (2*|d|)``, then
-    the sign of n / d is restored.
+    ``num`` and ``den`` are integer SQL expressions (column names). The products are
+    decimals of up to 38 digits, so sums of cents may use the whole of a bigint (and
+    decimal sums up to 30 digits), and integer division keeps the result exact:
+    ``(2*|n|*scale + |d|) div (2*|d|)``, then the sign of n / d is restored.
     """
-    n, d = f"({num})", f"({den})"
+    n, d = f"CAST({num} AS DECIMAL(30,0))", f"CAST({den} AS DECIMAL(30,0))"
     return F.expr(
         f"CASE WHEN {d} = 0 THEN CAST(NULL AS BIGINT) ELSE "
         f"CAST(sign({n}) * sign({d}) AS BIGINT) * "

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.money import cents_text
 
-PASS, FAIL = "PASS", "FAIL"
+PASS, FAIL, NO_EXPECTATION = "PASS", "FAIL", "NO EXPECTATION"
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ class Check:
     actual: str                 # metric key "<table>.<metric>"
     expected: str | int         # metric key or a literal
     kind: str = "count"         # count | money | date (epoch days)
-    op: str = "eq"              # eq | le
+    op: str = "eq"              # eq | le | ge
     details: str = ""           # template: {actual}, {expected}, {<metric key>}
 
 
@@ -92,7 +92,7 @@ def evaluate(metrics: MetricSet, checks: list[Check], kinds: dict[str, str] | No
     for c in checks:
         actual = col(c.actual)
         expected = col(c.expected) if isinstance(c.expected, str) else F.lit(c.expected)
-        ok = actual.eqNullSafe(expected) if c.op == "eq" else (actual <= expected)
+        ok = {"eq": actual.eqNullSafe(expected), "le": actual <= expected, "ge": actual >= expected}[c.op]
         status = F.when(F.coalesce(ok, F.lit(False)), F.lit(PASS)).otherwise(F.lit(FAIL))
         values = {k: _fmt(col(k), kinds.get(k, c.kind)) for k in keys}
         values["actual"] = _fmt(actual, c.kind)

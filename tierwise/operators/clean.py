@@ -16,6 +16,8 @@ from tierwise.functions.rules import OK, Rule, first_match
 
 ISSUE = "data_issue"
 RAW_PREFIX = "_raw_"
+CORRUPT = "_corrupt_record"  # the whole line of a malformed landing record
+INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,12 @@ def standardise(df: DataFrame, spec: list[Col], flag_invalid: bool = False) -> D
                                                or types[name].simpleString() != target):
             if src_is_text and flag_invalid:
                 raws.append(F.col(name).alias(RAW_PREFIX + name))
-            col = col.try_cast(target)
+            if src_is_text and target in INTEGER_TYPES:
+                # "2.0" is a whole number; only a fractional rest is invalid.
+                number = col.try_cast("decimal(38,10)")
+                col = F.when(number == F.floor(number), number.try_cast(target))
+            else:
+                col = col.try_cast(target)
         elif target == "string" and not src_is_text:
             col = _clean_text(col.cast("string"), c.upper)
         out.append(col.alias(name))
@@ -68,23 +75,32 @@ def standardise(df: DataFrame, spec: list[Col], flag_invalid: bool = False) -> D
 
 
 def invalid_rules(df: DataFrame) -> list[Rule]:
-    """Rules for values that did not survive ``standardise``'s cast."""
-    return [Rule(f"invalid {c[len(RAW_PREFIX):]}",
+    """Rules for malformed records and values that did not survive ``standardise``'s cast."""
+    corrupt = [Rule("malformed record", f"`{CORRUPT}` IS NOT NULL")] if CORRUPT in df.columns else []
+    return corrupt + [Rule(f"invalid {c[len(RAW_PREFIX):]}",
                  f"`{c}` IS NOT NULL AND trim(`{c}`) <> '' AND `{c[len(RAW_PREFIX):]}` IS NULL")
             for c in df.columns if c.startswith(RAW_PREFIX)]
 
 
+def arrival_columns(df: DataFrame) -> list[str]:
+    """Columns that hold what arrived: raw values and the malformed record."""
+    return [c for c in df.columns if c.startswith(RAW_PREFIX) or c == CORRUPT]
+
+
 def label(df: DataFrame, rules: list[Rule], issue_col: str = ISSUE,
-          with_invalid: bool = True) -> DataFrame:
-    """Add the first-match issue label; drop raw helper columns."""
+          with_invalid: bool = True, keep_raw: bool = False) -> DataFrame:
+    """Add the first-match issue label. The entity's rules come first, in the
+    reference's order, then what the rows could not be read as. ``keep_raw`` keeps the
+    values as they arrived (for quarantine)."""
     all_rules = list(rules) + (invalid_rules(df) if with_invalid else [])
     labelled = df.withColumn(issue_col, first_match(all_rules))
-    return labelled.drop(*[c for c in df.columns if c.startswith(RAW_PREFIX)])
+    return labelled if keep_raw else labelled.drop(*arrival_columns(df))
 
 
 def split(labelled: DataFrame, issue_col: str = ISSUE) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) as two filters over one labelled plan; good drops the label."""
-    good = labelled.filter(F.col(issue_col) == OK).drop(issue_col)
+    """(good, bad) as two filters over one labelled plan; good drops the label and
+    the values as they arrived, bad keeps both."""
+    good = labelled.filter(F.col(issue_col) == OK).drop(issue_col, *arrival_columns(labelled))
     bad = labelled.filter(F.col(issue_col) != OK)
     return good, bad
 
@@ -115,10 +131,13 @@ def dedup(df: DataFrame, keys: list[str], tie_break: list[str] | None = None,
     """Keep one row per key: the first by ``tie_break`` (ASC NULLS FIRST,
     or DESC NULLS LAST for columns in ``desc``), then by every other column.
 
-    Written as ``groupBy(keys).agg(min(struct(order..., row...)))``: the
-    aggregate is combined map-side before the shuffle, so a key with millions
-    of copies never reaches one task as millions of rows. The survivor is
-    fully determined (SURVEY trap 1); ``NULL`` keys form their own group.
+    Written as ``groupBy(struct(keys)).agg(min(struct(order..., row...)))``. Rows
+    that arrive hash-partitioned on part of the key (bronze, joined on ``order_id``)
+    would otherwise be aggregated where they are, a hot order in one task; the struct
+    is a key of its own, so the aggregate is combined in place, then dealt by the whole
+    key, and the adaptive plan is free to split the join in front of it. No session
+    setting is needed for that. The survivor is fully determined (SURVEY trap 1);
+    ``NULL`` keys form their own group.
     """
     tie_break = list(tie_break or [])
     payload = [c for c in df.columns if c not in keys]
@@ -127,8 +146,8 @@ def dedup(df: DataFrame, keys: list[str], tie_break: list[str] | None = None,
     aggs = [F.min(packed).alias("_w")]
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))
-    grouped = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys] + [F.col("_w")[c].alias(c) for c in payload]
+    grouped = df.groupBy(F.struct(*keys).alias("_k")).agg(*aggs)
+    cols = [F.col("_k")[k].alias(k) for k in keys] + [F.col("_w")[c].alias(c) for c in payload]
     if copies_col:
         cols.append(F.col(copies_col))
     return grouped.select(*cols)

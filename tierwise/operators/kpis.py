@@ -23,9 +23,12 @@ STAR_GROUPS = ["year", "quarter", "month", "month_name", "day_type",
 
 def star(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
          dim_customer: DataFrame, dim_channel: DataFrame) -> DataFrame:
-    """The view's FROM clause: fact inner-joined to the four dimensions."""
-    f = fact.select("order_id", "date_sk", "product_sk", "customer_sk", "channel_sk",
-                    "quantity", "amount", "gross_profit")
+    """The view's FROM clause: fact inner-joined to the four dimensions on their
+    surrogate keys, reduced first to one row per order and key combination."""
+    keys = ["date_sk", "product_sk", "customer_sk", "channel_sk"]
+    f = fact.groupBy("order_id", *keys).agg(
+        F.sum("quantity").alias("quantity"), F.sum(cents("amount")).alias("_rev"),
+        F.sum(cents("gross_profit")).alias("_gp"))
     return (f.join(dim_date.select("date_sk", "year", "quarter", "month", "month_name", "day_type"),
                    "date_sk")
              .join(dim_product.select("product_sk", "category", "brand"), "product_sk")
@@ -34,48 +37,35 @@ def star(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
              .join(dim_channel.select("channel_sk", "channel"), "channel_sk"))
 
 
-def star_from_silver(silver: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-                     dim_customer: DataFrame, dim_channel: DataFrame) -> DataFrame:
-    """Same rows as ``star(fact_sales(silver, ...), ...)``, joined once on the
-    natural keys (each dimension is unique on both its natural and its
-    surrogate key)."""
-    s = silver.select("order_id", "customer_id", "product_id", "channel", "order_date",
-                      "quantity", "amount")
-    rows = (s.join(dim_date.select(F.col("full_date").alias("order_date"), "year", "quarter",
-                                   "month", "month_name", "day_type"), "order_date")
-             .join(dim_product.select("product_id", "category", "brand", "unit_cost"), "product_id")
-             .join(dim_customer.select("customer_id", "region", "segment", "country_code"),
-                   "customer_id")
-             .join(dim_channel.select("channel"), "channel"))
-    return rows.withColumn("gross_profit", F.col("amount") - F.col("quantity") * F.col("unit_cost"))
-
-
 def _by_order_then_group(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Aggregate to one row per (groups, order_id), then per groups.
 
-    Exact for ``COUNT(DISTINCT order_id)`` with a single grouping: the
-    per-order rows are unique, so counting them counts distinct orders.
-    Unlike Spark's distinct-aggregate rewrite there is no ``Expand`` that
-    doubles the rows; both levels combine map-side before their shuffle.
-    Output columns: groups, order_count, units_sold, _rev, _n, _gp.
+    Exact for ``COUNT(DISTINCT order_id)``: the per-order rows are unique, so counting
+    them counts distinct orders, and both levels combine map-side before their shuffle.
+    Totals of orders are bigint cents, totals of groups decimals (no overflow).
+    Output columns: groups, order_count, units_sold, _rev, _gp, _lines.
     """
-    gp = cents("gross_profit") if "gross_profit" in rows.columns else F.lit(None).cast("bigint")
     per_order = rows.groupBy(*groups, "order_id").agg(
-        F.sum("quantity").alias("_q"), F.sum(cents("amount")).alias("_rev"),
-        F.count("amount").alias("_n"), F.sum(gp).alias("_gp"),
+        F.sum("quantity").alias("_q"),
+        F.sum(F.col("_rev") if "_rev" in rows.columns else cents("amount")).alias("_rev"),
+        F.sum(F.col("_gp") if "_gp" in rows.columns else F.lit(None).cast("bigint")).alias("_gp"),
         F.count(F.lit(1)).alias("_lines"))
     return per_order.groupBy(*groups).agg(
         F.count("order_id").alias("order_count"),
         F.sum("_q").cast("bigint").alias("units_sold"),
-        F.sum("_rev").alias("_rev"), F.sum("_n").alias("_n"), F.sum("_gp").alias("_gp"),
-        F.sum("_lines").alias("_lines"))
+        total("_rev"), total("_gp"), F.sum("_lines").alias("_lines"))
+
+
+def total(col: str):
+    """Sum of bigint cents as a decimal of its own range."""
+    return F.sum(F.col(col).cast("decimal(28,0)")).alias(col)
 
 
 def kpi_star(star_rows: DataFrame) -> DataFrame:
     g = _by_order_then_group(star_rows, STAR_GROUPS)
     return g.select(*STAR_GROUPS, "order_count", "units_sold",
                     from_cents("_rev").alias("revenue"),
-                    avg_cents("_rev", "_n").alias("avg_order_value"),
+                    avg_cents("_rev", "order_count").alias("avg_order_value"),
                     from_cents("_gp").alias("gross_profit"),
                     pct_tenths("_gp", "_rev").alias("margin_pct"))
 
@@ -87,16 +77,18 @@ def kpi_top(kpis: DataFrame, k: int = 10) -> DataFrame:
     return kpis.orderBy(*order).limit(k)
 
 
-def kpi_time(fact: DataFrame) -> DataFrame:
-    """Revenue by year, quarter and month in one pass (ROLLUP)."""
+def kpi_time(lines: DataFrame) -> DataFrame:
+    """Revenue by year, quarter and month in one pass (ROLLUP), over one row per order and
+    month instead of one per line. ``lines``: silver or the fact; no dimension is needed."""
     d = F.col("order_date")
-    dated = fact.select(F.year(d).cast("int").alias("year"), F.quarter(d).cast("int").alias("quarter"),
-                        F.month(d).cast("int").alias("month"), "order_id", "quantity", "amount")
-    g = dated.rollup("year", "quarter", "month").agg(
+    per_order = lines.groupBy(
+        "order_id", F.year(d).cast("int").alias("year"), F.quarter(d).cast("int").alias("quarter"),
+        F.month(d).cast("int").alias("month")).agg(
+        F.sum("quantity").alias("quantity"), F.sum(cents("amount")).alias("_rev"))
+    g = per_order.rollup("year", "quarter", "month").agg(
         F.grouping_id().cast("int").alias("grouping_level"),
         F.count_distinct("order_id").alias("order_count"),
-        F.sum("quantity").cast("bigint").alias("units_sold"),
-        F.sum(cents("amount")).alias("_rev"))
+        F.sum("quantity").cast("bigint").alias("units_sold"), total("_rev"))
     return g.select("year", "quarter", "month", "grouping_level", "order_count", "units_sold",
                     from_cents("_rev").alias("revenue"))
 
@@ -115,41 +107,47 @@ def kpi_daytype(fact: DataFrame) -> DataFrame:
     return g.select("day_type", "order_count", "units_sold", from_cents("_rev").alias("revenue"))
 
 
-def kpi_segment(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def kpi_segment(lines: DataFrame, dim_customer: DataFrame, key: str = "customer_sk") -> DataFrame:
     """Average order value (revenue / distinct orders) by customer segment.
 
-    The fact is first reduced to one row per (customer_sk, order_id), so the
-    join to the customer dimension carries orders, not lines.
+    The lines are first reduced to one row per (customer, order), so the join to the
+    customer dimension, on its surrogate or natural key, carries orders, not lines.
     """
-    per_order = fact.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk", "order_id").agg(
+    per_order = lines.where(F.col(key).isNotNull()).groupBy(key, "order_id").agg(
         F.sum(cents("amount")).alias("_rev"))
-    joined = per_order.join(dim_customer.select("customer_sk", "segment"), "customer_sk")
-    g = joined.groupBy("segment").agg(F.count_distinct("order_id").alias("order_count"),
-                                      F.sum("_rev").alias("_rev"))
+    joined = per_order.join(dim_customer.select(key, "segment"), key)
+    g = joined.groupBy("segment").agg(F.count_distinct("order_id").alias("order_count"), total("_rev"))
     return g.select("segment", "order_count", from_cents("_rev").alias("revenue"),
                     avg_cents("_rev", "order_count").alias("avg_order_value"))
 
 
-def kpi_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Gross profit and margin % by product category (pre-aggregated per product)."""
-    per_product = fact.where(F.col("product_sk").isNotNull()).groupBy("product_sk").agg(
-        F.sum(cents("amount")).alias("_rev"), F.sum(cents("gross_profit")).alias("_gp"))
-    joined = per_product.join(dim_product.select("product_sk", "category"), "product_sk")
-    g = joined.groupBy("category").agg(F.sum("_rev").alias("_rev"), F.sum("_gp").alias("_gp"))
+def kpi_category(lines: DataFrame, dim_product: DataFrame, key: str = "product_sk") -> DataFrame:
+    """Gross profit and margin % by product category. Lines that carry ``gross_profit`` are
+    reduced to one row per product before the join; others meet their unit cost in it."""
+    have = "gross_profit" in lines.columns
+    rows = lines.where(F.col(key).isNotNull())
+    if have:
+        rows = rows.groupBy(key).agg(F.sum(cents("amount")).alias("_rev"),
+                                     F.sum(cents("gross_profit")).alias("_gp"))
+        joined = rows.join(dim_product.select(key, "category"), key)
+    else:
+        joined = rows.join(dim_product.select(key, "category", "unit_cost"), key).select(
+            "category", cents("amount").alias("_rev"),
+            cents(F.col("amount") - F.col("quantity") * F.col("unit_cost")).alias("_gp"))
+    g = joined.groupBy("category").agg(total("_rev"), total("_gp"))
     return g.select("category", from_cents("_rev").alias("revenue"),
                     from_cents("_gp").alias("gross_profit"),
                     pct_tenths("_gp", "_rev").alias("margin_pct"))
 
 
-def kpi_geo(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def kpi_geo(lines: DataFrame, dim_customer: DataFrame, key: str = "customer_sk") -> DataFrame:
     """Revenue by region and country with subtotals (ROLLUP), pre-aggregated per customer."""
-    per_customer = fact.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk").agg(
+    per_customer = lines.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.sum(cents("amount")).alias("_rev"), F.count(F.lit(1)).alias("_lines"))
-    joined = per_customer.join(dim_customer.select("customer_sk", "region", "country_code"),
-                               "customer_sk")
+    joined = per_customer.join(dim_customer.select(key, "region", "country_code"), key)
     g = joined.rollup("region", "country_code").agg(
         F.grouping_id().cast("int").alias("grouping_level"),
-        F.sum("_lines").alias("line_count"), F.sum("_rev").alias("_rev"))
+        F.sum("_lines").alias("line_count"), total("_rev"))
     return g.select("region", "country_code", "grouping_level", "line_count",
                     from_cents("_rev").alias("revenue"))
 

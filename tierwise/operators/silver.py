@@ -62,10 +62,12 @@ def product_entity(id_type: str = "bigint") -> Entity:
                   ["name", "category", "brand", "unit_cost"])
 
 
-def labelled(entity: Entity, bronze: DataFrame, drop: list[str] | None = None) -> DataFrame:
+def labelled(entity: Entity, bronze: DataFrame, drop: list[str] | None = None,
+             keep_raw: bool = False) -> DataFrame:
     """Standardised bronze rows with ``data_issue``; nothing is dropped."""
-    std = standardise(bronze.drop(*(drop or ["_ingest_at"])), entity.spec, flag_invalid=True)
-    return label(std, entity.rules)
+    std = standardise(bronze.drop(*(["_ingest_at"] if drop is None else drop)), entity.spec,
+                      flag_invalid=True)
+    return label(std, entity.rules, keep_raw=keep_raw)
 
 
 def label_counts(lab: DataFrame) -> DataFrame:

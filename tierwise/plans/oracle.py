@@ -232,7 +232,7 @@ kpi AS (
          count(DISTINCT f.order_id) AS order_count,
          CAST(sum(f.quantity) AS BIGINT) AS units_sold,
          {money('f.amount')} AS revenue,
-         {avg_money(cents_sum('f.amount'), 'count(f.amount)')} AS avg_order_value,
+         {avg_money(cents_sum('f.amount'), 'count(DISTINCT f.order_id)')} AS avg_order_value,
          {money('f.gross_profit')} AS gross_profit,
          {pct(cents_sum('f.gross_profit'), cents_sum('f.amount'))} AS margin_pct
   FROM fact_sales f
@@ -357,6 +357,13 @@ m_orphan_c AS (
 m_orphan_p AS (
   SELECT count(*) AS n FROM silver_sales s
   WHERE NOT EXISTS (SELECT 1 FROM dirty_silver_products p WHERE p.product_id = s.product_id)),
+m_repeats AS (
+  SELECT coalesce(sum(CAST(CAST(amount AS DECIMAL(18,2)) * 100 AS BIGINT)), 0) AS revenue
+  FROM ranked_sales WHERE rn > 1),
+m_schema AS (
+  SELECT 9 - len(list_intersect(json_keys(to_json(s)), ['order_id', 'customer_id', 'product_id', 'order_date',
+         'quantity', 'unit_price', 'amount', 'channel', 'discount_pct'])) AS missing
+  FROM (SELECT silver_sales AS s FROM silver_sales LIMIT 1)),
 m_fact AS (
   SELECT count(*) FILTER (WHERE gross_profit < 0) AS negative_profit FROM fact_sales)"""
 
@@ -373,36 +380,36 @@ def _row(name: str, actual: str, expected: str, details: str, src: str) -> str:
 
 CHECK_ROWS = {
     "check_row_count": [_row(
-        "silver_sales row count", "s.rows", "b.good_keys",
-        "'bronze ' || b.rows || ' - quarantined ' || b.quarantined || ' - duplicates ' || b.duplicates",
+        "silver_sales holds every valid key once", "s.rows", "b.good_keys",
+        "'of ' || b.rows || ' bronze lines ' || b.quarantined || ' rejected, ' || b.duplicates || ' repeated'",
         "m_silver s, m_bronze b")],
-    "check_nulls": [_row(f"no nulls in silver_sales.{c}", f"s.null_{c}", "0",
-                         f"'found ' || s.null_{c} || ' null values in {c}'", "m_silver s")
+    "check_nulls": [_row(f"silver_sales.{c} is filled", f"s.null_{c}", "0",
+                         f"s.null_{c} || ' lines without {c}'", "m_silver s")
                     for c in ["order_id", "product_id", "amount", "order_date"]],
-    "check_unique": [_row("order key is unique in silver_sales", "d.n", "0",
-                          "'found ' || d.n || ' duplicated key(s)'", "m_dups d")],
-    "check_negative": [_row("no negative amounts in silver_sales", "s.negative", "0",
-                            "'found ' || s.negative || ' negative amounts'", "m_silver s")],
-    "check_orphan_customer": [_row("all orders have valid customer_id", "o.n", "0",
-                                   "'found ' || o.n || ' orders with no matching customer'",
+    "check_unique": [_row("silver_sales key occurs once", "d.n", "0",
+                          "d.n || ' repeated keys'", "m_dups d")],
+    "check_negative": [_row("silver_sales amounts are not below zero", "s.negative", "0",
+                            "s.negative || ' lines below zero'", "m_silver s")],
+    "check_orphan_customer": [_row("every line''s customer is known", "o.n", "0",
+                                   "o.n || ' lines with an unknown customer'",
                                    "m_orphan_c o")],
-    "check_orphan_product": [_row("all orders have valid product_id", "o.n", "0",
-                                  "'found ' || o.n || ' orders with no matching product'",
+    "check_orphan_product": [_row("every line''s product is known", "o.n", "0",
+                                  "o.n || ' lines with an unknown product'",
                                   "m_orphan_p o")],
     "check_reconcile": [
-        f"SELECT 'revenue reconciliation bronze vs silver' AS \"check\", "
-        f"CASE WHEN s.revenue IS NOT DISTINCT FROM s.revenue THEN 'PASS' ELSE 'FAIL' END AS status, "
-        f"{_money_txt('s.revenue')} AS expected, {_money_txt('s.revenue')} AS actual, "
-        f"'bronze with duplicates kept: ' || {_money_txt('b.valid_revenue_all')} AS details "
-        f"FROM m_silver s, m_bronze b"],
-    "check_freshness": [_row("silver_sales freshness check", "s.latest", "b.latest",
-                             "'latest order date is ' || CAST(s.latest AS VARCHAR)",
+        f"SELECT 'silver_sales revenue agrees with bronze' AS \"check\", "
+        f"CASE WHEN s.revenue IS NOT DISTINCT FROM b.valid_revenue_all - r.revenue THEN 'PASS' ELSE 'FAIL' END AS status, "
+        f"{_money_txt('b.valid_revenue_all - r.revenue')} AS expected, {_money_txt('s.revenue')} AS actual, "
+        f"'repeated lines included: ' || {_money_txt('b.valid_revenue_all')} AS details "
+        f"FROM m_silver s, m_bronze b, m_repeats r"],
+    "check_freshness": [_row("silver_sales is as recent as bronze", "s.latest", "b.latest",
+                             "'newest order is of ' || s.latest || ', needed ' || b.latest",
                              "m_silver s, m_bronze b")],
-    "check_profit": [_row("no negative gross profit in fact_sales", "f.negative_profit", "0",
-                          "'found ' || f.negative_profit || ' lines with negative profit'",
+    "check_profit": [_row("no line sells below cost", "f.negative_profit", "0",
+                          "f.negative_profit || ' lines below cost'",
                           "m_fact f")],
-    "check_schema": [_row("silver_sales schema check", "0", "0",
-                          "'0 of 9 expected columns missing'", "m_silver s")],
+    "check_schema": [_row("silver_sales has every expected column", "k.missing", "0",
+                          "(9 - k.missing) || ' of 9 present'", "m_schema k")],
 }
 
 CHECKS_BASE = _gold().rstrip() + "," + DIRTY_DIMS + "," + METRICS + "\n"
@@ -462,7 +469,13 @@ counts AS (
          (SELECT count(*) FROM dim_channel)
   UNION ALL SELECT 'fact_sales', (SELECT count(*) FROM silver_sales),
          (SELECT count(*) FROM fact_sales)
-  UNION ALL SELECT 'kpi_star', (SELECT count(*) FROM kpi), (SELECT count(*) FROM kpi)),
+  UNION ALL SELECT 'kpi_star',
+         (SELECT count(*) FROM (SELECT DISTINCT date_trunc('month', s.order_date),
+                 dayofweek(s.order_date) IN (0, 6), p.category, p.brand, c.region, c.segment,
+                 c.country_code, s.channel
+          FROM silver_sales s JOIN silver_products p USING (product_id)
+          JOIN silver_customers c USING (customer_id) WHERE s.channel IS NOT NULL) t),
+         (SELECT count(*) FROM kpi)),
 rows_ AS (
   SELECT table_name, CAST(expected_rows AS BIGINT) AS expected_rows,
          CAST(actual_rows AS BIGINT) AS actual_rows,

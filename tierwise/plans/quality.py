@@ -38,61 +38,67 @@ def _good_key() -> Column:
 
 
 class Frames:
-    """The DataFrames a check suite reads: lazy plans or written tables."""
+    """The DataFrames a check suite reads (callables: lazy plans or written tables)."""
 
-    def __init__(self, labelled_sales, silver_sales, bronze_dedup, customers_ref, products_ref,
-                 fact, keys):
-        self.labelled_sales = labelled_sales      # callables returning DataFrames
+    def __init__(self, labelled_sales, silver_sales, customers_ref, products_ref, fact, keys,
+                 tie_break, fresh_since: str | None = None, max_age_days: int | None = None):
+        self.labelled_sales = labelled_sales
         self.silver_sales = silver_sales
-        self.bronze_dedup = bronze_dedup
         self.customers_ref = customers_ref
         self.products_ref = products_ref
         self.fact = fact
         self.keys = keys
+        self.tie_break = tie_break
+        self.fresh_since = fresh_since
+        self.max_age_days = max_age_days
 
 
-def registry_frames(spark: SparkSession, d: str, need_fact: bool = True) -> Frames:
-    """Frames over the registry's plans. Orphan checks use the dirty-customer
-    and dirty-product variants so that they bite.
+def registry_frames(spark: SparkSession, d: str, share_silver: bool = False) -> Frames:
+    """Frames over the registry's plans. Orphan checks use the dirty-customer and
+    dirty-product variants so that they bite. ``share_silver``: several checks read
+    silver, so the columns they read are computed once, in the shared checkpoint folder."""
 
-    Silver is checkpointed once (when a check first needs it) and shared by
-    every silver-side metric and by the fact; the bronze side of the
-    reconciliation is deduplicated again, independently, from bronze.
-    """
-    def _silver() -> DataFrame:
-        if need_fact:  # silver and the keyed dimensions are cut side by side
-            return gold().silver_sales
+    @functools.cache
+    def silver() -> DataFrame:
+        rows = rg.silver_sales(spark, d)
+        if not share_silver:
+            return rows
         checkpoint_dir(spark)
-        return rg.silver_sales(spark, d).checkpoint(eager=True)
+        used = [c for c in rows.columns if c in {*rg.SALES.keys, *EXPECTED_SILVER_COLUMNS}]
+        return rows.select(*used).checkpoint(eager=True)
+
+    def lines_with_profit() -> DataFrame:
+        cost = rg.silver_products(spark, d).select("product_id", "unit_cost")
+        return silver().join(cost, "product_id", "left").withColumn(
+            "gross_profit", F.col("amount") - F.col("quantity") * F.col("unit_cost"))
 
-    silver = functools.cache(_silver)
-    gold = functools.cache(lambda: rg.Gold(spark, d))
     return Frames(
         labelled_sales=lambda: rg.labelled_sales(spark, d),
         silver_sales=silver,
-        bronze_dedup=lambda: sv.silver(rg.SALES, rg.bronze_sales(spark, d)),
         customers_ref=lambda: rg.silver_customers(spark, d, dirty=True),
         products_ref=lambda: rg.silver_products(spark, d, dirty=True),
-        fact=lambda: gold().fact,
-        keys=rg.SALES.keys,
-    )
+        fact=lines_with_profit,
+        keys=rg.SALES.keys, tie_break=rg.SALES.tie_break)
+
+
+def first_of_key(rows: DataFrame, keys: list[str], tie_break: list[str]) -> DataFrame:
+    """Cents of the first valid bronze line per key: the reconciliation's own way to what
+    silver must hold (an aggregate of one value, not silver's dedup)."""
+    order = F.struct(*[F.col(c) for c in tie_break if c in rows.columns])
+    return rows.where(_ok()).groupBy(F.struct(*keys)).agg(
+        F.min_by(F.struct(cents("amount").alias("c")), order).alias("w")).select("w.c")
 
 
 def _table_builders(fr: Frames) -> dict[str, Callable[[], tuple]]:
-    """Metric groups by table; each is built only when a selected check needs it."""
+    """Per table its metrics; only those that a selected check names are built."""
     good_key = F.when(_ok(), F.struct(*[F.col(k) for k in fr.keys]))
 
-    def silver():
-        df = fr.silver_sales()
-        missing = len([c for c in EXPECTED_SILVER_COLUMNS if c not in df.columns])
-        return df, dict(
-            rows=F.count(F.lit(1)),
-            **{f"null_{c}": F.count_if(F.col(c).isNull()) for c in CRITICAL_COLUMNS},
-            negative=F.count_if(F.col("amount") < 0),
-            revenue=F.sum(cents("amount")),
-            latest=F.unix_date(F.max("order_date")),
-            missing_columns=F.lit(missing),
-        )
+    def of_silver(column: str, expr: Column) -> Column:
+        """A metric of an absent column is NULL, which fails its check."""
+        return expr if column in fr.silver_sales().columns else F.lit(None).cast("bigint")
+
+    def one_row(**values: Column) -> tuple:
+        return fr.silver_sales().sparkSession.range(1), {k: F.max(v) for k, v in values.items()}
 
     return {
         "bronze": lambda: (fr.labelled_sales(), dict(
@@ -103,8 +109,20 @@ def _table_builders(fr: Frames) -> dict[str, Callable[[], tuple]]:
             valid_revenue_all=F.sum(F.when(_ok(), cents("amount"))),
             latest=F.unix_date(F.max(F.when(_ok(), F.col("order_date")))),
         )),
-        "bronze_dedup": lambda: (fr.bronze_dedup(), dict(revenue=F.sum(cents("amount")))),
-        "silver": silver,
+        "bronze_first": lambda: (first_of_key(fr.labelled_sales(), fr.keys, fr.tie_break),
+                                 dict(revenue=F.sum("c"))),
+        "silver": lambda: (fr.silver_sales(), dict(
+            rows=F.count(F.lit(1)),
+            **{f"null_{c}": of_silver(c, F.count_if(F.col(c).isNull())) for c in CRITICAL_COLUMNS},
+            negative=of_silver("amount", F.count_if(F.col("amount") < 0)),
+            revenue=of_silver("amount", F.sum(cents("amount"))),
+            latest=of_silver("order_date", F.unix_date(F.max("order_date"))),
+        )),
+        # Names only: no row is read.
+        "silver_schema": lambda: one_row(missing=F.lit(len(missing_columns(fr)))),
+        "wanted": lambda: one_row(
+            since=F.unix_date(F.to_date(F.lit(fr.fresh_since))),
+            day=F.unix_date(F.date_sub(F.current_date(), fr.max_age_days or 0))),
         "silver_dups": lambda: (ck.duplicate_keys(fr.silver_sales(), fr.keys), dict(
             n=F.count(F.lit(1)))),
         "orphan_customers": lambda: (ck.orphans(fr.silver_sales(), fr.customers_ref(),
@@ -112,64 +130,100 @@ def _table_builders(fr: Frames) -> dict[str, Callable[[], tuple]]:
         "orphan_products": lambda: (ck.orphans(fr.silver_sales(), fr.products_ref(),
                                                "product_id"), dict(n=F.count(F.lit(1)))),
         "fact": lambda: (fr.fact(), dict(
+            rows=F.count(F.lit(1)), revenue=F.sum(cents("amount")),
             negative_profit=F.count_if(F.col("gross_profit") < 0))),
     }
 
 
-CHECKS: dict[str, list[ck.Check]] = {
+def missing_columns(fr: Frames) -> list[str]:
+    have = fr.silver_sales().columns
+    return [c for c in EXPECTED_SILVER_COLUMNS if c not in have]
+
+
+def freshness(fr: Frames) -> list[ck.Check]:
+    out = []
+    text = "newest order is of {actual}, needed {expected}"
+    if fr.fresh_since:
+        out.append(ck.Check("silver_sales reaches the wanted day", "silver.latest", "wanted.since",
+                            kind="date", op="ge", details=text))
+    if fr.max_age_days is not None:
+        out.append(ck.Check("silver_sales is young enough", "silver.latest", "wanted.day",
+                            kind="date", op="ge", details=text))
+    return out or [ck.Check("silver_sales is as recent as bronze", "silver.latest", "bronze.latest",
+                            kind="date", details=text)]
+
+
+def schema(fr: Frames) -> list[ck.Check]:
+    gone = missing_columns(fr)
+    return [ck.Check("silver_sales has every expected column", "silver_schema.missing", 0,
+                     details=f"absent: {', '.join(gone)}" if gone
+                     else f"{len(EXPECTED_SILVER_COLUMNS)} of {len(EXPECTED_SILVER_COLUMNS)} present")]
+
+
+# A check group is a list of checks, or a function of the frames that gives one.
+CHECKS: dict[str, list[ck.Check] | Callable[[Frames], list[ck.Check]]] = {
     "check_row_count": [ck.Check(
-        "silver_sales row count", "silver.rows", "bronze.good_keys",
-        details="bronze {bronze.rows} - quarantined {bronze.quarantined}"
-                " - duplicates {bronze.duplicates}")],
-    "check_nulls": [ck.Check(f"no nulls in silver_sales.{c}", f"silver.null_{c}", 0,
-                             details=f"found {{actual}} null values in {c}")
+        "silver_sales holds every valid key once", "silver.rows", "bronze.good_keys",
+        details="of {bronze.rows} bronze lines {bronze.quarantined} rejected,"
+                " {bronze.duplicates} repeated")],
+    "check_nulls": [ck.Check(f"silver_sales.{c} is filled", f"silver.null_{c}", 0,
+                             details=f"{{actual}} lines without {c}")
                     for c in CRITICAL_COLUMNS],
-    "check_unique": [ck.Check("order key is unique in silver_sales", "silver_dups.n", 0,
-                              details="found {actual} duplicated key(s)")],
-    "check_negative": [ck.Check("no negative amounts in silver_sales", "silver.negative", 0,
-                                details="found {actual} negative amounts")],
-    "check_orphan_customer": [ck.Check("all orders have valid customer_id", "orphan_customers.n", 0,
-                                       details="found {actual} orders with no matching customer")],
-    "check_orphan_product": [ck.Check("all orders have valid product_id", "orphan_products.n", 0,
-                                      details="found {actual} orders with no matching product")],
+    "check_unique": [ck.Check("silver_sales key occurs once", "silver_dups.n", 0,
+                              details="{actual} repeated keys")],
+    "check_negative": [ck.Check("silver_sales amounts are not below zero", "silver.negative", 0,
+                                details="{actual} lines below zero")],
+    "check_orphan_customer": [ck.Check("every line's customer is known", "orphan_customers.n", 0,
+                                       details="{actual} lines with an unknown customer")],
+    "check_orphan_product": [ck.Check("every line's product is known", "orphan_products.n", 0,
+                                      details="{actual} lines with an unknown product")],
     "check_reconcile": [ck.Check(
-        "revenue reconciliation bronze vs silver", "silver.revenue", "bronze_dedup.revenue",
-        kind="money", details="bronze with duplicates kept: {bronze.valid_revenue_all}")],
-    "check_freshness": [ck.Check("silver_sales freshness check", "silver.latest", "bronze.latest",
-                                 kind="date", details="latest order date is {actual}")],
-    "check_profit": [ck.Check("no negative gross profit in fact_sales", "fact.negative_profit", 0,
-                              details="found {actual} lines with negative profit")],
-    "check_schema": [ck.Check("silver_sales schema check", "silver.missing_columns", 0,
-                              details=f"{{actual}} of {len(EXPECTED_SILVER_COLUMNS)} expected"
-                                      " columns missing")],
+        "silver_sales revenue agrees with bronze", "silver.revenue", "bronze_first.revenue",
+        kind="money", details="repeated lines included: {bronze.valid_revenue_all}")],
+    "check_freshness": freshness,
+    "check_profit": [ck.Check("no line sells below cost", "fact.negative_profit", 0,
+                              details="{actual} lines below cost")],
+    "check_schema": schema,
+}
+
+# Of the written tables only: a fact left over from another run shows here.
+TABLE_CHECKS: dict[str, list[ck.Check]] = {
+    "check_fact_rows": [ck.Check("fact has silver's lines", "fact.rows", "silver.rows",
+                                 details="{actual} lines in the fact, {expected} in silver")],
+    "check_fact_revenue": [ck.Check("fact has silver's revenue", "fact.revenue", "silver.revenue",
+                                    kind="money", details="{actual} in the fact, {expected} in silver")],
 }
 
 METRIC_KINDS = {"bronze.valid_revenue_all": "money", "bronze.latest": "date",
-                "silver.latest": "date", "silver.revenue": "money",
-                "bronze_dedup.revenue": "money"}
+                "silver.latest": "date", "silver.revenue": "money", "fact.revenue": "money",
+                "bronze_first.revenue": "money", "wanted.since": "date", "wanted.day": "date"}
 
 
-def _tables_of(checks: list[ck.Check]) -> list[str]:
-    refs = set()
+def _refs_of(checks: list[ck.Check]) -> dict[str, set[str]]:
+    """Metrics that checks name, by table."""
+    refs: dict[str, set[str]] = {}
     for c in checks:
         for ref in [c.actual, c.expected] + re.findall(r"\{([^{}]+)\}", c.details):
             if isinstance(ref, str) and "." in ref:
-                refs.add(ref.split(".")[0])
-    return sorted(refs)
+                table, metric = ref.split(".", 1)
+                refs.setdefault(table, set()).add(metric)
+    return refs
 
 
 def run_checks(spark: SparkSession, d: str, keys: list[str] | None = None) -> DataFrame:
-    selected = [c for k in (keys or list(CHECKS)) for c in CHECKS[k]]
-    return run_suite(registry_frames(spark, d, need_fact="fact" in _tables_of(selected)), keys)
+    return run_suite(registry_frames(spark, d, share_silver=keys is None), keys)
 
 
 def run_suite(frames: Frames, keys: list[str] | None = None) -> DataFrame:
-    selected = [c for k in (keys or list(CHECKS)) for c in CHECKS[k]]
+    selected = []
+    for k in keys or CHECKS:
+        group = CHECKS[k] if k in CHECKS else TABLE_CHECKS[k]
+        selected += group(frames) if callable(group) else group
     builders = _table_builders(frames)
     metrics = ck.MetricSet()
-    for t in _tables_of(selected):
-        df, exprs = builders[t]()
-        metrics.add(t, df, **exprs)
+    for table, names in sorted(_refs_of(selected).items()):
+        df, exprs = builders[table]()
+        metrics.add(table, df, **{n: e for n, e in exprs.items() if n in names})
     return ck.evaluate(metrics, selected, METRIC_KINDS)
 
 
@@ -191,10 +245,20 @@ def reconcile_detail(spark: SparkSession, d: str) -> DataFrame:
 def health_counts(spark: SparkSession, d: str) -> DataFrame:
     """Actual vs expected rows per table, the KPI view, and an overall verdict (H1-H3)."""
     g = rg.Gold(spark, d)
+    # Layers are tables in production; here silver and the dimensions are cut once.
+    checkpoint_dir(spark)
+    for name in ("silver_sales", "silver_customers", "silver_products", "dim_customer", "dim_product", "fact"):
+        setattr(g, name, getattr(g, name).checkpoint(eager=True))
     lab_c = sv.labelled(rg.CUSTOMERS, td.bronze_customers(spark, d))
     lab_p = sv.labelled(rg.PRODUCTS, td.bronze_products(spark, d))
     n = lambda: F.count(F.lit(1))
-    star_rows = g.star()
+    # The view's groups counted another way: over the natural keys, without the fact.
+    lines = g.silver_sales.select("order_date", "customer_id", "product_id", "channel")
+    groups = (lines.join(g.silver_products.select("product_id", "category", "brand"), "product_id")
+              .join(g.silver_customers.select("customer_id", "region", "segment", "country_code"), "customer_id")
+              .where("channel IS NOT NULL")
+              .select(F.trunc("order_date", "MM").alias("m"), F.dayofweek("order_date").isin(1, 7).alias("w"),
+                      "category", "brand", "region", "segment", "country_code", "channel"))
     m = ck.MetricSet()
     m.add("src_lineitem", td.table(spark, d, "lineitem"), rows=n())
     m.add("src_customer", td.table(spark, d, "customer"), rows=n())
@@ -209,15 +273,15 @@ def health_counts(spark: SparkSession, d: str) -> DataFrame:
     m.add("silver_sales", g.silver_sales, rows=n(),
           days=F.datediff(F.max("order_date"), F.min("order_date")) + 1,
           channels=F.count_distinct("channel") + F.max(F.col("channel").isNull().cast("int")))
-    m.add("silver_customers", rg.silver_customers(spark, d), rows=n())
-    m.add("silver_products", rg.silver_products(spark, d), rows=n())
+    m.add("silver_customers", g.silver_customers, rows=n())
+    m.add("silver_products", g.silver_products, rows=n())
     m.add("dim_date", g.dim_date, rows=n())
     m.add("dim_customer", g.dim_customer, rows=n())
     m.add("dim_product", g.dim_product, rows=n())
     m.add("dim_channel", g.dim_channel, rows=n())
     m.add("fact_sales", g.fact, rows=n())
-    m.add("kpi_star", kp.kpi_star(star_rows), rows=n())
-    m.add("star_rows", star_rows, groups=F.count_distinct(F.struct(*kp.STAR_GROUPS)))
+    m.add("kpi_star", kp.kpi_star(g.star()), rows=n())
+    m.add("star_rows", groups, groups=F.count_distinct(F.struct("*")))
     expectations = [
         ("bronze_sales", "src_lineitem.rows"), ("bronze_customers", "src_customer.rows"),
         ("bronze_products", "src_part.rows"), ("quarantine_sales", "bronze_sales.bad"),

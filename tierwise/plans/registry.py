@@ -9,14 +9,13 @@ registry output.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import ISSUE
-from tierwise.session import checkpoint_dir
 from tierwise.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,51 +129,52 @@ from tierwise.operators import kpis as kp  # noqa: E402
 
 
 class Gold:
-    """Gold-layer plans for one input directory.
-
-    Silver order lines and the two keyed dimensions are the pipeline's
-    written tables; here they are cut with ``checkpoint()`` (reliable, in the
-    session's ``spark.checkpoint.dir``) so every later branch -- the fact,
-    the channel and date dimensions, the star joins -- reads them once
-    instead of recomputing bronze -> silver, and the surrogate keys are fixed
-    for the rest of the run. Everything else stays lazy.
-    """
-
-    def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False,
-                 materialize: bool = True, silver: DataFrame | None = None):
-        if materialize:
-            checkpoint_dir(spark)  # the session's shared folder (set only if unset, locally)
-
-        def cut(df: DataFrame) -> DataFrame:
-            return df.checkpoint(eager=True) if materialize else df
-
-        plans = {
-            "dim_customer": lambda: dm.dim_customer(
-                silver_customers(spark, d, dirty=dirty_customers)),
-            "dim_product": lambda: dm.dim_product(silver_products(spark, d)),
-        }
-        if silver is None:
-            plans["silver_sales"] = lambda: silver_sales(spark, d)
-        # The three cuts are independent jobs: submit them together so their
-        # (mostly fixed) latencies overlap instead of adding up.
-        with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-            done = dict(zip(plans, pool.map(lambda build: cut(build()), plans.values())))
-        self.silver_sales = silver if silver is not None else done["silver_sales"]
-        self.dim_customer = done["dim_customer"]
-        self.dim_product = done["dim_product"]
-        self.dim_channel = dm.dim_from_values(self.silver_sales, "channel", "channel_sk")
-        self.dim_date = dm.dim_date(dm.date_spine_of(self.silver_sales, "order_date"))
-        self.fact = fc.fact_sales(self.silver_sales, self.dim_customer, self.dim_product,
-                                  self.dim_channel)
+    """Gold-layer plans for one input directory. Everything is lazy: a key's plan holds
+    what the key asks for and nothing is computed before it runs."""
+
+    def __init__(self, spark: SparkSession, d: str, dirty_customers: bool = False):
+        self.spark, self.d, self.dirty = spark, d, dirty_customers
+
+    @cached_property
+    def silver_sales(self) -> DataFrame:
+        return silver_sales(self.spark, self.d)
+
+    @cached_property
+    def silver_customers(self) -> DataFrame:
+        return silver_customers(self.spark, self.d, dirty=self.dirty)
+
+    @cached_property
+    def silver_products(self) -> DataFrame:
+        return silver_products(self.spark, self.d)
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return dm.dim_customer(self.silver_customers)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return dm.dim_product(self.silver_products)
+
+    @cached_property
+    def dim_channel(self) -> DataFrame:
+        return dm.dim_from_values(self.silver_sales, "channel", "channel_sk")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        """Days from the first to the last order. An order's lines share its date, so the
+        valid bronze lines have silver's bounds, without the dedup."""
+        valid = labelled_sales(self.spark, self.d).where(F.col(ISSUE) == "ok")
+        return dm.dim_date(dm.date_spine_of(valid, "order_date"))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fc.fact_sales(self.silver_sales, self.dim_customer, self.dim_product,
+                             self.dim_channel)
 
     def star(self) -> DataFrame:
-        """The view's rows. Each dimension maps its natural key 1:1 to its
-        surrogate key, so inner-joining silver to the dimensions on the
-        natural keys yields exactly the fact-to-dimension join on surrogate
-        keys -- with four joins instead of the fact's three plus the view's
-        four. The written-table pipeline joins on surrogate keys."""
-        return kp.star_from_silver(self.silver_sales, self.dim_date, self.dim_product,
-                                   self.dim_customer, self.dim_channel)
+        """The view's rows: fact and dimensions joined on surrogate keys."""
+        return kp.star(self.fact, self.dim_date, self.dim_product, self.dim_customer,
+                       self.dim_channel)
 
 
 # The reference previews four days of its calendar; the same four-day window
@@ -225,35 +225,35 @@ def q_kpi_top(spark, d):
 
 @register("kpi_time")
 def q_kpi_time(spark, d):
-    return kp.kpi_time(Gold(spark, d).fact)
+    return kp.kpi_time(Gold(spark, d).silver_sales)
 
 
 @register("kpi_channel")
 def q_kpi_channel(spark, d):
-    return kp.kpi_channel(Gold(spark, d).fact)
+    return kp.kpi_channel(Gold(spark, d).silver_sales)
 
 
 @register("kpi_daytype")
 def q_kpi_daytype(spark, d):
-    return kp.kpi_daytype(Gold(spark, d).fact)
+    return kp.kpi_daytype(Gold(spark, d).silver_sales)
 
 
 @register("kpi_segment")
 def q_kpi_segment(spark, d):
     g = Gold(spark, d)
-    return kp.kpi_segment(g.fact, g.dim_customer)
+    return kp.kpi_segment(g.silver_sales, g.silver_customers, "customer_id")
 
 
 @register("kpi_category")
 def q_kpi_category(spark, d):
     g = Gold(spark, d)
-    return kp.kpi_category(g.fact, g.dim_product)
+    return kp.kpi_category(g.silver_sales, g.silver_products, "product_id")
 
 
 @register("kpi_geo")
 def q_kpi_geo(spark, d):
     g = Gold(spark, d)
-    return kp.kpi_geo(g.fact, g.dim_customer)
+    return kp.kpi_geo(g.silver_sales, g.silver_customers, "customer_id")
 
 
 @register("kpi_dropped")

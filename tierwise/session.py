@@ -19,7 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
     # Conservative broadcast threshold: only genuinely small sides (date and
     # channel dimensions, nation, region) are broadcast by static size; AQE
@@ -32,11 +31,12 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
-    """Shuffle sizing for a cluster run: start with enough shuffle partitions
-    for ~128 MB each at the input size (at least 2 per core) and let AQE
-    coalesce them; files are split at 256 MB."""
-    parts = max(2 * cores, input_bytes // (128 * 1024 * 1024))
+def cluster_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle sizing for a cluster run, by the bytes the largest exchange moves (not by
+    the input's): partitions of about 1 GB, so that map tasks times partitions stays
+    within what the shuffle service can index (100 TB: 100,000 partitions), at least two
+    per core; the adaptive plan puts small ones together. Files are split at 256 MB."""
+    parts = max(2 * cores, shuffle_bytes // (1 << 30))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -45,11 +45,15 @@ def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tierwise", extra_conf: dict | None = None) -> SparkSession:
+                app_name: str = "tierwise", extra_conf: dict | None = None,
+                shuffle_bytes: int | None = None, cores: int = 1) -> SparkSession:
+    """``shuffle_bytes`` and ``cores`` size the exchanges (``cluster_conf``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if shuffle_bytes:
+        conf.update(cluster_conf(shuffle_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

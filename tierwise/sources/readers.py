@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierwise.operators.clean import CORRUPT
+
 # The reference's landing-file columns, in file order.
 ORDERS_COLUMNS = ["order_id", "customer_id", "product_id", "order_date", "quantity",
                   "unit_price", "amount", "channel", "discount_pct"]
@@ -23,15 +25,31 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def csv_schema(spark: SparkSession, path: str, columns: list[str]) -> T.StructType:
+    """All-text schema in the order of the files' own header (names decide, not
+    positions), with a column for records that do not fit it."""
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header ({', '.join(header)})")
+    return text_schema([*header, CORRUPT])
+
+
+#: The header of every file is compared with the schema, so a file whose columns are in
+#: another order stops the read instead of filling the wrong columns.
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "enforceSchema": "false",
+               "columnNameOfCorruptRecord": CORRUPT}
+
+
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              infer: bool = False) -> DataFrame:
-    """CSV with a header row. Splittable: large files are read in parallel."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    """CSV with a header row. Splittable: large files are read in parallel. With
+    ``columns`` they are taken by name and a record with too many or too few fields keeps
+    its whole text in ``_corrupt_record``; ``_file`` names the file of each row."""
     if infer or columns is None:
-        reader = reader.option("inferSchema", infer)
-    else:
-        reader = reader.schema(text_schema(columns))
-    return reader.csv(path)
+        return spark.read.option("header", True).option("inferSchema", infer).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS).schema(csv_schema(spark, path, columns)).csv(path)
+    return rows.select(*columns, CORRUPT, F.col("_metadata.file_path").alias("_file"))
 
 
 def scan_json(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -40,9 +58,10 @@ def scan_json(spark: SparkSession, path: str, columns: list[str] | None = None,
     landing format); such a file is one task. Use JSON lines
     (``multiline=False``) for large inputs, which split across tasks."""
     reader = spark.read.option("multiLine", multiline)
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
-    return reader.json(path)
+    if columns is None:
+        return reader.json(path)
+    rows = reader.schema(text_schema(columns)).json(path)
+    return rows.select(*columns, F.col("_metadata.file_path").alias("_file"))
 
 
 def stamp_ingest(df: DataFrame, source: str) -> DataFrame:

@@ -65,13 +65,14 @@ def row_hash(cols: list[str]):
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
 
 
-def append_new(df: DataFrame, name: str, hash_cols: list[str]) -> None:
+def append_new(df: DataFrame, name: str, hash_cols: list[str], only_if_rows: bool = False) -> None:
     """Idempotent append: rows whose content hash is already
     in the table are skipped, so a rerun of the same batch adds nothing.
 
     ``hash_cols`` must exclude processing-time columns (``_ingest_at``,
     ``_quarantine_at``); add a batch or file id to it when a genuine repeat
-    in a later batch must be kept. The anti join shuffles on the hash (or is
+    in a later batch must be kept. ``only_if_rows``: an empty batch does not
+    create the table. The anti join shuffles on the hash (or is
     broadcast by Spark when the table is small).
     """
     spark = df.sparkSession
@@ -79,26 +80,21 @@ def append_new(df: DataFrame, name: str, hash_cols: list[str]) -> None:
     if table_exists(spark, name):
         seen = spark.table(name).select(ROW_HASH)
         append(rows.join(seen, ROW_HASH, "left_anti"), name)
-    else:
+    elif not (only_if_rows and rows.isEmpty()):
         overwrite(rows, name)
 
 
-def write_partitioned(df: DataFrame, name: str, partition_col: str, order_cols: list[str],
-                      num_partitions: int | None = None, max_records_per_file: int = 5_000_000
-                      ) -> None:
-    """Partitioned full refresh (S6).
+def write_partitioned(df: DataFrame, name: str, partition_col: str,
+                      max_records_per_file: int = 5_000_000) -> None:
+    """Partitioned full refresh (S6): every folder of the table is replaced, also those
+    whose partition no longer exists, whatever the session's overwrite mode is.
 
-    ``repartition(partition_col)`` would send a whole day to one task; a
-    range partitioning on (partition_col, *order_cols) gives balanced tasks
-    that each write a contiguous run of folders and splits a large day
-    across tasks. Pass a unique key as ``order_cols`` so that no single
-    value (say, one order holding a third of all lines) can pin a task.
-    ``maxRecordsPerFile`` bounds file size.
+    ``repartition(partition_col)`` would send a whole day to one task; a rebalance by
+    that column deals the rows by day and lets the adaptive plan split a large day over
+    tasks and put small ones together. ``maxRecordsPerFile`` bounds file size.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(partition_col), *[F.col(c) for c in order_cols])
-    (_writer(ranged, name, "overwrite")
+    (_writer(df.hint("rebalance", partition_col), name, "overwrite")
+       .option("partitionOverwriteMode", "static")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)
        .saveAsTable(name))

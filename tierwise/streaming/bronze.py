@@ -17,42 +17,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierwise.session import checkpoint_dir
-from tierwise.sources.readers import stamp_ingest
+from tierwise.sources.readers import CSV_OPTIONS, stamp_ingest
 from tierwise.sources.sinks import attach, location
 
 
-def stream_checkpoint(spark: SparkSession, table: str, path: str) -> str:
-    """Stream state lives under the shared ``spark.checkpoint.dir``, one
-    folder per (target table, landing folder) pair: the same pair resumes
-    where it stopped, a different landing folder starts its own log."""
+def stream_log(spark: SparkSession, table: str, path: str) -> str:
+    """The stream's log lives beside the table, one folder per (target table, landing
+    folder) pair, wherever the table lives: a later run, in this or another process,
+    resumes where the last one stopped. (The folder that RDD checkpoints go to is another
+    one in every process, so a log there would start anew while the table goes on.)"""
     tag = hashlib.sha1(path.encode()).hexdigest()[:12]
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{table.replace('.', '_')}-{tag}"
+    folder, name = location(spark, table).rsplit("/", 1)
+    return f"{folder}/_stream_logs/{name}-{tag}"
 
 
 def ingest_files(spark: SparkSession, path: str, schema: T.StructType, table: str,
                  source: str, fmt: str = "csv", options: dict | None = None,
                  max_files_per_trigger: int | None = None,
-                 wait: bool = True) -> StreamingQuery:
+                 wait: bool = True, log: str | None = None,
+                 columns: list[str] | None = None) -> StreamingQuery:
     """Append every not-yet-ingested file under ``path`` to ``table``.
 
     The schema is fixed (no inference on a stream); ``_file`` records the
     landing file each row came from, which also keeps a genuine repeat in a
-    later file distinct for the idempotent quarantine hash.
+    later file distinct for the idempotent quarantine hash. A CSV file whose header is not
+    the schema's names in order stops the stream; malformed records keep their whole
+    text. ``columns``: the ones to keep. ``log``: folder of the stream's log (default: beside the table).
     """
     reader = spark.readStream.format(fmt).schema(schema)
-    opts = {"header": "true"} if fmt == "csv" else {}
+    opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
     opts.update(options or {})
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     stream = reader.options(**opts).load(path)
-    rows = stamp_ingest(stream, source).withColumn("_file", F.col("_metadata.file_path"))
+    keep = stream.columns if columns is None else [c for c in stream.columns if c in columns]
+    rows = stamp_ingest(stream.select(*keep, F.col("_metadata.file_path").alias("_file")), source)
     attach(spark, table)  # a previous run's table, even in a fresh catalog
     query = (rows.writeStream
              .format("parquet")
              .outputMode("append")
              .option("path", location(spark, table))
-             .option("checkpointLocation", stream_checkpoint(spark, table, path))
+             .option("checkpointLocation", log or stream_log(spark, table, path))
              .trigger(availableNow=True)
              .toTable(table))
     if wait:
