@@ -40,3 +40,15 @@ def test_kpi_view_sql_equals_kpi_dataframe(spark):
     assert view.exceptAll(plan.select(*view.columns)).count() == 0
     assert plan.select(*view.columns).exceptAll(view).count() == 0
     assert view.agg(F.sum("units_sold")).first()[0] == plan.agg(F.sum("units_sold")).first()[0]
+
+
+def test_ratios_of_sums_beyond_a_bigint(spark):
+    """1e18 cents in one group: twenty times that in the numerator must not overflow."""
+    from tierwise.operators import kpis as kp
+
+    one = 10 ** 18
+    df = spark.createDataFrame([(one, one // 4, 3)], "r bigint, g bigint, n bigint").select(
+        F.explode(F.sequence(F.lit(1), F.lit(20))), "r", "g", "n")
+    total = df.agg(kp.total("r"), kp.total("g"), F.sum("n").alias("n"))
+    row = total.select(pct_tenths("g", "r").alias("p"), avg_cents("r", "n").alias("a")).first()
+    assert row.p == 25.0 and row.a == round(20 * one / 60) / 100

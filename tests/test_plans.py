@@ -65,3 +65,37 @@ def test_rollup_over_customer_joins_per_customer_rows(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     join_at = plan.index("Join Inner")
     assert "Aggregate [customer_sk" in plan[join_at:]
+
+
+def joins_and_cuts(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Join "), plan.count("ExistingRDD") + plan.count("LogicalRDD")
+
+
+def test_registry_plans_hold_only_what_the_key_asks_for(spark):
+    """The bronze join, plus one join per dimension that is used; nothing is computed or
+    cut beforehand. (A customer brings its nation and region, which its dedup compares.)"""
+    import __spark_entry__ as entry
+    from conftest import SMOKE_DIR
+
+    expected = {"kpi_time": 1, "kpi_channel": 1, "kpi_daytype": 1, "kpi_category": 2, "check_profit": 2,
+                "kpi_segment": 4, "kpi_geo": 4, "dim_product": 2, "dim_date_data": 1, "check_negative": 1,
+                "check_nulls": 1, "check_schema": 0, "check_orphan_product": 2}
+    got = {k: joins_and_cuts(entry.queries()[k](spark, SMOKE_DIR)) for k in expected}
+    assert {k: j for k, (j, _) in got.items()} == expected
+    assert all(c == 0 for _, c in got.values())
+
+
+def test_hot_order_is_dealt_by_the_whole_key(spark):
+    """Lines joined on the order, deduplicated on (order, line): a third of all lines are of
+    one order. Their aggregate is combined, then dealt by both keys, whatever the session's
+    skew settings are."""
+    n = 30000
+    lines = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("order_id"),
+        (F.col("id") % 5000).alias("line_no"), F.col("id").alias("v"))
+    orders = spark.range(-1, n).select(F.col("id").alias("order_id"), F.lit("web").alias("channel"))
+    out = dedup(lines.join(orders.hint("merge"), "order_id"), ["order_id", "line_no"], ["v"])
+    final, _, below = plan_of(out).partition("Exchange hashpartitioning(_k")
+    assert "functions=[min(" in final and "partial_min" in below and "SortMergeJoin" in below
+    assert out.count() == n - n // 3 + 5000

@@ -23,7 +23,7 @@ bronze_sales AS (
          CAST(round(l.l_discount * 100) AS INTEGER) AS discount_pct,
          l.l_tax AS tax, l.l_returnflag AS return_flag, l.l_linestatus AS line_status,
          'lineitem_orders' AS _source
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 LABELLED_SALES = BRONZE_SALES + """,
 labelled_sales AS (

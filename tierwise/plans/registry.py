@@ -155,16 +155,20 @@ class Gold:
     def dim_product(self) -> DataFrame:
         return dm.dim_product(self.silver_products)
 
+    @cached_property
+    def valid_lines(self) -> DataFrame:
+        """Valid bronze lines. An order's lines share its date and channel, so these have
+        silver's dates and channels, without the dedup."""
+        return labelled_sales(self.spark, self.d).where(F.col(ISSUE) == "ok")
+
     @cached_property
     def dim_channel(self) -> DataFrame:
-        return dm.dim_from_values(self.silver_sales, "channel", "channel_sk")
+        return dm.dim_from_values(self.valid_lines, "channel", "channel_sk")
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Days from the first to the last order. An order's lines share its date, so the
-        valid bronze lines have silver's bounds, without the dedup."""
-        valid = labelled_sales(self.spark, self.d).where(F.col(ISSUE) == "ok")
-        return dm.dim_date(dm.date_spine_of(valid, "order_date"))
+        """Days from the first to the last order."""
+        return dm.dim_date(dm.date_spine_of(self.valid_lines, "order_date"))
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -41,7 +41,7 @@ def bronze_sales(spark: SparkSession, sf_dir: str,
     """One row per lineitem row: the bronze order lines, duplicates included."""
     li = table(spark, sf_dir, "lineitem")
     od = table(spark, sf_dir, "orders")
-    joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "left")  # no line is dropped
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
