@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMOKE_DIR
+from tierwise.plans.registry import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -36,11 +37,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    missing = set(QUERIES) - set(entry.oracle_sql())
     assert missing == set(), missing
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SMOKE_DIR)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
