@@ -159,15 +159,14 @@ class Pipeline:
         # The raw values and the file are part of a rejected row's identity.
         hash_cols = [c for c in bad.columns if c != "_ingest_at"]
         orders = quarantine == "quarantine_orders"
-        if orders:
-            fresh, had = bad.select(sinks.row_hash(hash_cols).alias(sinks.ROW_HASH)), 0
-            if sinks.table_exists(self.spark, self.t(quarantine)):
-                old = self.table(quarantine).select(sinks.ROW_HASH)
-                fresh, had = fresh.join(old, sinks.ROW_HASH, "left_anti"), old.count()
-            self.expected[quarantine] = had + fresh.count()
+        had = self.table(quarantine).count() if orders and sinks.table_exists(
+            self.spark, self.t(quarantine)) else 0
+        added = Observation(f"{quarantine}_rows") if orders else None
         # The orders' quarantine always exists; the others only once they hold a row.
         sinks.append_new(stamp(bad, "_quarantine_at"), self.t(quarantine), hash_cols,
-                         only_if_rows=not orders)
+                         only_if_rows=not orders, added=added)
+        if orders:
+            self.expected[quarantine] = had + int(added.get["n"])
         rows = dedup(good, entity.keys, entity.tie_break, entity.desc)
         cols = [c for c in entity.columns if c in rows.columns]
         rows = rows.select(*cols, *[c for c in rows.columns if c not in cols])

@@ -12,7 +12,7 @@ quarantine appends stay idempotent across runs.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ROW_HASH = "_row_hash"
@@ -65,22 +65,29 @@ def row_hash(cols: list[str]):
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
 
 
-def append_new(df: DataFrame, name: str, hash_cols: list[str], only_if_rows: bool = False) -> None:
+def append_new(df: DataFrame, name: str, hash_cols: list[str], only_if_rows: bool = False,
+               added: Observation | None = None) -> None:
     """Idempotent append: rows whose content hash is already
     in the table are skipped, so a rerun of the same batch adds nothing.
 
     ``hash_cols`` must exclude processing-time columns (``_ingest_at``,
     ``_quarantine_at``); add a batch or file id to it when a genuine repeat
     in a later batch must be kept. ``only_if_rows``: an empty batch does not
-    create the table. The anti join shuffles on the hash (or is
+    create the table. ``added`` observes the number of rows written (``n``). The anti join shuffles on the hash (or is
     broadcast by Spark when the table is small).
     """
     spark = df.sparkSession
     rows = df.withColumn(ROW_HASH, row_hash(hash_cols))
-    if table_exists(spark, name):
-        seen = spark.table(name).select(ROW_HASH)
-        append(rows.join(seen, ROW_HASH, "left_anti"), name)
-    elif not (only_if_rows and rows.isEmpty()):
+    known = table_exists(spark, name)
+    if known:
+        rows = rows.join(spark.table(name).select(ROW_HASH), ROW_HASH, "left_anti")
+    elif only_if_rows and rows.isEmpty():
+        return
+    if added is not None:
+        rows = rows.observe(added, F.count(F.lit(1)).alias("n"))
+    if known:
+        append(rows, name)
+    else:
         overwrite(rows, name)
 
 
