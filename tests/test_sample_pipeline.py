@@ -90,12 +90,12 @@ def test_kpi_view_golden(spark, run):
                   r.units_sold, str(r.revenue), str(r.avg_order_value), str(r.gross_profit),
                   str(r.margin_pct)) for r in rows)
     expected = sorted([
-        ("Equipment", "TheraBand", "East", "Standard", "KR", "web", 2, "159.98", "159.98", "109.98", "68.7"),
-        ("Equipment", "Lululemon", "North", "Standard", "GB", "store", 1, "149.99", "149.99", "89.99", "60.0"),
-        ("Apparel", "Adidas", "North", "Budget", "SE", "app", 4, "79.96", "79.96", "47.96", "60.0"),
-        ("Footwear", "Nike", "West", "Premium", "DE", "web", 2, "59.98", "59.98", "23.98", "40.0"),
-        ("Footwear", "Nike", "South", "Premium", "IT", "app", 1, "29.99", "29.99", "11.99", "40.0"),
-        ("Accessories", "Generic", "West", "Premium", "DE", "web", 3, "29.97", "29.97", "19.47", "65.0"),
+        ("Equipment", "Cedar", "East", "Standard", "KR", "web", 2, "159.98", "159.98", "109.98", "68.7"),
+        ("Equipment", "Birch", "North", "Standard", "GB", "store", 1, "149.99", "149.99", "89.99", "60.0"),
+        ("Apparel", "Dune", "North", "Budget", "SE", "app", 4, "79.96", "79.96", "47.96", "60.0"),
+        ("Footwear", "Alder", "West", "Premium", "DE", "web", 2, "59.98", "59.98", "23.98", "40.0"),
+        ("Footwear", "Alder", "South", "Premium", "IT", "app", 1, "29.99", "29.99", "11.99", "40.0"),
+        ("Accessories", "Elm", "West", "Premium", "DE", "web", 3, "29.97", "29.97", "19.47", "65.0"),
     ])
     assert got == expected
     assert {(r.year, r.quarter, r.month, r.month_name, r.day_type, r.order_count)
