@@ -120,3 +120,32 @@ def test_date_outside_dim_date_is_reported_as_dropped(spark):  # trap 18, trap 8
     dim_date = dm.dim_date(dm.date_spine_between(spark, "2023-01-01", "2025-12-31"))
     r = kp.kpi_dropped(fact, dim_date).first()
     assert (r.dropped_rows, r.dropped_revenue, r.missing_date, r.missing_customer) == (2, 7.75, 1, 1)
+
+
+def test_scd2_and_as_of_lookup(spark):  # E3
+    from tierwise.operators import history as hs
+    d = dt.date
+    rows = [("c", "new", d(2024, 2, 1)), ("c", "old", d(2024, 1, 1)), ("c", "newer", d(2024, 3, 1)),
+            ("x", "only", None), ("c", "z same day", d(2024, 3, 1))]
+    dim = hs.scd2(spark.createDataFrame(rows, "k string, seg string, day date"), "k", "day")
+    got = sorted((r.k, r.version_no, r.seg, r.valid_from, r.valid_to, r.is_current) for r in dim.collect())
+    assert got == [("c", 1, "old", d(2024, 1, 1), d(2024, 2, 1), False),
+                   ("c", 2, "new", d(2024, 2, 1), d(2024, 3, 1), False),
+                   ("c", 3, "newer", d(2024, 3, 1), None, True), ("x", 1, "only", None, None, True)]
+    facts = spark.createDataFrame([(1, "c", d(2023, 12, 31)), (2, "c", d(2024, 2, 1)), (3, "c", d(2024, 1, 31)),
+                                   (4, "x", d(2000, 1, 1)), (5, "none", d(2024, 1, 1)), (6, None, d(2024, 1, 1))],
+                                  "id int, k string, at date")
+    assert {r.id: r.seg for r in hs.as_of(facts, dim, "k", "at").collect()} == {
+        1: None, 2: "new", 3: "old", 4: "only", 5: None, 6: None}
+
+
+def test_upsert_keeps_the_latest_row_of_a_key(spark):  # E2
+    from tierwise.operators import history as hs
+    d = dt.date
+    ddl = "k string, v string, day date"
+    now = spark.createDataFrame([("a", "1", d(2024, 1, 1)), ("b", "1", d(2024, 5, 1)), ("c", "1", None)], ddl)
+    new = spark.createDataFrame([("a", "2", d(2024, 2, 1)), ("b", "late", d(2024, 4, 1)), ("n", "new", None)], ddl)
+    got = {r.k: r.v for r in hs.upsert(now, new, ["k"], "day").collect()}
+    assert got == {"a": "2", "b": "1", "c": "1", "n": "new"}
+    again = hs.upsert(hs.upsert(now, new, ["k"], "day"), new, ["k"], "day")
+    assert {r.k: r.v for r in again.collect()} == got

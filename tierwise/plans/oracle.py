@@ -311,6 +311,34 @@ FROM (SELECT f.*, d.date_sk IS NOT NULL AS has_date,
       FROM fact_sales f LEFT JOIN dim_date d ON f.date_sk = d.date_sk) t"""
 
 
+# ---------------------------------------------------------------- customer history
+
+HISTORY = with_(DEDUP_SALES, _customers(False), """
+history AS (
+  SELECT customer_id, name, email, region, segment, country_code, DATE '1990-01-01' AS updated_at, _source
+  FROM silver_customers
+  UNION ALL
+  SELECT customer_id, name, email, region, 'MOVED', country_code,
+         DATE '1996-01-01' + CAST(customer_id % 1500 AS INTEGER), _source
+  FROM silver_customers WHERE customer_id % 3 = 0),
+versions AS (
+  SELECT customer_id, name, segment, country_code, updated_at AS valid_from,
+         lead(updated_at) OVER w AS valid_to, CAST(row_number() OVER w AS INTEGER) AS version_no,
+         lead(updated_at) OVER w IS NULL AS is_current
+  FROM history WINDOW w AS (PARTITION BY customer_id ORDER BY updated_at))""")
+
+SQL["upsert_customers"] = HISTORY + """
+SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1"""
+
+SQL["dim_customer_scd2"] = HISTORY + "SELECT * FROM versions"
+
+SQL["fact_asof"] = HISTORY + """
+SELECT s.order_id, s.line_no, s.customer_id, s.order_date, s.amount, v.segment, v.version_no,
+       v.valid_from, v.valid_to
+FROM silver_sales s ASOF LEFT JOIN versions v
+  ON s.customer_id = v.customer_id AND s.order_date >= v.valid_from"""
+
+
 # ---------------------------------------------------------------- checks and health
 
 def _renamed(cte_sql: str, names: list[str], prefix: str) -> str:

@@ -125,6 +125,7 @@ def q_silver_products(spark, d):
 
 from tierwise.operators import dims as dm  # noqa: E402
 from tierwise.operators import facts as fc  # noqa: E402
+from tierwise.operators import history as hs  # noqa: E402
 from tierwise.operators import kpis as kp  # noqa: E402
 
 
@@ -266,6 +267,38 @@ def q_kpi_dropped(spark, d):
     return kp.kpi_dropped(g.fact, g.dim_date)
 
 
+# ------------------------------------------------------------------ customer history
+
+def customer_history(spark, d):
+    """First snapshot and later changes of the silver customers."""
+    rows = silver_customers(spark, d)
+    return td.customer_first(rows), td.customer_changes(rows)
+
+
+@register("upsert_customers")
+def q_upsert_customers(spark, d):
+    first, changes = customer_history(spark, d)
+    return hs.upsert(first, changes, CUSTOMERS.keys, "updated_at")
+
+
+def customer_versions(spark, d):
+    first, changes = customer_history(spark, d)
+    return hs.scd2(first.unionByName(changes).select("customer_id", "name", "segment", "country_code", "updated_at"),
+                   "customer_id", "updated_at")
+
+
+@register("dim_customer_scd2")
+def q_dim_customer_scd2(spark, d):
+    return customer_versions(spark, d)
+
+
+@register("fact_asof")
+def q_fact_asof(spark, d):
+    lines = silver_sales(spark, d).select("order_id", "line_no", "customer_id", "order_date", "amount")
+    versions = customer_versions(spark, d).select("customer_id", "segment", "version_no", "valid_from", "valid_to")
+    return hs.as_of(lines, versions, "customer_id", "order_date")
+
+
 # ------------------------------------------------------------------ checks and health
 
 def _check_query(key: str) -> Query:

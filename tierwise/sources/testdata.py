@@ -101,3 +101,22 @@ def bronze_products(spark: SparkSession, sf_dir: str,
          .otherwise(F.col("p_retailprice")).alias("unit_cost"),
         F.lit(PRODUCT_SOURCE).alias("_source"),
     )
+
+
+# The customer history that the tables lack. Every customer is known from the
+# first day; every k-th later changed to another segment, on a day that its key decides.
+HISTORY_START = "1990-01-01"
+CHANGES_START = "1996-01-01"
+CHANGED_EVERY = 3
+CHANGE_DAYS = 1500
+CHANGED_SEGMENT = "MOVED"
+
+
+def customer_first(customers: DataFrame) -> DataFrame:
+    return customers.withColumn("updated_at", F.to_date(F.lit(HISTORY_START)))
+
+
+def customer_changes(customers: DataFrame) -> DataFrame:
+    day = F.date_add(F.to_date(F.lit(CHANGES_START)), F.pmod("customer_id", F.lit(CHANGE_DAYS)).cast("int"))
+    return (customers.where(F.col("customer_id") % CHANGED_EVERY == 0)
+            .withColumn("segment", F.lit(CHANGED_SEGMENT)).withColumn("updated_at", day))
