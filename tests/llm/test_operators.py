@@ -433,8 +433,8 @@ def test_myers_distance():
         assert decontaminate.Myers(p).least(t) == brute_least(p, t)
 
 
-@pytest.mark.parametrize("block", [4_000_000, 150])
-def test_decontamination(spark, docs, empty, block):
+@pytest.mark.parametrize("block,rate", [(4_000_000, 0.1), (150, 0.05)])
+def test_decontamination(spark, docs, empty, block, rate):
     r = random.Random(9)
     items = [(i, prose(25, 100 + i)) for i in range(8)]
 
@@ -444,22 +444,22 @@ def test_decontamination(spark, docs, empty, block):
             t[r.randrange(len(t))] = r.choice("qxz")
         return "".join(t)
 
-    rows = [(100 * n + i, f"{prose(20, i)} {edited(t, n)} {prose(20, i + 50)}") for i, t in items for n in (0, 3, 6, 12)]
+    rows = [(100 * n + i, f"{prose(20, i)} {edited(t, n)} {prose(20, i + 50)}") for i, t in items for n in (0, 3, 6, 12, 20)]
     rows += [(9000, items[0][1].upper() + " " + items[1][1]), (9001, None), (9001, None)]
     bench = items + [items[0], (50, None), (51, ""), (None, "nothing"), (52, "!!")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame(bench, "item_id bigint, text string")
     got = {x["doc_id"]: {h["item_id"]: h["distance"] for h in x["benchmark_hits"]}
-           for x in decontaminate.flag(df, bench, 0.05, block).collect()}
+           for x in decontaminate.flag(df, bench, rate, block).collect()}
     norm = decontaminate.normalise
     for i, t in rows:
         want = {}
         for item, p in items:
             d = brute_least(norm(p), norm(t))
-            if d <= math.floor(0.05 * len(norm(p))):
+            if d <= math.floor(rate * len(norm(p))):
                 want[item] = d
         assert got[i] == want
-    kept = decontaminate.drop_contaminated(docs, bench, 0.05, block) if block > 1000 else None
+    kept = decontaminate.drop_contaminated(docs, bench, rate, block) if block > 1000 else None
     if kept is not None:
         assert kept.count() == len(ROWS) and kept.columns == docs.columns
         assert decontaminate.report(empty, bench).count() == 0
