@@ -21,7 +21,7 @@ WITH d AS (
   FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d)
 ), judged AS (
   SELECT rid, l, m,
-    NOT regexp_matches(s, '[.!?:;"'')\]…”»]$')
+    (m < 8 AND NOT regexp_matches(s, '[.!?:;"'')\]…”»]$'))
     OR 100 * len(regexp_extract_all(s, '[#*$%&|<>]')) > 10 * strlen(s)
     OR 100 * ((length(s) - length(replace(s, '!!', ''))) // 2) >= 30 * m
     OR 4 * len(regexp_extract_all(s, '[|»›>]')) >= m

@@ -1,7 +1,7 @@
 """Quality rules, line first.
 
-Every line that holds a word is judged by three rules: punctuation (it must end
-in terminal punctuation, hold few symbols and not be strewn with ``!!``), navigation
+Every line that holds a word is judged by three rules: punctuation (a short line must end
+in terminal punctuation, and any must hold few symbols and not be strewn with ``!!``), navigation
 (menus: separators between short items, or a couple of menu words) and boilerplate
 (stock phrases). Lines that fail are removed; a document that loses more than
 ``max_lost`` per cent of its words that way is rejected, and so is one that fails
@@ -35,6 +35,7 @@ MENU_WORDS = ("home", "menu", "login", "log in", "sign in", "sign up", "register
 BOILERPLATE = ("all rights reserved", "licensed under", "under the mit license", "copyright",
                "privacy policy", "terms of use", "terms of service", "cookie", "javascript",
                "click here", "read more", "subscribe", "powered by")
+FRAGMENT_WORDS = 8        # a line of fewer words needs an end; a longer one may be wrapped prose
 MAX_SYMBOL_PERCENT = 10   # of a line's bytes
 MAX_SHOUT_PERCENT = 30    # "!!" per 100 words of a line
 MAX_LOST_PERCENT = 50     # of a document's words
@@ -82,7 +83,7 @@ def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
 def line_fails(line: bytes, n_words: int) -> bool:
     """``line``: stripped, with at least one word."""
     text = line.decode()
-    if not text.endswith(TERMINAL):
+    if n_words < FRAGMENT_WORDS and not text.endswith(TERMINAL):
         return True
     if 100 * (len(line) - len(line.translate(None, SYMBOLS))) > MAX_SYMBOL_PERCENT * len(line):
         return True
