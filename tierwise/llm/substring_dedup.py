@@ -3,17 +3,19 @@
 A word goes when some ``window`` consecutive words that cover it also start in a document
 with a smaller doc_id. Comparing every passage with every other is avoided by routing:
 
-1. Every window has an anchor, the least hash of its 8-word runs, which depends on the
+1. Equal texts become one, that of the least doc_id; every other loses all words that a
+   window covers. What follows is about the rest.
+2. Every window has an anchor, the least hash of its 8-word runs, which depends on the
    window's words alone. Anchors that occur in one document only are dropped; an anchor
    met by more than ``hot`` documents is narrowed to the windows under it that occur, by
    hash, in two or more. All counts are combinable aggregates over all documents.
-2. What is left, runs of windows under one anchor, are passages. Equal passages become one,
+3. What is left, runs of windows under one anchor, are passages. Equal passages become one,
    with the least doc_id that has it.
-3. Per anchor, passages stream in ascending doc_id through suffix automata of the reference
+4. Per anchor, passages stream in ascending doc_id through suffix automata of the reference
    shards (what came before, at most ``shard_words`` words each): the matching statistics
    give every window that an earlier document has. What no shard has yet is added to
    the last shard. Hashes only route; this comparison of words decides.
-4. Decisions return to the documents by passage, and maximal spans of words are removed.
+5. Decisions return to the documents by passage, and maximal spans of words are removed.
 
 The shards of an anchor live in the task that its passages reach; they are not sent to
 every executor, since the reference grows with the corpus. A passage held by a third of all
@@ -41,8 +43,8 @@ WINDOW = 50
 RUN = 8
 HOT = 256
 SHARD_WORDS = 200_000
-BASE_DDL = "doc_id bigint, tk bigint, blob binary, anchors array<bigint>"
-PASSAGE_DDL = "doc_id bigint, tk bigint, anchor bigint, digest binary, start int, n int, content binary"
+BASE_DDL = "doc_id bigint, tk binary, n int, blob binary, anchors array<bigint>"
+PASSAGE_DDL = "doc_id bigint, tk binary, anchor bigint, digest binary, start int, n int, content binary"
 RESULT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
@@ -179,7 +181,8 @@ def unpack(blob: bytes) -> list[bytes]:
 
 
 def prepared(docs: DataFrame, window: int) -> DataFrame:
-    """Per row: its words, compressed, and the distinct anchors of its windows."""
+    """Per row: the digest of its words, their number, they themselves, compressed, and the
+    distinct anchors of their windows."""
 
     def init():
         def step(cols):
@@ -189,7 +192,7 @@ def prepared(docs: DataFrame, window: int) -> DataFrame:
                 line = b" ".join(words)
                 found = (np.unique(anchors_of(word_hashes(words), window)).tolist()
                          if len(words) >= window and doc_id is not None else [])
-                for k, v in zip(out, (doc_id, int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "big", signed=True),
+                for k, v in zip(out, (doc_id, hashlib.blake2b(line, digest_size=16).digest(), len(words),
                                       zlib.compress(line, 1), found)):
                     out[k].append(v)
             return out
@@ -218,7 +221,7 @@ def window_hashes(rows: DataFrame, window: int) -> DataFrame:
             return out
         return step
 
-    return (map_batches(rows.select("doc_id", "tk", "blob", "hot"), init, "doc_id bigint, tk bigint, hashes array<bigint>", rows=256)
+    return (map_batches(rows.select("doc_id", "tk", "blob", "hot"), init, "doc_id bigint, tk binary, hashes array<bigint>", rows=256)
             .select("doc_id", "tk", F.explode("hashes").alias("hash")).distinct())
 
 
@@ -307,7 +310,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: in
     """Per row: words, words removed, digest of what is kept and (``with_text``) the kept words."""
     key = ["doc_id", "tk"]
     base = cut_by(prepared(docs, window), *key)
-    whole = base.where("doc_id IS NOT NULL")
+    first = cut(base.where("doc_id IS NOT NULL").groupBy("tk").agg(F.min("doc_id").alias("doc_id")))
+    whole = base.join(first, key, "left_semi")  # of equal texts the first; the others lose all
     met = whole.select(*key, F.explode("anchors").alias("anchor")).distinct()  # in place: no exchange
     by_doc = cut(met.join(shared(met, "anchor", hot), "anchor").groupBy(*key).agg(
         F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("cool"),
@@ -325,4 +329,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: in
              .select(*key, F.when(F.col("doc_id") > F.col("first_doc"), F.array("start", F.col("start") + F.col("n")))
                      .otherwise(F.transform("hits", lambda x: x + F.col("start"))).alias("span"))
              .where(F.size("span") > 0).groupBy(*key).agg(F.collect_set("span").alias("spans")))
-    return removed(base.join(spans, key, "left"), window, with_text)
+    last = F.col("n") - window + 1
+    spans = first.join(spans, key, "left").withColumn("spans", F.coalesce("spans", F.expr("array()")))
+    rows = base.join(spans, key, "left").withColumn("spans", F.when(
+        F.col("spans").isNotNull() | F.col("doc_id").isNull(), F.col("spans")).when(
+        last > 0, F.array(F.array(F.lit(0), last))))
+    return removed(rows, window, with_text)
