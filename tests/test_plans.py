@@ -96,6 +96,6 @@ def test_hot_order_is_dealt_by_the_whole_key(spark):
         (F.col("id") % 5000).alias("line_no"), F.col("id").alias("v"))
     orders = spark.range(-1, n).select(F.col("id").alias("order_id"), F.lit("web").alias("channel"))
     out = dedup(lines.join(orders.hint("merge"), "order_id"), ["order_id", "line_no"], ["v"])
-    final, _, below = plan_of(out).partition("Exchange hashpartitioning(_k")
+    final, _, below = plan_of(out).partition("Exchange hashpartitioning(_groupingexpression")
     assert "functions=[min(" in final and "partial_min" in below and "SortMergeJoin" in below
     assert out.count() == n - n // 3 + 5000
