@@ -102,7 +102,7 @@ class Matcher:
         """Least distance of the item's characters a..b within ``text``."""
         myers = self.made.get((item, a, b))
         if myers is None:
-            if len(self.made) >= 20_000:
+            if len(self.made) >= 4_000:
                 self.made.clear()
             myers = self.made[item, a, b] = Myers(self.items[item][1][a:b])
         return myers.least(text)

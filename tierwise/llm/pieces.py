@@ -34,7 +34,7 @@ DDL = "doc_id bigint, n_bytes bigint, n_tokens bigint, ids array<int>, ids_sha25
 
 
 class PieceCodec:
-    def __init__(self, path: str, memo: int = 200_000):
+    def __init__(self, path: str, memo: int = 60_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -143,7 +143,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
             }
         return step
 
-    return map_batches(text_of(docs, "doc_id"), init, DDL, rows=1024)
+    return map_batches(text_of(docs, "doc_id"), init, DDL, rows=256)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
