@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -251,6 +252,26 @@ def test_prefix_counts_equal_the_library(docs, empty):
     assert prefix_tokens.count_tokens(empty, WORD_BPE).count() == 0
 
 
+def test_every_prefix_is_counted_and_the_cut_is_the_longest(spark):
+    """Also inside words, contractions, special strings and where characters compose."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(WORD_BPE)
+    count = lambda t: len(lib.encode(t, add_special_tokens=False).ids)
+    r = random.Random(4)
+    texts = ["日本語の文章には空白がない。" * 6, "".join(r.choice("abcXYZ019+/") for _ in range(150)), "internationalization" * 5,
+             "they're'll ''s we'REACH <|endoftext|><|startoftext|>a<|endoftext <|x", "  a \u00a0b\n\n", "İstanbul ΣΑΣ İİ",
+             unicodedata.normalize("NFD", "Việt Nam ếở 한국어문장은길다 ガギグ Ångström don't") + " q\u0307\u0323x \u0301a\u0301"]
+    texts += ["".join(r.choice("ae'stL! 1é日\u0301\u0323\u1161\u1100\u11a8가İ\u0307") for _ in range(40)) for _ in range(40)]
+    counter = prefix_tokens.PrefixCounter(WORD_BPE)
+    for t in texts:
+        assert counter.running(t).tolist() == [count(t[:k]) for k in range(1, len(t) + 1)], t
+    rows = prefix_tokens.count_tokens(spark.createDataFrame(enumerate(texts), "doc_id bigint, text string"), WORD_BPE, limit=10).collect()
+    for x in rows:
+        t = texts[x["doc_id"]]
+        assert x["cut_bytes"] == len(t[:max(k for k in range(len(t) + 1) if count(t[:k]) <= 10)].encode())
+
+
 # ------------------------------------------------------------------ 6 SentencePiece
 
 def test_pieces_round_trip(docs, empty):

@@ -4,8 +4,9 @@ For a piece of text that the tokenizer never splits further, dynamic programming
 its bytes finds the last token of the encoding of every prefix: token t may follow the
 encoding of the prefix before it exactly if that encoding's last token and t would not
 be merged across their border ("compatible"). One pass gives the exact token count of
-every prefix; a text's counts are the running sum over its pieces, so how many tokens
-a prefix has, where a budget is used up and where to truncate need no re-encoding.
+every prefix; a text's counts are the running sum over its pieces. They are kept for all
+prefixes of a text at once (``running``), so how many tokens a prefix has, where a budget is
+used up and where to truncate are lookups, inside words too, without re-encoding.
 
 Defined results: a null or empty text has 0 tokens; a special string in a text is one
 token (the library's default); repeated rows give repeated results; an empty table gives
@@ -15,6 +16,7 @@ word; the memo of words is bounded by ``memo`` entries and restarted when full.
 
 from __future__ import annotations
 
+import itertools
 import json
 import unicodedata
 
@@ -27,6 +29,19 @@ from tierwise.llm.common import map_batches, text_of
 END = "</w>"
 DDL = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, cut_bytes bigint"
 
+COUNT = np.dtype("<u4")
+WORDS = regex.compile(r"[^ \t-\r]+[ \t-\r]*|[ \t-\r]+")
+# A character and what may compose with it.
+CLUSTER = regex.compile(r"(?s).[\p{M}\u1160-\u11FF]*")
+CONTRACTION = regex.compile(r"'\p{L}")
+
+
+def at_chars(piece: str, ends: list[int]) -> list[int]:
+    """Of the counts at every byte those after each character."""
+    if len(ends) == len(piece) + 1:
+        return ends[1:]
+    return [ends[i] for i in itertools.accumulate(len(c.encode()) for c in piece)]
+
 
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte in byte-level BPE vocabularies: printable bytes
@@ -71,8 +86,10 @@ class PrefixCounter:
             node[2 if token.endswith(END) else 1] = rank
         self.memo_size = memo
         self.fits: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, list[int]] = {}
+        self.last: tuple[str, np.ndarray] | None = None
+        self.longest = max(map(len, self.rank))
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether BPE leaves the border between adjacent tokens a and b alone: at no
@@ -101,34 +118,45 @@ class PrefixCounter:
         self.fits[key] = ok
         return ok
 
-    def prefix_counts(self, piece: str, every: bool = True) -> list[int]:
-        """Tokens of every prefix of ``piece`` (in the byte alphabet), each as a word of
-        its own: item i is the count of piece[:i]. Without ``every`` only the last item,
-        the whole piece's, has its word end filled in."""
+    def walk(self, piece: str, tail: list[int], count: list[int], first: int = 0) -> list[int]:
+        """Continues the DP over ``piece`` (in the byte alphabet): fills ``tail`` and ``count``
+        where ``tail`` is negative and returns the token counts of the prefixes as words of
+        their own. ``first`` is where ``piece`` begins within its word."""
         fits, compatible = self.fits, self.compatible
         n = len(piece)
-        tail, count, ends = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        ends = [0] * (n + 1)
         for j in range(n):
-            before, node, step = tail[j], self.trie, count[j] + 1
+            before, node, step, start = tail[j], self.trie, count[j] + 1, first + j == 0
             for i in range(j + 1, n + 1):
                 node = node[0].get(piece[i - 1])
                 if node is None:
                     break
                 t = node[1]
-                if t >= 0 and tail[i] < 0 and (j == 0 or (ok if (ok := fits.get((before, t))) is not None else compatible(before, t))):
+                if t >= 0 and tail[i] < 0 and (start or (ok if (ok := fits.get((before, t))) is not None else compatible(before, t))):
                     tail[i], count[i] = t, step
                 t = node[2]
-                if t >= 0 and (every or i == n) and not ends[i] and (j == 0 or compatible(before, t)):
+                if t >= 0 and not ends[i] and (start or (ok if (ok := fits.get((before, t))) is not None else compatible(before, t))):
                     ends[i] = step
         return ends
 
-    def piece_count(self, piece: str) -> int:
+    def prefix_counts(self, piece: str) -> list[int]:
+        """Tokens of every prefix of ``piece`` (in the byte alphabet), each as a word of
+        its own: item i is the count of piece[:i]."""
+        return self.walk(piece, [-1] * (len(piece) + 1), [0] * (len(piece) + 1))
+
+    def raw(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.table)
+
+    def piece_counts(self, piece: str) -> list[int]:
+        """Tokens of the piece's prefixes of 1, 2, ... characters."""
         known = self.parts.get(piece)
         if known is None:
             if len(self.parts) >= self.memo_size:
                 self.parts.clear()
-            raw = piece.encode().decode("latin-1").translate(self.table)
-            known = self.prefix_counts(raw, every=False)[-1]
+            known = at_chars(piece, self.prefix_counts(self.raw(piece)))
+            if len(piece) > 1 and piece[0] == "'" and piece[1].isalpha():  # what is shorter is no contraction
+                mark = self.piece_counts("'")[0]
+                known = [mark, *(mark + n for n in self.piece_counts(piece[1:])[:-1]), known[-1]]
             if len(piece) <= 64:
                 self.parts[piece] = known
         return known
@@ -138,55 +166,114 @@ class PrefixCounter:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def split(self, text: str) -> list[str]:
-        """Pieces of a text without special strings."""
-        return self.pieces.findall(self.normal(text))
+    def normal_counts(self, text: str) -> list[int]:
+        """Tokens of the prefixes of a normal text."""
+        out, n = [], 0
+        for m in self.pieces.finditer(text):
+            out += [n] * (m.start() - len(out))
+            out += [n + c for c in self.piece_counts(m[0])] if n else self.piece_counts(m[0])
+            n = out[-1]
+        return out + [n] * (len(text) - len(out))
 
-    def count(self, chunk: str) -> int:
-        """Tokens of a text: running sums end here."""
+    def plain_counts(self, text: str) -> list[int]:
+        """Tokens of the prefixes of a text without special strings."""
+        if text.isascii():
+            return self.normal_counts(text.lower())
+        if not unicodedata.is_normalized("NFC", text):
+            return self.composed_counts(text)
+        counts = self.normal_counts(normal := self.normal(text))
+        if len(normal) == len(text):
+            return counts
+        return [counts[i - 1] for i in itertools.accumulate(len(self.normal(c)) for c in text)]
+
+    def composed_counts(self, text: str) -> list[int]:
+        """The same where characters compose: a prefix that ends between a character and its
+        marks may have another normal form than the text has there. Its last piece is
+        counted on from the DP before the character."""
+        normal = self.normal(text)
+        counts, pieces, out, at = self.normal_counts(normal), self.pieces.finditer(normal), [], 0
+        begin = end = 0
+        tail = count = None
+        for m in CLUSTER.finditer(text):
+            whole = self.normal(m[0])
+            while end < at and (p := next(pieces, None)) is not None:  # the last piece that begins before ``at``
+                if p.start() >= at:
+                    pieces = itertools.chain([p], pieces)
+                    break
+                begin, end, tail = *p.span(), None
+            for k in range(1, len(m[0]) + 1):
+                part = self.normal(m[0][:k])
+                if whole.startswith(part):
+                    out.append(counts[at + len(part) - 1])
+                    continue
+                start = begin if end >= at else at
+                n = counts[start - 1] if start else 0
+                for i, p in enumerate(self.pieces.finditer(normal[start:at] + part)):
+                    if i or start == at or p.end() <= at - start or CONTRACTION.match(p[0]):
+                        n += self.piece_counts(p[0])[-1]
+                        continue
+                    if tail is None:
+                        raw = self.raw(normal[begin:end])
+                        tail, count = [-1] * (len(raw) + 1), [0] * (len(raw) + 1)
+                        self.walk(raw, tail, count)
+                        sizes = [0, *itertools.accumulate(len(c.encode()) for c in normal[begin:end])]
+                    have = sizes[at - begin]
+                    low = max(0, have - self.longest)
+                    more = self.raw(p[0][at - start:])
+                    n += self.walk(raw[low:have] + more, tail[low:have + 1] + [-1] * len(more),
+                                   count[low:have + 1] + [0] * len(more), low)[-1]
+                out.append(n)
+            at += len(whole)
+        return out
+
+    def word_counts(self, chunk: str) -> bytes:
+        """Token counts of every prefix of a word and the white space after it, packed."""
         known = self.words.get(chunk)
         if known is not None:
             return known
-        n, at = 0, 0
+        out, at = [], 0
         for m in (self.special.finditer(chunk) if self.special and "<|" in chunk else ()):
-            n += 1 + sum(map(self.piece_count, self.split(chunk[at:m.start()])))
+            n = out[-1] if out else 0
+            part = [n + c for c in self.plain_counts(chunk[at:m.end()])]
+            out += part[:-1]  # unfinished, it is plain text
+            out.append((part[m.start() - at - 1] if m.start() > at else n) + 1)
             at = m.end()
-        n += sum(map(self.piece_count, self.split(chunk[at:])))
+        n = out[-1] if out else 0
+        out += [n + c for c in self.plain_counts(chunk[at:])]
+        known = np.array(out, COUNT).tobytes()
         if len(self.words) >= self.memo_size:
             self.words.clear()
         if len(chunk) <= 64:
-            self.words[chunk] = n
-        return n
+            self.words[chunk] = known
+        return known
 
-    def running(self, text: str) -> tuple[list[str], np.ndarray]:
-        """The text's words (no token crosses white space) and the token count of every
-        prefix that ends after a word."""
-        chunks = [c.decode() for c in text.encode().split()]
-        return chunks, np.cumsum(np.fromiter(map(self.count, chunks), np.int64, len(chunks)))
+    def running(self, text: str) -> np.ndarray:
+        """The token count of every prefix of 1, 2, ... code points (no token crosses white
+        space: the running sum over words, and within a word its own counts)."""
+        if self.last is None or self.last[0] != text:
+            chunks = WORDS.findall(text)
+            counts = np.frombuffer(b"".join(map(self.word_counts, chunks)), COUNT)
+            if chunks:
+                sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+                sums = counts[np.cumsum(sizes) - 1].cumsum(dtype=np.int64)
+                counts = counts + np.repeat(np.r_[0, sums[:-1]], sizes)
+            self.last = text, counts
+        return self.last[1]
 
     def at(self, text: str, chars: int) -> int:
         """Exact token count of the first ``chars`` code points."""
-        _, sums = self.running(text[:chars])
-        return int(sums[-1]) if len(sums) else 0
+        return int(self.running(text)[:chars][-1]) if text and chars else 0
 
     def fit(self, text: str, budget: int) -> int:
-        """UTF-8 bytes up to the end of the last word with which at most ``budget`` tokens are used."""
-        chunks, sums = self.running(text)
-        return self.end_of(text, chunks, int(np.searchsorted(sums, budget, "right")))
-
-    @staticmethod
-    def end_of(text: str, chunks: list[str], n: int) -> int:
-        if n == len(chunks):
-            return len(text.encode())
-        raw, at = text.encode(), 0
-        for c in chunks[:n]:
-            at = raw.index(w := c.encode(), at) + len(w)
-        return at
+        """UTF-8 bytes of the longest prefix (of whole code points) of at most ``budget`` tokens. One
+        more character may need fewer tokens, so all counts are looked at."""
+        within = np.flatnonzero(self.running(text) <= budget)
+        return len(text[:within[-1] + 1].encode()) if len(within) else 0
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """Per row of ``docs``: bytes, tokens, whether they exceed ``limit``, and the bytes
-    that fit in the limit (whole words)."""
+    of the longest prefix within the limit, which may end inside a word."""
 
     def init():
         counter = PrefixCounter(path)
@@ -194,14 +281,12 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
         def step(cols):
             out = {"doc_id": cols["doc_id"], "n_bytes": [], "n_tokens": [], "over_limit": [], "cut_bytes": []}
             for text in cols["text"]:
-                chunks, sums = counter.running(text)
-                n = int(sums[-1]) if len(sums) else 0
+                n = counter.at(text, len(text))
                 size = len(text.encode())
                 out["n_bytes"].append(size)
                 out["n_tokens"].append(n)
                 out["over_limit"].append(n > limit)
-                out["cut_bytes"].append(size if n <= limit else counter.end_of(
-                    text, chunks, int(np.searchsorted(sums, limit, "right"))))
+                out["cut_bytes"].append(size if n <= limit else counter.fit(text, limit))
             return out
         return step
 
