@@ -107,6 +107,34 @@ def test_substring_dedup(docs, empty, hot, shard):
     assert substring_dedup.dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard", [5_000, 1_000, 50])
+def test_hot_anchors_are_split(spark, monkeypatch, shard):
+    """A frequent line with the least run hash in many groups of near copies: no key holds more
+    windows than a shard has room for, and the result stays that of brute force."""
+    r = random.Random(11)
+    lines = [" ".join(r.choice(VOCAB) for _ in range(8)) for _ in range(20_000)]
+    line = min(lines, key=lambda t: substring_dedup.rolled(substring_dedup.word_hashes(t.encode().split()), 8)[0])
+    rows = []
+    for g in range(12):
+        before, after = prose(60, 100 + g), prose(60, 200 + g)
+        rows += [(3 * g + i, f"{before} {line} {after} copy{i}") for i in range(3)]
+    sizes, decide = [], substring_dedup.decide
+
+    def watched(contents, window, shard_words):
+        seen = {}
+        for x in contents.collect():
+            words = x["content"].split()
+            seen.setdefault(x["anchor"], set()).update(tuple(words[i:i + window]) for i in range(len(words) - window + 1))
+        sizes.extend(map(len, seen.values()))
+        return decide(contents, window, shard_words)
+
+    monkeypatch.setattr(substring_dedup, "decide", watched)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = substring_dedup.dedup(df, hot=4, shard_words=shard).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_dedup(rows, 50)
+    assert max(sizes) <= max(43, shard // 50)  # 43: under an anchor that only one group has
+
+
 def test_suffix_automaton():
     r = random.Random(3)
     for _ in range(150):

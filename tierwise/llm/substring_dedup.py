@@ -8,16 +8,19 @@ with a smaller doc_id. Comparing every passage with every other is avoided by ro
 2. Every window has an anchor, the least hash of its 8-word runs, which depends on the
    window's words alone. Anchors that occur in one document only are dropped; an anchor
    met by more than ``hot`` documents is narrowed to the windows under it that occur, by
-   hash, in two or more. All counts are combinable aggregates over all documents.
-3. What is left, runs of windows under one anchor, are passages. Equal passages become one,
+   hash, in two or more. All counts are combinable aggregates over all documents. Where
+   more such windows are left under a hot anchor than one shard holds, they are routed by
+   the anchor and the window's next least run hash, if need be by the third too, and at last by the
+   window's own hash. Each depends on the window's words alone, so equal windows meet.
+3. What is left, runs of windows under one such key, are passages. Equal passages become one,
    with the least doc_id that has it.
-4. Per anchor, passages stream in ascending doc_id through suffix automata of the reference
+4. Per key, passages stream in ascending doc_id through suffix automata of the reference
    shards (what came before, at most ``shard_words`` words each): the matching statistics
    give every window that an earlier document has. What no shard has yet is added to
    the last shard. Hashes only route; this comparison of words decides.
 5. Decisions return to the documents by passage, and maximal spans of words are removed.
 
-The shards of an anchor live in the task that its passages reach; they are not sent to
+The shards of a key live in the task that its passages reach; they are not sent to
 every executor, since the reference grows with the corpus. A passage held by a third of all
 documents is one row after the map side. Texts travel once, compressed, to a checkpoint
 partitioned by document.
@@ -41,6 +44,7 @@ from tierwise.llm.common import cut, cut_by, map_batches, text_of
 
 WINDOW = 50
 RUN = 8
+LEVELS = 3  # keys of a window before its own hash
 HOT = 256
 SHARD_WORDS = 200_000
 BASE_DDL = "doc_id bigint, tk binary, n int, blob binary, anchors array<bigint>"
@@ -82,6 +86,28 @@ def anchors_of(h: np.ndarray, window: int) -> np.ndarray:
     return least_in(rolled(h, RUN), window - RUN + 1).view(np.int64)
 
 
+def keys_of(h: np.ndarray, at: np.ndarray, window: int) -> list[np.ndarray]:
+    """Of the windows that start at ``at`` the anchor, and the keys that add the second and third
+    least distinct run hash (the largest again where there are no more)."""
+    view, out, key = np.lib.stride_tricks.sliding_window_view(rolled(h, RUN), window - RUN + 1), [], None
+    for a in range(0, max(1, len(at)), 4096):
+        r = np.sort(view[at[a:a + 4096]], axis=1)
+        new = np.cumsum(np.diff(r, axis=1, prepend=r[:, :1]) != 0, axis=1)
+        for level in range(LEVELS):
+            pick = r[np.arange(len(r)), np.minimum((new < level).sum(axis=1), r.shape[1] - 1)]
+            key = pick if not level else mixed(key, pick)
+            if a:
+                out[level] = np.r_[out[level], key.view(np.int64)]
+            else:
+                out.append(key.view(np.int64))
+    return out
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + b
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def runs(flags: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
     """Maximal [from, to) with the flag set and one value."""
     at = np.flatnonzero(flags)
@@ -209,35 +235,64 @@ def shared(rows: DataFrame, key: str, hot: int) -> DataFrame:
 
 
 def window_hashes(rows: DataFrame, window: int) -> DataFrame:
-    """Hashes of the windows under each document's hot anchors."""
+    """Hashes of the windows under each document's hot anchors, with their keys."""
+    names = [f"k{i}" for i in range(LEVELS)]
 
     def init():
         def step(cols):
-            out = {"doc_id": cols["doc_id"], "tk": cols["tk"], "hashes": []}
-            for blob, hot in zip(cols["blob"], cols["hot"]):
+            out, tks = {c: [np.empty(0, np.int64)] for c in ("doc_id", "hash", *names)}, []
+            for doc_id, tk, blob, hot in zip(*(cols[c] for c in ("doc_id", "tk", "blob", "hot"))):
                 h = word_hashes(unpack(blob))
-                out["hashes"].append(np.unique(
-                    rolled(h, window)[np.isin(anchors_of(h, window), hot)]).view(np.int64).tolist())
-            return out
+                hashes, first = np.unique(rolled(h, window), return_index=True)
+                under = np.isin(anchors_of(h, window)[first], hot)
+                tks += [tk] * int(under.sum())
+                for k, v in zip(out, (np.full(int(under.sum()), doc_id, np.int64), hashes[under].view(np.int64),
+                                      *keys_of(h, first[under], window))):
+                    out[k].append(v)
+            return {"tk": tks, **{k: np.concatenate(v) for k, v in out.items()}}
         return step
 
-    return (map_batches(rows.select("doc_id", "tk", "blob", "hot"), init, "doc_id bigint, tk binary, hashes array<bigint>", rows=256)
-            .select("doc_id", "tk", F.explode("hashes").alias("hash")).distinct())
+    return map_batches(rows.select("doc_id", "tk", "blob", "hot"), init, "doc_id bigint, tk binary, hash bigint, "
+                       + ", ".join(f"{k} bigint" for k in names), rows=256).distinct()
+
+
+def routes(hashes: DataFrame, most: int) -> DataFrame:
+    """(hash, route) of the windows that two documents have: the first key under which at most
+    ``most`` of them are, or else the hash. A key with more is one of at most windows / ``most``,
+    so the broadcast of those stays small."""
+    names = [f"k{i}" for i in range(LEVELS)]
+    both = cut(hashes.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                          *[F.min(k).alias(k) for k in names])
+               .where("lo < hi").select("hash", *names))
+    out, route = both, F.col("hash")
+    for k in names[::-1]:
+        many = both.groupBy(k).count().where(F.col("count") > most).select(k, F.lit(True).alias(f"many_{k}"))
+        out = out.join(F.broadcast(many), k, "left")
+        route = F.when(F.col(f"many_{k}").isNull(), F.col(k)).otherwise(route)
+    return out.select("hash", route.alias("route"))
 
 
 def passages(rows: DataFrame, window: int, with_content: bool) -> DataFrame:
-    """Runs of windows under one shared anchor (under a hot one: of shared windows)."""
+    """Runs of windows under one shared anchor (under a hot one: of shared windows of one route)."""
 
     def init():
         def step(cols):
             out = {c.split()[0]: [] for c in PASSAGE_DDL.split(", ")}
-            for doc_id, tk, blob, own, hot, hashes in zip(*(cols[c] for c in ("doc_id", "tk", "blob", "cool", "hot", "hashes"))):
+            for doc_id, tk, blob, own, hot, hashes, keys in zip(*(cols[c] for c in (
+                    "doc_id", "tk", "blob", "cool", "hot", "hashes", "routes"))):
                 words = unpack(blob)
                 h = word_hashes(words)
                 anchors = anchors_of(h, window)
                 flags = np.isin(anchors, own or ())
-                if hot:
-                    flags |= np.isin(anchors, hot) & np.isin(rolled(h, window).view(np.int64), hashes or ())
+                if hot and hashes:
+                    known, route = np.array(hashes, np.int64), np.array(keys, np.int64)
+                    order = np.argsort(known)
+                    known, route = known[order], route[order]
+                    own_hash = rolled(h, window).view(np.int64)
+                    at = np.minimum(np.searchsorted(known, own_hash), len(known) - 1)
+                    under = np.isin(anchors, hot) & (known[at] == own_hash)
+                    flags |= under
+                    anchors = np.where(under, route[at], anchors)
                 for a, b in runs(flags, anchors):
                     content = b" ".join(words[a:b + window - 1])
                     for k, v in zip(out, (doc_id, tk, int(anchors[a]), hashlib.blake2b(content, digest_size=16).digest(),
@@ -246,7 +301,8 @@ def passages(rows: DataFrame, window: int, with_content: bool) -> DataFrame:
             return out
         return step
 
-    return map_batches(rows.select("doc_id", "tk", "blob", "cool", "hot", "hashes"), init, PASSAGE_DDL, rows=128)
+    rows = rows.select("doc_id", "tk", "blob", "cool", "hot", F.col("hashes.hash").alias("hashes"), F.col("hashes.route").alias("routes"))
+    return map_batches(rows, init, PASSAGE_DDL, rows=128)
 
 
 def decide(contents: DataFrame, window: int, shard_words: int) -> DataFrame:
@@ -318,8 +374,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: in
         F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot")))
     found = whole.select(*key, "blob").join(by_doc, key)
     hashes = window_hashes(found.where(F.size("hot") > 0), window)
-    both = hashes.join(shared(hashes, "hash", 0).select("hash"), "hash", "left_semi")
-    by_doc = cut(by_doc.join(both.groupBy(*key).agg(F.collect_list("hash").alias("hashes")), key, "left"))
+    both = hashes.select(*key, "hash").join(routes(hashes, max(1, shard_words // window)), "hash")
+    by_doc = cut(by_doc.join(both.groupBy(*key).agg(F.collect_list(F.struct("hash", "route")).alias("hashes")), key, "left"))
     found = whole.select(*key, "blob").join(by_doc, key)
     contents = passages(found, window, True).groupBy("anchor", "digest").agg(
         F.min("doc_id").alias("first_doc"), F.first("content").alias("content"))
