@@ -513,3 +513,17 @@ def test_decontamination(spark, docs, empty, block, rate):
         assert kept.count() == len(ROWS) and kept.columns == docs.columns
         assert decontaminate.report(empty, bench).count() == 0
         assert decontaminate.report(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize("block", [4_000_000, 200])
+def test_items_without_an_id_are_searched(spark, block):
+    items = [(1, prose(25, 301)), (None, prose(25, 302)), (None, prose(25, 303))]
+    rows = [(i, f"{prose(20, 400 + i)} {t} {prose(20, 500 + i)}") for i, (_, t) in enumerate(items)]
+    rows += [(3, rows[0][1] + " " + rows[1][1]), (4, prose(60, 304))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {x["doc_id"]: [tuple(h) for h in x["benchmark_hits"]] for x in decontaminate.flag(df, bench, 0.1, block).collect()}
+    assert got == {0: [(1, 0)], 1: [(None, 0)], 2: [(None, 0)], 3: [(1, 0), (None, 0)], 4: []}
+    assert [x["doc_id"] for x in decontaminate.drop_contaminated(df, bench, 0.1, block).collect()] == [4]
+    if block > 1000:
+        assert sorted(x["doc_id"] for x in decontaminate.report(df, bench).where("contaminated").collect()) == [0, 1, 2, 3]

@@ -14,8 +14,8 @@ The benchmark is a stated query set: it is split by item into blocks of at most
 documents pass every block in one scan without a shuffle.
 
 Defined results: null or empty texts and items without a letter or digit match nothing;
-repeated items count once per item_id (the smallest distance), repeated documents each
-get a row; an empty table of either kind gives no hits; an input column called
+repeated items count once per item_id (the smallest distance), the items without an id
+together as the null one; repeated documents each get a row; an empty table of either kind gives no hits; an input column called
 ``benchmark_hits`` is replaced, all others pass through. A text is searched whole.
 """
 
@@ -107,7 +107,7 @@ class Matcher:
             myers = self.made[item, a, b] = Myers(self.items[item][1][a:b])
         return myers.least(text)
 
-    def hits(self, text: str) -> dict[int, int]:
+    def hits(self, text: str) -> dict[int | None, int]:
         """item_id -> least distance, for the items that occur within their budget."""
         if self.empty or not text:
             return {}
@@ -117,7 +117,7 @@ class Matcher:
                 start = end + 1 - size - offset  # of the item, if nothing before is changed
                 if not edits or self.least(item, a, b, text[max(0, start + a - edits):start + b + edits]) <= edits:
                     spans.setdefault(item, []).append(start)
-        found: dict[int, int] = {}
+        found: dict[int | None, int] = {}
         for item, starts in spans.items():
             item_id, pattern, k = self.items[item]
             n = len(pattern)
@@ -137,12 +137,12 @@ class Matcher:
 
 def blocks_of(items: DataFrame, block_chars: int) -> list[list[tuple[int, str]]]:
     """Normalised items in blocks; each is fetched by itself, so the driver holds one."""
-    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    rows = items.where("text IS NOT NULL").select("item_id", "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(1.2 * chars / block_chars))
     for b in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).distinct()
-        yield sorted({(r[0], t) for r in part.collect() if (t := normalise(r[1]))})
+        yield sorted({(r[0], t) for r in part.collect() if (t := normalise(r[1]))}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def flag(docs: DataFrame, items: DataFrame, max_error: float = 0.1, block_chars: int = 4_000_000) -> DataFrame:
@@ -166,7 +166,8 @@ def flag(docs: DataFrame, items: DataFrame, max_error: float = 0.1, block_chars:
                         new = {h["item_id"]: h["distance"] for h in old or ()}
                         for item, d in matcher.hits(normalise(text)).items():
                             new[item] = min(d, new.get(item, d))
-                        got.append([{"item_id": i, "distance": new[i]} for i in sorted(new)])
+                        got.append([{"item_id": i, "distance": new[i]}
+                                    for i in sorted(new, key=lambda i: (i is None, i or 0))])
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, kind)],
                                                      names=part.schema.names)
 
