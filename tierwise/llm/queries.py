@@ -91,3 +91,22 @@ def op2(spark, d):
 def op4(spark, d):
     from tierwise.llm.ppm import score_documents
     return score_documents(table(spark, d, "documents"))
+
+
+@register("op11_periodic_runs")
+def op11(spark, d):
+    from tierwise.llm.periodic_runs import detect
+    return detect(table(spark, d, "documents"), plant=True, with_text=False)
+
+
+@register("op12_pair_counts")
+def op12(spark, d):
+    from tierwise.llm.pair_counts import align
+    return align(table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"),
+                 with_text=False)
+
+
+@register("op13_sharding")
+def op13(spark, d):
+    from tierwise.llm.sharding import assign
+    return assign(table(spark, d, "documents"))
