@@ -13,7 +13,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 def test_registry():
     names = set(corpus_pipeline.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(corpus_pipeline.SQL) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "decontamination", "personal_data", "encoding"]

@@ -92,3 +92,37 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+
+# crc32 by its table: 256 entries from the rule, then one step a byte. The phase of a source and
+# the order of its rows are digests that both engines have.
+SQL["op13_sharding"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT b AS byte, b::BIGINT AS v, 0 AS k FROM range(256) t(b)
+  UNION ALL
+  SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), step AS MATERIALIZED (
+  SELECT list(v ORDER BY byte) AS crc FROM bits WHERE k = 8
+), d AS (
+  SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS hexed, (SELECT crc FROM step) AS crc FROM documents
+), sized AS (
+  SELECT doc_id, source, (length(hexed) // 2 + 8)::BIGINT AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hexed, '..'),
+      lambda x: ('0x' || x)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM d
+), ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY
+      md5('42:' || coalesce(doc_id::VARCHAR, '-') || ':' || text_crc32), doc_id NULLS FIRST, size, text_crc32) - 1 AS r
+  FROM sized
+), placed AS (
+  SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY
+    (r::DOUBLE + (('0x' || substr(md5('42:' || coalesce(source, '-')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0) / n::DOUBLE,
+    source NULLS FIRST, r) - 1 AS pos
+  FROM ranked
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, ((24 * pos) // total)::INTEGER AS shard,
+       (pos - (((24 * pos) // total) * total + 23) // 24)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""

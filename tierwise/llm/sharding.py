@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 Rows of a source (the stratum) are put in a seeded-random order and ranked; the row of rank r of
-n stands at the fraction (2r + 1) / 2n. All rows sorted by that fraction are the sources laid
-into each other evenly, so any stretch of them holds every source in proportion; they are
-cut into shards of equal counts (the law ``rows``: at most one row apart).
+n stands at the fraction (r + u) / n, where u, from 0 to 1, is the source's own phase: without
+it all sources of a size would meet in the same places, and all sources of one row in the
+middle. All rows sorted by that fraction are the sources laid into each other evenly, so
+any stretch of them holds every source in proportion; they are cut into shards of equal
+counts (the law ``rows``: at most one row apart).
 
 Ranks come from range partitions, never from a window over a source: rows are dealt by ranges of
 (source, shuffle hash), which also cuts a source that holds a third of all rows into many, and
@@ -68,7 +70,9 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, keep: tuple[
     rows = docs.select(*[F.col(c).alias(f"_keep_{c}") for c in keep], "doc_id",
                        (F.octet_length(text) + OVERHEAD).cast("bigint").alias("size"),
                        crc.alias("text_crc32"), F.col("source").alias("_source"), h.alias("_h"))
-    rows = ranked(rows).withColumn("_at", (2 * F.col("_rank") + 1).cast("double") / (2 * F.col("_n")).cast("double"))
+    phase = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("_source", F.lit("-"))).cast("binary"))
+    u = (F.conv(F.substring(phase, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    rows = ranked(rows).withColumn("_at", (F.col("_rank").cast("double") + u) / F.col("_n").cast("double"))
     rows = ranged(rows.drop("_h", "_n"), SECOND)
     counts = rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_own"))
     # One row per range partition: the running sum runs over that many rows at most.
