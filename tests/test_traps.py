@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierwise.functions.rules import SALES_RULES, STRICT_AMOUNT_RULES
@@ -38,12 +39,27 @@ def test_trailing_space_key_is_one_key(spark):  # trap 3
     assert dedup(good, ["order_id"], ["amount"]).count() == 1
 
 
-def test_null_nan_zero_amounts_are_ok_by_default_and_flagged_when_strict(spark):  # trap 4
+def test_null_and_zero_amounts_are_ok_by_default_and_nan_is_not(spark):  # trap 4
     rows = [row(oid="a", amount=None), row(oid="b", amount="NaN"), row(oid="c", amount="0")]
     default = {r.order_id: r.data_issue for r in labelled(spark, rows).collect()}
-    assert default == {"a": "ok", "b": "ok", "c": "ok"}
+    assert default == {"a": "ok", "b": "amount out of range", "c": "ok"}
     strict = {r.order_id: r.data_issue for r in labelled(spark, rows, STRICT_AMOUNT_RULES).collect()}
-    assert strict == {"a": "missing amount", "b": "invalid amount", "c": "ok"}
+    assert strict == {"a": "missing amount", "b": "amount out of range", "c": "ok"}
+
+
+def test_values_beyond_cents_are_quarantined_and_end_no_job(spark):
+    from tierwise.functions.money import cents
+    rows = [row(oid="a", amount="1e17"), row(oid="b", amount="-1e17"), row(oid="c", qty="2000000000"), row(oid="d", amount="12.34")]
+    lab = labelled(spark, rows)
+    assert {r.order_id: r.data_issue for r in lab.collect()} == {
+        "a": "amount out of range", "b": "negative amount", "c": "quantity out of range", "d": "ok"}
+    assert lab.agg(F.sum(cents("amount"))).first()[0] == 1234 + 1000  # what cents can hold
+    assert sv.label_counts(lab).count() == 4
+    cost = standardise(spark.createDataFrame([("p", "n", "c", "b", "1e30"), ("q", "n", "c", "b", "3")],
+                                             "product_id string, name string, category string, brand string, unit_cost string"),
+                       sv.product_entity("string").spec, flag_invalid=True)
+    assert {r.product_id: r.data_issue for r in label(cost, sv.product_entity("string").rules).collect()} == {
+        "p": "unit_cost out of range", "q": "ok"}
 
 
 def test_unparsable_values_are_quarantined_not_fatal(spark):  # trap 5
@@ -125,9 +141,12 @@ def test_date_outside_dim_date_is_reported_as_dropped(spark):  # trap 18, trap 8
 def test_scd2_and_as_of_lookup(spark):  # E3
     from tierwise.operators import history as hs
     d = dt.date
-    rows = [("c", "new", d(2024, 2, 1)), ("c", "old", d(2024, 1, 1)), ("c", "newer", d(2024, 3, 1)),
-            ("x", "only", None), ("c", "z same day", d(2024, 3, 1))]
-    dim = hs.scd2(spark.createDataFrame(rows, "k string, seg string, day date"), "k", "day")
+    rows = [("c", "new", d(2024, 2, 1), 1), ("c", "old", d(2024, 1, 1), 1), ("c", "newer", d(2024, 3, 1), 2),
+            ("x", "only", None, 1), ("c", "z came first", d(2024, 3, 1), 1)]
+    history = spark.createDataFrame(rows, "k string, seg string, day date, seq int")
+    dim = hs.scd2(history, "k", "day", ["seq"])
+    with pytest.raises(ValueError, match="order"):
+        hs.scd2(history, "k", "day", [])
     got = sorted((r.k, r.version_no, r.seg, r.valid_from, r.valid_to, r.is_current) for r in dim.collect())
     assert got == [("c", 1, "old", d(2024, 1, 1), d(2024, 2, 1), False),
                    ("c", 2, "new", d(2024, 2, 1), d(2024, 3, 1), False),

@@ -21,8 +21,9 @@ def _c(col: str | Column) -> Column:
 
 
 def cents(col: str | Column) -> Column:
-    """Double amount -> bigint cents (rounded to the cent)."""
-    return (_c(col).cast("decimal(18,2)") * 100).cast("bigint")
+    """Double amount -> bigint cents (rounded to the cent). What no cents can hold (NaN, 1e16 and
+    more) is NULL instead of the end of the job; the range rules keep it out of silver."""
+    return (_c(col).try_cast("decimal(18,2)") * 100).cast("bigint")
 
 
 def from_cents(col: str | Column) -> Column:
@@ -32,7 +33,7 @@ def from_cents(col: str | Column) -> Column:
 
 def sum_cents(col: str | Column) -> Column:
     """Sum of a double amount in whole cents, as DECIMAL(30,0): beyond a bigint's range."""
-    return F.sum((_c(col).cast("decimal(18,2)") * 100).cast("decimal(18,0)")).cast("decimal(30,0)")
+    return F.sum((_c(col).try_cast("decimal(18,2)") * 100).cast("decimal(18,0)")).cast("decimal(30,0)")
 
 
 def cents_text(col: str | Column) -> Column:

@@ -89,10 +89,12 @@ def arrival_columns(df: DataFrame) -> list[str]:
 
 def label(df: DataFrame, rules: list[Rule], issue_col: str = ISSUE,
           with_invalid: bool = True, keep_raw: bool = False) -> DataFrame:
-    """Add the first-match issue label. The entity's rules come first, in the
-    reference's order, then what the rows could not be read as. ``keep_raw`` keeps the
-    values as they arrived (for quarantine)."""
-    all_rules = list(rules) + (invalid_rules(df) if with_invalid else [])
+    """Add the first-match issue label. A record that could not be read at all is that and
+    nothing else; then the entity's rules come, in the reference's order, then values that
+    could not be cast. ``keep_raw`` keeps the values as they arrived (for quarantine)."""
+    unread = invalid_rules(df) if with_invalid else []
+    n = int(bool(unread) and CORRUPT in df.columns)
+    all_rules = unread[:n] + list(rules) + unread[n:]
     labelled = df.withColumn(issue_col, first_match(all_rules))
     return labelled if keep_raw else labelled.drop(*arrival_columns(df))
 

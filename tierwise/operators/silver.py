@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.functions.rules import CUSTOMER_RULES, PRODUCT_RULES, SALES_RULES, Rule
+from tierwise.functions.rules import (
+    CUSTOMER_RULES, PRODUCT_RANGE_RULES, PRODUCT_RULES, SALES_RANGE_RULES, SALES_RULES, Rule)
 from tierwise.operators.clean import ISSUE, Col, dedup, label, split, standardise
 from tierwise.sources.testdata import SALES_TIE_BREAK
 
@@ -32,7 +33,7 @@ def sales_entity(id_type: str = "bigint") -> Entity:
             Col("ship_date", "date"), Col("quantity", "int"), Col("unit_price", "double"),
             Col("amount", "double"), Col("channel", "string"), Col("discount_pct", "int"),
             Col("tax", "double"), Col("return_flag", "string"), Col("line_status", "string")]
-    return Entity("sales", ["order_id", "line_no"], spec, SALES_RULES, SALES_TIE_BREAK)
+    return Entity("sales", ["order_id", "line_no"], spec, SALES_RULES + SALES_RANGE_RULES, SALES_TIE_BREAK)
 
 
 def sample_sales_entity() -> Entity:
@@ -40,7 +41,7 @@ def sample_sales_entity() -> Entity:
     spec = [Col("order_id", "string"), Col("customer_id", "string"), Col("product_id", "string"),
             Col("order_date", "date"), Col("quantity", "int"), Col("unit_price", "double"),
             Col("amount", "double"), Col("channel", "string"), Col("discount_pct", "int")]
-    return Entity("sales", ["order_id"], spec, SALES_RULES,
+    return Entity("sales", ["order_id"], spec, SALES_RULES + SALES_RANGE_RULES,
                   ["order_date", "customer_id", "product_id", "amount", "quantity",
                    "unit_price", "discount_pct", "channel"])
 
@@ -58,7 +59,7 @@ def customer_entity(id_type: str = "bigint") -> Entity:
 def product_entity(id_type: str = "bigint") -> Entity:
     spec = [Col("product_id", id_type), Col("name", "string"), Col("category", "string"),
             Col("brand", "string"), Col("unit_cost", "double")]
-    return Entity("products", ["product_id"], spec, PRODUCT_RULES,
+    return Entity("products", ["product_id"], spec, PRODUCT_RULES + PRODUCT_RANGE_RULES,
                   ["name", "category", "brand", "unit_cost"])
 
 

@@ -332,6 +332,11 @@ SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY customer_id ORDER
 
 SQL["dim_customer_scd2"] = HISTORY + "SELECT * FROM versions"
 
+SQL["snapshot_customers"] = SQL["upsert_customers"]
+
+SQL["merge_customer_versions"] = HISTORY + """
+SELECT *, md5('false|' || customer_id || '|' || strftime(valid_from, '%Y-%m-%d')) AS version_key FROM versions"""
+
 SQL["fact_asof"] = HISTORY + """
 SELECT s.order_id, s.line_no, s.customer_id, s.order_date, s.amount, v.segment, v.version_no,
        v.valid_from, v.valid_to

@@ -128,7 +128,7 @@ class Pipeline:
             from tierwise.streaming.bronze import ingest_files
             for (path, columns, fmt, opts), name, label in zip(s.streams, names, s.labels):
                 schema = (readers.csv_schema(self.spark, path, columns) if fmt == "csv"
-                          else readers.text_schema(columns))
+                          else readers.text_schema([*columns, CORRUPT]))
                 before = self.table(name).count() if sinks.table_exists(self.spark, self.t(name)) else 0
                 query = ingest_files(self.spark, path, schema, self.t(name), label, fmt=fmt,
                                      options=opts, columns=[*columns, CORRUPT])

@@ -8,6 +8,7 @@ registry output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import ISSUE
+from tierwise.session import checkpoint_dir
 from tierwise.sources import testdata as td
+from tierwise.sources.snapshots import Snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,15 +284,48 @@ def q_upsert_customers(spark, d):
     return hs.upsert(first, changes, CUSTOMERS.keys, "updated_at")
 
 
-def customer_versions(spark, d):
+VERSIONED = ["customer_id", "name", "segment", "country_code", "updated_at", "seq"]
+
+
+def customer_events(spark, d):
+    """First rows and later changes of the customers, numbered in the order they arrive."""
     first, changes = customer_history(spark, d)
-    return hs.scd2(first.unionByName(changes).select("customer_id", "name", "segment", "country_code", "updated_at"),
-                   "customer_id", "updated_at")
+    return (first.withColumn("seq", F.lit(0)).select(*VERSIONED), changes.withColumn("seq", F.lit(1)).select(*VERSIONED))
+
+
+def customer_versions(spark, d):
+    first, changes = customer_events(spark, d)
+    return hs.scd2(first.unionByName(changes), "customer_id", "updated_at", ["seq"])
 
 
 @register("dim_customer_scd2")
 def q_dim_customer_scd2(spark, d):
-    return customer_versions(spark, d)
+    return customer_versions(spark, d).drop("version_key")
+
+
+def snapshot_folder(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+
+
+@register("snapshot_customers")
+def q_snapshot_customers(spark, d):
+    """The second snapshot of the customers: first load, then one batch of changes."""
+    first, changes = customer_history(spark, d)
+    table = Snapshots(spark, snapshot_folder(spark), CUSTOMERS.keys)
+    table.replace(first)
+    number = table.merge(changes, lambda old, new: hs.upsert(old, new, CUSTOMERS.keys, "updated_at"))
+    return table.read(number)
+
+
+@register("merge_customer_versions")
+def q_merge_customer_versions(spark, d):
+    """Version table by batches, the later changes first: the first rows then come late and
+    are put before them."""
+    first, changes = customer_events(spark, d)
+    table = Snapshots(spark, snapshot_folder(spark), ["customer_id"])
+    table.replace(hs.scd2(changes, "customer_id", "updated_at", ["seq"], keep_order=True))
+    table.merge(first, lambda old, new: hs.merge_versions(old, new, "customer_id", "updated_at", ["seq"]))
+    return table.read().drop("seq")
 
 
 @register("fact_asof")

@@ -40,6 +40,8 @@ def csv_schema(spark: SparkSession, path: str, columns: list[str]) -> T.StructTy
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "enforceSchema": "false",
                "columnNameOfCorruptRecord": CORRUPT}
 
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
 
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              infer: bool = False) -> DataFrame:
@@ -56,12 +58,13 @@ def scan_json(spark: SparkSession, path: str, columns: list[str] | None = None,
               multiline: bool = True) -> DataFrame:
     """JSON. ``multiline`` reads a file holding one array (the reference's
     landing format); such a file is one task. Use JSON lines
-    (``multiline=False``) for large inputs, which split across tasks."""
+    (``multiline=False``) for large inputs, which split across tasks. With ``columns``
+    what cannot be parsed (a whole file, or a line) keeps its text in ``_corrupt_record``."""
     reader = spark.read.option("multiLine", multiline)
     if columns is None:
         return reader.json(path)
-    rows = reader.schema(text_schema(columns)).json(path)
-    return rows.select(*columns, F.col("_metadata.file_path").alias("_file"))
+    rows = reader.options(**JSON_OPTIONS).schema(text_schema([*columns, CORRUPT])).json(path)
+    return rows.select(*columns, CORRUPT, F.col("_metadata.file_path").alias("_file"))
 
 
 def stamp_ingest(df: DataFrame, source: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tierwise.sources.readers import CSV_OPTIONS, stamp_ingest
+from tierwise.sources.readers import CSV_OPTIONS, JSON_OPTIONS, stamp_ingest
 from tierwise.sources.sinks import attach, location
 
 
@@ -45,7 +45,7 @@ def ingest_files(spark: SparkSession, path: str, schema: T.StructType, table: st
     text. ``columns``: the ones to keep. ``log``: folder of the stream's log (default: beside the table).
     """
     reader = spark.readStream.format(fmt).schema(schema)
-    opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
+    opts = dict({"csv": CSV_OPTIONS, "json": JSON_OPTIONS}.get(fmt, {}))
     opts.update(options or {})
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
