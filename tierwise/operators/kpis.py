@@ -22,10 +22,10 @@ STAR_GROUPS = ["year", "quarter", "month", "month_name", "day_type",
 
 
 def star(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-         dim_customer: DataFrame, dim_channel: DataFrame) -> DataFrame:
+         dim_customer: DataFrame, dim_channel: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """The view's FROM clause: fact inner-joined to the four dimensions on their
-    surrogate keys, reduced first to one row per order and key combination."""
-    keys = ["date_sk", "product_sk", "customer_sk", "channel_sk"]
+    surrogate keys, reduced first to one row per order and key combination (and ``extra``)."""
+    keys = ["date_sk", "product_sk", "customer_sk", "channel_sk", *(extra or [])]
     f = fact.groupBy("order_id", *keys).agg(
         F.sum("quantity").alias("quantity"), F.sum(cents("amount")).alias("_rev"),
         F.sum(cents("gross_profit")).alias("_gp"))
@@ -56,6 +56,11 @@ def _by_order_then_group(rows: DataFrame, groups: list[str]) -> DataFrame:
         total("_rev"), total("_gp"), F.sum("_lines").alias("_lines"))
 
 
+def group_sums(star_rows: DataFrame, groups: list[str]) -> DataFrame:
+    """What adds up of the view's measures: orders (each in one group), units, cents."""
+    return _by_order_then_group(star_rows, groups).drop("_lines")
+
+
 def total(col: str):
     """Sum of bigint cents as a decimal of its own range."""
     return F.sum(F.col(col).cast("decimal(28,0)")).alias(col)

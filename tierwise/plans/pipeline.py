@@ -15,6 +15,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +26,15 @@ from tierwise.functions.rules import OK
 from tierwise.operators import checks as ck
 from tierwise.operators import dims as dm
 from tierwise.operators import facts as fc
+from tierwise.operators import history as hs
+from tierwise.operators import kpis as kp
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import CORRUPT, ISSUE, dedup, split, stamp
 from tierwise.plans import quality
+from tierwise.session import checkpoint_dir
 from tierwise.sources import readers, sinks
 from tierwise.sources import testdata as td
+from tierwise.sources.snapshots import Snapshots
 
 
 @dataclass
@@ -98,13 +104,22 @@ def _concurrently(*steps: Callable[[], None]) -> None:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sources: Sources, database: str = "tierwise",
-                 calendar: tuple[str, str] | None = None, fact_grain: str = "day"):
+                 calendar: tuple[str, str] | None = None, fact_grain: str = "day",
+                 reload: str = "full", history: bool = False):
         """``fact_grain``: folders of ``fact_orders`` -- ``day`` (``order_date``, as the
         reference) or, on request, ``month`` (``order_month``). It never depends on the
-        data."""
+        data. ``reload``: ``full`` writes the whole fact, ``days`` only the folders whose
+        lines, or the dimension rows these use, differ from the last run; the KPI view then
+        reads sums per folder that are renewed with them. ``history``: keep every version of a
+        customer, and the one that held on the order's day in the fact."""
         if fact_grain not in ("day", "month"):
             raise ValueError(f"fact_grain must be day or month: {fact_grain}")
+        if reload not in ("full", "days"):
+            raise ValueError(f"reload must be full or days: {reload}")
         self.fact_grain = fact_grain
+        self.reload = reload
+        self.history = history
+        self.reloaded: list | None = None  # folders that the last gold step wrote; None: all
         self.spark = spark
         self.src = sources
         self.db = database
@@ -210,6 +225,56 @@ class Pipeline:
         joined = silver.join(keymap, silver[key].eqNullSafe(keymap["_k"]), "inner")
         return joined.select(sk, *cols)
 
+    @property
+    def folder(self) -> str:
+        """Partition column of the fact."""
+        return "order_month" if self.fact_grain == "month" else "order_date"
+
+    def _with_folder(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("order_month", F.trunc("order_date", "MM")) if self.fact_grain == "month" else rows
+
+    def versions(self) -> Snapshots:
+        """The customers' version table."""
+        return Snapshots(self.spark, sinks.location(self.spark, self.t("dim_customer_history")), ["customer_id"])
+
+    def _merge_history(self) -> DataFrame:
+        """Merges the valid customer rows that came since the last merge; gives the customers whose
+        versions changed."""
+        entity, table = self.src.customer_entity, self.versions()
+        good, _ = split(sv.labelled(entity, self.table("bronze_customers"), drop=[]))
+        order = [c for c in ("_ingest_at", "_file") if c in good.columns]
+        rows = good.select(*entity.columns, *order)
+        before = table.manifest()
+        if before:
+            upto = table.read().agg(F.max("_ingest_at")).first()[0]  # one scalar
+            rows = rows.where(F.col("_ingest_at") > F.lit(upto)) if upto else rows
+        table.merge(rows, lambda old, new: hs.merge_versions(old, new, "customer_id", "updated_at", order) if before
+                    else hs.scd2(new, "customer_id", "updated_at", order, keep_order=True))
+        now = table.read()
+        if not before:
+            return now.select("customer_id").distinct()
+        return _changed(table.read(before["number"]), now, ["customer_id", "version_key"], ["valid_from", "valid_to"]).select(
+            "customer_id").distinct()
+
+    def _touched(self, silver: DataFrame, state: DataFrame, changed: dict[str, DataFrame]) -> list:
+        """Folders to write anew: their lines differ from the last run's by count or digest, or a
+        line's customer, product or day is among the changed ones. At most one value per folder."""
+        known = self.table("fact_state")
+        lines = state.join(known, state[self.folder].eqNullSafe(known[self.folder]), "full_outer").where(
+            ~(state["lines"].eqNullSafe(known["lines"]) & state["digest"].eqNullSafe(known["digest"])))
+        days = lines.select(F.coalesce(state[self.folder], known[self.folder]).alias(self.folder))
+        for key, rows in changed.items():
+            days = days.unionByName(silver.join(rows, key, "left_semi").select(self.folder))
+        return [r[0] for r in days.distinct().collect()]
+
+    def _facts(self, silver: DataFrame) -> DataFrame:
+        fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
+                             self.table("dim_channel"), extra_cols=["_silver_at"])
+        if self.history:
+            held = self.versions().read().select("customer_id", F.col("version_key").alias("customer_version"), "valid_from", "valid_to")
+            fact = hs.as_of(fact, held, "customer_id", "order_date").drop("valid_from", "valid_to")
+        return self._with_folder(fact)
+
     def gold(self) -> None:
         silver = self.table("silver_orders")
         if self.calendar:
@@ -224,23 +289,68 @@ class Pipeline:
                                 "inner").select("channel_sk", channels["channel"])
             sinks.overwrite(dim, self.t("dim_channel"))
 
-        # The four dimensions are independent: their jobs run side by side.
-        _concurrently(
-            lambda: sinks.overwrite(dm.dim_date(spine), self.t("dim_date")),
-            lambda: sinks.overwrite(self._keyed(self.table("silver_customers"), "customer_id",
-                                                "customer_sk", dm.CUSTOMER_COLS),
-                                    self.t("dim_customer")),
-            lambda: sinks.overwrite(self._keyed(self.table("silver_products"), "product_id",
-                                                "product_sk", dm.PRODUCT_COLS),
-                                    self.t("dim_product")),
-            channel_dim)
-        fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
-                             self.table("dim_channel"), extra_cols=["_silver_at"])
+        changed: dict[str, DataFrame] = {}
+
+        def keyed_dim(name: str, source: str, key: str, sk: str, cols: list[str]) -> None:
+            dim = self._keyed(self.table(source), key, sk, cols)
+            if partial:  # compared with the last run's before that is overwritten
+                dim = _cut(dim)
+                changed[key] = _cut(_changed(self.table(name), dim, [key], [c for c in dim.columns if c != key]))
+            sinks.overwrite(dim, self.t(name))
+
+        partial = self.reload == "days" and all(
+            sinks.table_exists(self.spark, self.t(n)) for n in ("fact_orders", "fact_state", "kpi_partials", "dim_customer", "dim_product"))
+        if partial and (self.folder not in self.table("fact_orders").columns
+                        or self.history != ("customer_version" in self.table("fact_orders").columns)):
+            partial = False  # another layout than the last run's
+        def date_dim() -> None:
+            dim = dm.dim_date(spine)
+            if partial:
+                dim = _cut(dim)
+                changed["order_date"] = _cut(_changed(self.table("dim_date"), dim, ["full_date"], [
+                    c for c in dim.columns if c != "full_date"]).withColumnRenamed("full_date", "order_date"))
+            sinks.overwrite(dim, self.t("dim_date"))
+
+        # The dimensions are independent: their jobs run side by side.
+        steps = [
+            date_dim,
+            lambda: keyed_dim("dim_customer", "silver_customers", "customer_id", "customer_sk", dm.CUSTOMER_COLS),
+            lambda: keyed_dim("dim_product", "silver_products", "product_id", "product_sk", dm.PRODUCT_COLS),
+            channel_dim]
+        if self.history:
+            steps.append(lambda: changed.update(versions=_cut(self._merge_history())))
+        _concurrently(*steps)
+        lines = self._with_folder(silver)
+        own = [c for c in silver.columns if not c.startswith("_")]
+        state = None
+        if self.reload == "days":
+            state = _cut(lines.groupBy(self.folder).agg(
+                F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64(*own).cast("decimal(38,0)")).alias("digest")))
+        if partial:
+            if self.history:
+                changed["customer_id"] = changed["customer_id"].unionByName(changed.pop("versions")).distinct()
+            self.reloaded = self._touched(lines, state, changed)
+            if self.reloaded:
+                values = self.spark.createDataFrame([(v,) for v in self.reloaded], f"{self.folder} date")
+                here = lines.join(F.broadcast(values), lines[self.folder].eqNullSafe(values[self.folder]), "left_semi")
+                sinks.replace_partitions(_cut(self._facts(here.drop("order_month"))), self.t("fact_orders"), self.folder, self.reloaded)
+                fact = self.table("fact_orders")
+                fact = fact.join(F.broadcast(values), fact[self.folder].eqNullSafe(values[self.folder]), "left_semi")
+                sinks.replace_partitions(_cut(self._partials(fact)), self.t("kpi_partials"), self.folder, self.reloaded)
+        else:
+            self.reloaded = None
+            sinks.write_partitioned(self._facts(silver), self.t("fact_orders"), self.folder)
+            if self.reload == "days":
+                sinks.write_partitioned(self._partials(self.table("fact_orders")), self.t("kpi_partials"), self.folder)
         month = self.fact_grain == "month"
-        if month:
-            fact = fact.withColumn("order_month", F.trunc("order_date", "MM"))
-        sinks.write_partitioned(fact, self.t("fact_orders"), "order_month" if month else "order_date")
-        self.spark.sql(kpi_view_sql(self.db, month_folders=month))
+        if self.reload == "days":
+            # Last: after a loss the next run finds the folders differing still.
+            sinks.overwrite(state, self.t("fact_state"))
+            self.spark.sql(kpi_view_sql(self.db, month, "partials" if self._one_day_orders() else "fact"))
+        else:
+            for n in ("fact_state", "kpi_partials"):  # of an earlier run by days; they no longer hold
+                sinks.drop(self.spark, self.t(n))
+            self.spark.sql(kpi_view_sql(self.db, month))
         lines, days, channels, none = silver.agg(
             F.count(F.lit(1)), F.datediff(F.max("order_date"), F.min("order_date")) + 1,
             F.count_distinct("channel"), F.max(F.col("channel").isNull().cast("int"))).first()
@@ -254,6 +364,20 @@ class Pipeline:
             sorted(self.expected.items()), "table_name string, expected_rows bigint"),
             self.t("run_expectations"))
 
+    def _partials(self, fact: DataFrame) -> DataFrame:
+        """Sums of the view's measures per folder and group; those of several folders add up."""
+        rows = kp.star(fact, self.table("dim_date"), self.table("dim_product"), self.table("dim_customer"),
+                       self.table("dim_channel"), extra=[self.folder])
+        return kp.group_sums(rows, [self.folder, *kp.STAR_GROUPS])
+
+    def _one_day_orders(self) -> bool:
+        """Whether every order lies in one folder: then the orders of folders add up. If not, the
+        view counts them in the fact."""
+        several = self.table("fact_orders").groupBy("order_id").agg(
+            F.min(self.folder).alias("a"), F.max(self.folder).alias("b"), F.count_if(F.col(self.folder).isNull()).alias("n"),
+            F.count(F.lit(1)).alias("m")).where("a <> b OR (n > 0 AND n < m)")
+        return several.isEmpty()
+
     # ------------------------------------------------------------------ checks
     def check(self, fail_on_error: bool = False, fresh_since: str | None = None,
               max_age_days: int | None = None) -> DataFrame:
@@ -336,7 +460,9 @@ class Pipeline:
         if all(sinks.attach(self.spark, self.t(n)) for n in
                ["fact_orders", "dim_date", "dim_customer", "dim_product", "dim_channel"]):
             month = "order_month" in self.table("fact_orders").columns
-            self.spark.sql(kpi_view_sql(self.db, month_folders=month))
+            self.fact_grain = "month" if month else "day"
+            days = all(sinks.attach(self.spark, self.t(n)) for n in ("kpi_partials", "fact_state"))
+            self.spark.sql(kpi_view_sql(self.db, month, "partials" if days and self._one_day_orders() else "fact"))
 
     def dropped(self) -> DataFrame:
         """Fact lines the KPI view's inner joins drop, and their revenue (trap 8)."""
@@ -359,18 +485,57 @@ class Pipeline:
                            .alias("difference"))
 
 
-def kpi_view_sql(db: str, month_folders: bool = False) -> str:
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _changed(old: DataFrame, new: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Keys that only one of both has, or whose ``cols`` differ."""
+    a = old.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*cols).alias("_a"))
+    b = new.select(*keys, F.struct(*cols).alias("_b"))
+    same = reduce(and_, [b[k].eqNullSafe(a[f"_{k}"]) for k in keys])
+    return (b.join(a, same, "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b")))
+            .select(*[F.coalesce(k, f"_{k}").alias(k) for k in keys]))
+
+
+def kpi_view_sql(db: str, month_folders: bool = False, source: str = "fact") -> str:
     """The KPI view: the reference's grain and measures, money in exact cents.
 
-    The date dimension joins on the fact's partition column (``order_date``,
-    or ``order_month`` for month folders) so a filter on the view's date
-    attributes prunes fact folders at run time (dynamic partition pruning).
+    From the fact, lines are first reduced to one row per order and keys, and orders counted
+    after the dimensions have come to these, so nothing is made distinct. The date dimension
+    joins on the fact's partition column (``order_date``, or ``order_month`` for month
+    folders) so a filter on the view's date attributes prunes fact folders at run time
+    (dynamic partition pruning). ``partials``: the sums kept per folder are added up.
     """
-    month_join = " AND f.order_month = trunc(d.full_date, 'MM')" if month_folders else ""
+    names = ", ".join(kp.STAR_GROUPS)
+    if source == "partials":
+        body = f"""
+  SELECT {names}, CAST(SUM(order_count) AS BIGINT) AS order_count, CAST(SUM(units_sold) AS BIGINT) AS units_sold,
+         CAST(SUM(_rev) AS DECIMAL(30,0)) AS rev, CAST(SUM(_gp) AS DECIMAL(30,0)) AS gp
+  FROM {db}.kpi_partials GROUP BY {names}"""
+    else:
+        folder = "order_month, " if month_folders else ""
+        pruned = " AND order_month = trunc(full_date, 'MM')" if month_folders else ""
+        cents = "SUM(CAST(TRY_CAST({} AS DECIMAL(18,2)) * 100 AS DECIMAL(18,0)))"
+        body = f"""
+  SELECT {names}, COUNT(order_id) AS order_count, CAST(SUM(units) AS BIGINT) AS units_sold,
+         CAST(SUM(rev) AS DECIMAL(30,0)) AS rev, CAST(SUM(gp) AS DECIMAL(30,0)) AS gp
+  FROM (
+    SELECT {names}, order_id, SUM(units) AS units, SUM(rev) AS rev, SUM(gp) AS gp
+    FROM (SELECT order_id, order_date, {folder}product_sk, customer_sk, channel_sk, SUM(quantity) AS units,
+                 {cents.format('amount')} AS rev, {cents.format('gross_profit')} AS gp
+          FROM {db}.fact_orders
+          GROUP BY order_id, order_date, {folder}product_sk, customer_sk, channel_sk) AS reduced
+    JOIN (SELECT channel_sk, channel FROM {db}.dim_channel) USING (channel_sk)
+    JOIN (SELECT product_sk, category, brand FROM {db}.dim_product) USING (product_sk)
+    JOIN (SELECT customer_sk, region, segment, country_code FROM {db}.dim_customer) USING (customer_sk)
+    JOIN {db}.dim_date AS calendar ON order_date = full_date{pruned}
+    GROUP BY {names}, order_id)
+  GROUP BY {names}"""
     return f"""
 CREATE OR REPLACE VIEW {db}.vw_sales_kpis AS
-SELECT year, quarter, month, month_name, day_type, category, brand, region, segment,
-       country_code, channel, order_count, units_sold,
+SELECT {names}, order_count, units_sold,
        CAST(rev AS DOUBLE) / 100 AS revenue,
        CAST(sign(rev) * ((abs(rev) * 2 + order_count) div (2 * order_count)) AS DOUBLE) / 100
          AS avg_order_value,
@@ -378,17 +543,4 @@ SELECT year, quarter, month, month_name, day_type, category, brand, region, segm
        CASE WHEN rev = 0 THEN NULL ELSE
          CAST(sign(gp) * sign(rev) * ((abs(gp) * 2000 + abs(rev)) div (2 * abs(rev))) AS DOUBLE)
            / 10 END AS margin_pct
-FROM (
-  SELECT d.year, d.quarter, d.month, d.month_name, d.day_type, p.category, p.brand,
-         c.region, c.segment, c.country_code, ch.channel,
-         COUNT(DISTINCT f.order_id) AS order_count,
-         CAST(SUM(f.quantity) AS BIGINT) AS units_sold,
-         CAST(SUM(CAST(CAST(f.amount AS DECIMAL(18,2)) * 100 AS DECIMAL(18,0))) AS DECIMAL(30,0)) AS rev,
-         CAST(SUM(CAST(CAST(f.gross_profit AS DECIMAL(18,2)) * 100 AS DECIMAL(18,0))) AS DECIMAL(30,0)) AS gp
-  FROM {db}.fact_orders f
-  JOIN {db}.dim_date d ON f.order_date = d.full_date{month_join}
-  JOIN {db}.dim_product p ON f.product_sk = p.product_sk
-  JOIN {db}.dim_customer c ON f.customer_sk = c.customer_sk
-  JOIN {db}.dim_channel ch ON f.channel_sk = ch.channel_sk
-  GROUP BY d.year, d.quarter, d.month, d.month_name, d.day_type, p.category, p.brand,
-           c.region, c.segment, c.country_code, ch.channel) t"""
+FROM ({body})"""

@@ -56,6 +56,14 @@ def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None) -
     w.saveAsTable(name)
 
 
+def drop(spark: SparkSession, name: str) -> None:
+    """Table and folder, if there are any."""
+    from tierwise.sources.snapshots import Store
+
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    Store(spark).delete(location(spark, name))
+
+
 def append(df: DataFrame, name: str) -> None:
     _writer(df, name, "append").saveAsTable(name)
 
@@ -105,3 +113,29 @@ def write_partitioned(df: DataFrame, name: str, partition_col: str,
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)
        .saveAsTable(name))
+
+
+def replace_partitions(df: DataFrame, name: str, partition_col: str, values: list,
+                       max_records_per_file: int = 5_000_000) -> None:
+    """Puts ``df`` in the place of the folders of ``values`` (all its rows are of these); a
+    value without rows loses its folder. Folders of other values are not touched.
+    Run again after a loss, it ends in the same state."""
+    from tierwise.sources.snapshots import Store
+
+    spark, loc = df.sparkSession, location(df.sparkSession, name)
+    present = {r[0] for r in df.select(partition_col).distinct().collect()}  # one per folder
+    if stray := present - set(values):
+        raise ValueError(f"{name}: rows of other folders: {sorted(map(str, stray))[:5]}")
+    if present:
+        (df.hint("rebalance", partition_col).write.mode("overwrite").format("parquet")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy(partition_col).save(loc))
+    store = Store(spark)
+    for v in set(values) - present:
+        folder = f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
+        if store.exists(f"{loc}/{folder}"):
+            store.delete(f"{loc}/{folder}")
+        value = "NULL" if v is None else f"'{v}'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_col} = {value})")
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
