@@ -23,7 +23,8 @@ its share of that. The highest count of each A id is one vector as long as A's v
 Text is encoded by stretches that start at white space after other text. No token of either
 vocabulary crosses such a border (checked for B's pieces when the model is read; A's
 pre-tokenizer cuts there), so tokens, groups and links of a text are those of its stretches.
-A task remembers up to ``memo`` distinct stretches.
+A worker process keeps the tokenizers and between ``memo`` and twice as many distinct
+stretches from one task of a query to the next.
 
 Defined results: texts that are null or empty, or that either tokenizer doesn't give
 back byte for byte after a leading space, have no tokens: zeros and an empty string.
@@ -37,6 +38,7 @@ import hashlib
 import itertools
 import json
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -67,7 +69,7 @@ class Aligner:
     """Aligns texts; remembers distinct stretches. ``look`` maps pairs to their counts and whether
     these are the highest of their A ids (second pass)."""
 
-    def __init__(self, a_path: str, b_path: str, memo: int = 150_000, look: Callable | None = None):
+    def __init__(self, a_path: str, b_path: str, memo: int = 150_000, look: Callable | None = None, listed: bool = True):
         import sentencepiece
         import tiktoken
 
@@ -96,7 +98,7 @@ class Aligner:
         # Text of an id with what may follow it: a comma, the bar or semicolon, nothing.
         self.shown = [f"{i}{mark}" for n, marks in ((len(self.a_bytes), ",|"), (len(pieces), ",;"))
                       for i in range(n) for mark in marks]
-        self.memo, self.look, self.young, self.old = memo, look, {}, {}
+        self.memo, self.look, self.listed, self.young, self.old = memo, look, listed, {}, {}
 
     def entries(self, stretches: list[str]) -> list[tuple | None]:
         """Per stretch n_a, n_b, groups, their text, linked pairs (int64, packed, with repetitions),
@@ -138,12 +140,13 @@ class Aligner:
         a_stop, b_stop = np.searchsorted(a_end, stops) + 1, np.searchsorted(b_end, stops) + 1
         n_a, n_b = np.diff(a_stop, prepend=0), np.diff(b_stop, prepend=0)
         n_groups = np.diff(closes.cumsum()[a_stop - 1], prepend=0)
-        # The text of a group is its A ids, then its B ids.
-        order = np.empty(len(a) + len(b), np.int64)
-        order[np.arange(len(a)) + np.r_[0, np.bincount(b_group).cumsum()][a_group]] = 2 * a + closes
-        order[np.arange(len(b)) + np.bincount(a_group).cumsum()[b_group]] = (
-            2 * len(self.a_bytes) + 2 * b + np.r_[np.diff(b_group) != 0, True])
-        shown = list(map(self.shown.__getitem__, order.tolist()))
+        shown: list[str] = []
+        if self.listed:  # the text of a group is its A ids, then its B ids
+            order = np.empty(len(a) + len(b), np.int64)
+            order[np.arange(len(a)) + np.r_[0, np.bincount(b_group).cumsum()][a_group]] = 2 * a + closes
+            order[np.arange(len(b)) + np.bincount(a_group).cumsum()[b_group]] = (
+                2 * len(self.a_bytes) + 2 * b + np.r_[np.diff(b_group) != 0, True])
+            shown = list(map(self.shown.__getitem__, order.tolist()))
         # The B tokens that overlap an A token: from the first that ends after its start to
         # the first that ends at or after its end.
         first = np.searchsorted(b_end, np.r_[0, a_end[:-1]], "right")
@@ -178,6 +181,17 @@ class Aligner:
         return [[] if None in found else found for found in out]
 
 
+KEPT: dict[str, Aligner] = {}
+
+
+def kept(run: str, make: Callable[[], Aligner]) -> Aligner:
+    """The worker's aligner for this pass of a query; that of another one goes."""
+    if run not in KEPT:
+        KEPT.clear()
+        KEPT[run] = make()
+    return KEPT[run]
+
+
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
     x = (x.astype(np.uint64) + np.uint64((salt * 2 + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
@@ -245,8 +259,11 @@ def linked_pairs(docs: DataFrame, a_path: str, b_path: str, most: int = 2_000_00
     """First pass: per task and bucket the pairs and in how many of the task's documents each is
     linked. A task that has ``most`` pairs writes them and starts anew."""
 
+    run = uuid.uuid4().hex
+
     def init():
-        aligner, node = Aligner(a_path, b_path), TaskContext.get().partitionId()
+        aligner = kept(run, lambda: Aligner(a_path, b_path, listed=False))
+        node = TaskContext.get().partitionId()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         waiting = [0]
 
@@ -430,7 +447,9 @@ def looked_up(rows: DataFrame, a_path: str, b_path: str, part, top, last: bool,
     partial = "doc_id bigint, text string, n_best bigint, count_sum bigint"
     ddl = RESULT_DDL + (", groups string" if with_text else "") if last else partial
 
-    def init():
+    run = uuid.uuid4().hex
+
+    def fresh() -> Aligner:
         own = part.value
         place = np.full(BUCKETS, -1, np.int64)
         place[[p[0] for p in own]] = range(len(own))
@@ -449,7 +468,10 @@ def looked_up(rows: DataFrame, a_path: str, b_path: str, part, top, last: bool,
             found[own[key]] = counts[slot[key]]
             return found, (found > 0) & (found == most[pairs >> SHIFT])
 
-        aligner = Aligner(a_path, b_path, look=look)
+        return Aligner(a_path, b_path, look=look, listed=last)
+
+    def init():
+        aligner = kept(run, fresh)
 
         def step(cols):
             out = {c.split()[0]: [] for c in ddl.split(", ")}
