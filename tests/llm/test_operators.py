@@ -293,13 +293,36 @@ def test_every_prefix_is_counted_and_the_cut_is_the_longest(spark):
     texts += ["".join(r.choice("ae'stL! 1é日\u0301\u0323\u1161\u1100\u11a8가İ\u0307") for _ in range(40)) for _ in range(40)]
     counter = prefix_tokens.PrefixCounter(WORD_BPE)
     for t in texts:
-        assert counter.running(t).tolist() == [count(t[:k]) for k in range(1, len(t) + 1)], t
+        every = [count(t[:k]) for k in range(len(t) + 1)]
+        assert counter.running(t).tolist() == every[1:], t
+        assert [counter.at(t, k) for k in range(len(t) + 1)] == every and counter.total(t) == every[-1]
+        for budget in (0, 1, 7, 10 ** 6):
+            assert counter.fit(t, budget) == len(t[:max(k for k in range(len(t) + 1) if every[k] <= budget)].encode())
+    counter.memo_size = 3  # words come and go
+    for t in texts:
+        assert counter.total(t) == count(t)
     rows = prefix_tokens.count_tokens(spark.createDataFrame(enumerate(texts), "doc_id bigint, text string"), WORD_BPE, limit=10).collect()
     for x in rows:
         t = texts[x["doc_id"]]
         assert x["cut_bytes"] == len(t[:max(k for k in range(len(t) + 1) if count(t[:k]) <= 10)].encode())
 
 
+def test_stored_counts_answer_budgets_without_the_text(docs, empty):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(WORD_BPE)
+    count = lambda t: len(lib.encode(t, add_special_tokens=False).ids)
+    stored = prefix_tokens.prefix_counts(docs, WORD_BPE)
+    for r, (_, t) in zip(stored.collect(), ROWS):
+        t = t or ""
+        assert r["n_tokens"] == count(t)
+        for budget in (5, 100):
+            k = prefix_tokens.stored_fit(r["counts"], budget)
+            assert count(t[:k]) <= budget and (k == len(t) or count(t[:k + 1]) > budget)
+            assert prefix_tokens.stored_at(r["counts"], k) == count(t[:k])
+    assert prefix_tokens.prefix_counts(empty, WORD_BPE).count() == 0
+
+
 # ------------------------------------------------------------------ 6 SentencePiece
 
 def test_pieces_round_trip(docs, empty):

@@ -4,21 +4,26 @@ For a piece of text that the tokenizer never splits further, dynamic programming
 its bytes finds the last token of the encoding of every prefix: token t may follow the
 encoding of the prefix before it exactly if that encoding's last token and t would not
 be merged across their border ("compatible"). One pass gives the exact token count of
-every prefix; a text's counts are the running sum over its pieces. They are kept for all
-prefixes of a text at once (``running``), so how many tokens a prefix has, where a budget is
-used up and where to truncate are lookups, inside words too, without re-encoding.
+every prefix. Every distinct word keeps the counts of all its prefixes; a text adds the
+sums over its words to them, which are looked up first: the words up to a place or a budget
+by their sums, then the place within one word. ``prefix_counts`` writes the counts of all
+prefixes of every text, packed; ``stored_at`` and ``stored_fit`` answer truncation and budget
+questions from these without text or tokenizer.
 
 Defined results: a null or empty text has 0 tokens; a special string in a text is one
 token (the library's default); repeated rows give repeated results; an empty table gives
 an empty one; only ``doc_id`` and ``text`` are read. Long texts are walked word by
-word; the memo of words is bounded by ``memo`` entries and restarted when full.
+word. A worker keeps the tokenizer and between ``memo`` and twice as many words from one task
+to the next; those not met for longest go.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import re
 import unicodedata
+import zlib
 
 import numpy as np
 import regex
@@ -30,7 +35,7 @@ END = "</w>"
 DDL = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, cut_bytes bigint"
 
 COUNT = np.dtype("<u4")
-WORDS = regex.compile(r"[^ \t-\r]+[ \t-\r]*|[ \t-\r]+")
+WORDS = re.compile(r"[^ \t-\r]+")
 # A character and what may compose with it.
 CLUSTER = regex.compile(r"(?s).[\p{M}\u1160-\u11FF]*")
 CONTRACTION = regex.compile(r"'\p{L}")
@@ -52,7 +57,7 @@ def byte_alphabet() -> list[str]:
 
 
 class PrefixCounter:
-    def __init__(self, path: str, memo: int = 300_000):
+    def __init__(self, path: str, memo: int = 200_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -86,9 +91,9 @@ class PrefixCounter:
             node[2 if token.endswith(END) else 1] = rank
         self.memo_size = memo
         self.fits: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, tuple[int, bytes]] = {}
+        self.older: dict[str, tuple[int, bytes]] = {}
         self.parts: dict[str, list[int]] = {}
-        self.last: tuple[str, np.ndarray] | None = None
         self.longest = max(map(len, self.rank))
 
     def compatible(self, a: int, b: int) -> bool:
@@ -226,49 +231,119 @@ class PrefixCounter:
             at += len(whole)
         return out
 
-    def word_counts(self, chunk: str) -> bytes:
-        """Token counts of every prefix of a word and the white space after it, packed."""
-        known = self.words.get(chunk)
+    def word_counts(self, word: str) -> tuple[int, bytes]:
+        """Tokens of a word, and those of each of its prefixes, packed."""
+        known = self.words.get(word)
         if known is not None:
             return known
-        out, at = [], 0
-        for m in (self.special.finditer(chunk) if self.special and "<|" in chunk else ()):
+        known = self.older.get(word)
+        if known is None:
+            out, at = [], 0
+            for m in (self.special.finditer(word) if self.special and "<|" in word else ()):
+                n = out[-1] if out else 0
+                part = [n + c for c in self.plain_counts(word[at:m.end()])]
+                out += part[:-1]  # unfinished, it is plain text
+                out.append((part[m.start() - at - 1] if m.start() > at else n) + 1)
+                at = m.end()
             n = out[-1] if out else 0
-            part = [n + c for c in self.plain_counts(chunk[at:m.end()])]
-            out += part[:-1]  # unfinished, it is plain text
-            out.append((part[m.start() - at - 1] if m.start() > at else n) + 1)
-            at = m.end()
-        n = out[-1] if out else 0
-        out += [n + c for c in self.plain_counts(chunk[at:])]
-        known = np.array(out, COUNT).tobytes()
-        if len(self.words) >= self.memo_size:
-            self.words.clear()
-        if len(chunk) <= 64:
-            self.words[chunk] = known
+            out += [n + c for c in self.plain_counts(word[at:])]
+            known = out[-1], np.array(out, COUNT).tobytes()
+        if len(word) <= 64:
+            if len(self.words) >= self.memo_size:
+                self.words, self.older = {}, self.words
+            self.words[word] = known
         return known
 
+    def total(self, text: str) -> int:
+        """Tokens of a text: the last counts of its words (no token crosses white space)."""
+        known = self.words.get
+        return sum([(known(w) or self.word_counts(w))[0] for w in WORDS.findall(text)])
+
+    def sums(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Begin and end of the words, tokens up to the end of each, their packed counts."""
+        begin, end, counts, packed = [], [], [], []
+        for m in WORDS.finditer(text):
+            n, own = self.word_counts(m[0])
+            begin.append(m.start())
+            end.append(m.end())
+            counts.append(n)
+            packed.append(own)
+        return np.array(begin, np.int64), np.array(end, np.int64), np.cumsum(counts, dtype=np.int64), packed
+
     def running(self, text: str) -> np.ndarray:
-        """The token count of every prefix of 1, 2, ... code points (no token crosses white
-        space: the running sum over words, and within a word its own counts)."""
-        if self.last is None or self.last[0] != text:
-            chunks = WORDS.findall(text)
-            counts = np.frombuffer(b"".join(map(self.word_counts, chunks)), COUNT)
-            if chunks:
-                sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-                sums = counts[np.cumsum(sizes) - 1].cumsum(dtype=np.int64)
-                counts = counts + np.repeat(np.r_[0, sums[:-1]], sizes)
-            self.last = text, counts
-        return self.last[1]
+        """The token count of every prefix of 1, 2, ... code points."""
+        begin, end, sums, packed = self.sums(text)
+        before = np.r_[0, sums]
+        out = np.repeat(before, np.diff(np.r_[0, begin, len(text)]))
+        inside = np.concatenate([np.arange(a, b) for a, b in zip(begin, end)] or [np.empty(0, np.int64)])
+        out[inside] = np.frombuffer(b"".join(packed), COUNT) + np.repeat(before[:-1], end - begin)
+        return out
 
     def at(self, text: str, chars: int) -> int:
         """Exact token count of the first ``chars`` code points."""
-        return int(self.running(text)[:chars][-1]) if text and chars else 0
+        begin, end, sums, packed = self.sums(text)
+        i = int(np.searchsorted(begin, chars))  # words that begin before
+        if not i:
+            return 0
+        whole = int(sums[i - 2]) if i > 1 else 0
+        own = np.frombuffer(packed[i - 1], COUNT)
+        return whole + int(own[min(chars - begin[i - 1], len(own)) - 1])
 
     def fit(self, text: str, budget: int) -> int:
-        """UTF-8 bytes of the longest prefix (of whole code points) of at most ``budget`` tokens. One
-        more character may need fewer tokens, so all counts are looked at."""
-        within = np.flatnonzero(self.running(text) <= budget)
-        return len(text[:within[-1] + 1].encode()) if len(within) else 0
+        """UTF-8 bytes of the longest prefix (of whole code points) of at most ``budget`` tokens: the
+        words whose sums are within it, then as much of the next word as is. One more
+        character may need fewer tokens, so all counts of that word are looked at."""
+        begin, end, sums, packed = self.sums(text)
+        i = int(np.searchsorted(sums, budget, "right"))  # words that end within it
+        if i == len(sums):
+            return len(text.encode())
+        left = budget - (int(sums[i - 1]) if i else 0)
+        within = np.flatnonzero(np.frombuffer(packed[i], COUNT) <= left)
+        upto = int(begin[i]) + (int(within[-1]) + 1 if len(within) else 0)
+        return len(text[:upto].encode())
+
+
+KEPT: dict[str, PrefixCounter] = {}
+
+
+def kept(path: str) -> PrefixCounter:
+    """The worker's counter of a vocabulary."""
+    if path not in KEPT:
+        KEPT.clear()
+        KEPT[path] = PrefixCounter(path)
+    return KEPT[path]
+
+
+def prefix_counts(docs: DataFrame, path: str) -> DataFrame:
+    """Per row ``doc_id``, ``n_tokens`` and ``counts``: the token count of every prefix of the text,
+    as differences from one code point to the next, compressed."""
+
+    def init():
+        counter = kept(path)
+
+        def step(cols):
+            runs = [counter.running(t) for t in cols["text"]]
+            return {"doc_id": cols["doc_id"], "n_tokens": [int(r[-1]) if len(r) else 0 for r in runs],
+                    "counts": [zlib.compress(np.diff(r, prepend=0).astype("<i4").tobytes(), 1) for r in runs]}
+        return step
+
+    return map_batches(text_of(docs, "doc_id"), init, "doc_id bigint, n_tokens bigint, counts binary", rows=128)
+
+
+def stored_counts(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), "<i4").cumsum(dtype=np.int64)
+
+
+def stored_at(counts: bytes, chars: int) -> int:
+    """Tokens of the first ``chars`` code points."""
+    known = stored_counts(counts)[:chars]
+    return int(known[-1]) if len(known) else 0
+
+
+def stored_fit(counts: bytes, budget: int) -> int:
+    """Code points of the longest prefix of at most ``budget`` tokens."""
+    within = np.flatnonzero(stored_counts(counts) <= budget)
+    return int(within[-1]) + 1 if len(within) else 0
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
@@ -276,12 +351,12 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     of the longest prefix within the limit, which may end inside a word."""
 
     def init():
-        counter = PrefixCounter(path)
+        counter = kept(path)
 
         def step(cols):
             out = {"doc_id": cols["doc_id"], "n_bytes": [], "n_tokens": [], "over_limit": [], "cut_bytes": []}
             for text in cols["text"]:
-                n = counter.at(text, len(text))
+                n = counter.total(text)
                 size = len(text.encode())
                 out["n_bytes"].append(size)
                 out["n_tokens"].append(n)
