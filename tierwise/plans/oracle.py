@@ -344,6 +344,11 @@ FROM silver_sales s ASOF LEFT JOIN versions v
   ON s.customer_id = v.customer_id AND s.order_date >= v.valid_from"""
 
 
+SQL["events_once"] = """
+SELECT * FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts, user_id, event_type, value, props) = 1"""
+
+
 # ---------------------------------------------------------------- checks and health
 
 def _renamed(cte_sql: str, names: list[str], prefix: str) -> str:

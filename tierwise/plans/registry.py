@@ -335,6 +335,20 @@ def q_fact_asof(spark, d):
     return hs.as_of(lines, versions, "customer_id", "order_date")
 
 
+# ------------------------------------------------------------------ event stream
+
+@register("events_once")
+def q_events_once(spark, d):
+    """The events table streamed, then streamed again in full: what the table holds then."""
+    from tierwise.streaming.events import EventTable, ingest_events
+    events = td.table(spark, d, "events")
+    table = EventTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/events-{uuid.uuid4().hex}", "event_id", "ts")
+    for stream in ("first", "replay"):
+        # A pattern, as a stream's source must be a folder or one.
+        ingest_events(spark, f"{d}/events.parque[t]", events.schema, table, stream=stream)
+    return table.events()
+
+
 # ------------------------------------------------------------------ checks and health
 
 def _check_query(key: str) -> Query:
