@@ -235,14 +235,38 @@ def test_csv_columns_are_taken_by_name(spark, landing, tmp_path):
     r = p.table("silver_orders").first()
     assert (r.order_id, r.customer_id, r.channel, r.quantity) == ("O1", "CUST01", "web", 2)
     write_orders(folder, "p.csv", ["O2,CUST01,PROD01,2024-01-15,2,5.00,10.00,web,0"])
-    with pytest.raises(Exception, match="(?i)header"):  # another order in a second file
-        fresh(spark, own_sources(spark, landing, folder)).bronze()
-    (folder / "p.csv").unlink()
+    # A second file of another order, and a third that lacks columns: its lines go to quarantine whole.
+    write_orders(folder, "q.csv", ["O3,web", "O4,app"], "order_id,channel")
+    (folder / "empty.csv").write_text("")
+    p = fresh(spark, own_sources(spark, landing, folder))
+    p.bronze(); p.silver()
+    assert sorted((r.order_id, r.channel, r.quantity) for r in p.table("silver_orders").collect()) == [("O1", "web", 2), ("O2", "web", 2)]
+    held = p.table("quarantine_orders").collect()
+    assert {r.data_issue for r in held} == {"malformed record"} and all(r["_file"].endswith("q.csv") for r in held)
+    assert sorted(r["_corrupt_record"] for r in held) == ["O3,web", "O4,app", "order_id,channel"]
+    for f in ("p.csv", "q.csv"):
+        (folder / f).unlink()
     write_orders(folder, "o.csv", ["x"], "order_id")
     with pytest.raises(ValueError, match="customer_id"):
         fresh(spark, own_sources(spark, landing, folder)).bronze()
 
 
+def test_bronze_is_labelled_once(spark, landing, tmp_path, monkeypatch):
+    """What silver and quarantine read are the written labelled rows, not bronze."""
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    write_orders(folder, "o.csv", ORDERS_CSV.strip().splitlines()[1:])
+    p = fresh(spark, own_sources(spark, landing, folder))
+    p.bronze()
+    read = []
+    for module, name in ((pl, "dedup"), (pl.sinks, "append_new")):
+        own = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *a, _own=own, **k: (read.extend(df.inputFiles()), _own(df, *a, **k))[1])
+    p.silver()
+    assert read and all("/_labelled/" in f for f in read)
+    assert p.table("silver_orders").count() == 6 and p.table("quarantine_orders").count() == 2
+
+
 def test_quarantine_keeps_what_arrived(spark, landing, tmp_path):
     folder = tmp_path / "orders"
     folder.mkdir()

@@ -162,15 +162,19 @@ class Pipeline:
     # ------------------------------------------------------------------ silver
     def _silver_one(self, entity: sv.Entity, bronze: str, silver: str, quarantine: str,
                     observe: bool = False) -> None:
+        """Bronze is read and labelled once, into an ``ok`` and a ``rejected`` folder; what follows
+        reads these."""
         lab = sv.labelled(entity, self.table(bronze), drop=[], keep_raw=True)
-        good_key = F.when(F.col(ISSUE) == OK, F.struct(*entity.keys))
-        self.expected[silver] = lab.agg(F.count_distinct(good_key)).first()[0]
-        obs = None
-        if observe:
-            obs = Observation(f"{silver}_counts")
-            lab = lab.observe(obs, F.count(F.lit(1)).alias("bronze_rows"),
-                              F.count_if(F.col(ISSUE) == OK).alias("good_rows"))
-        good, bad = split(lab)
+        obs = Observation(f"{silver}_counts")
+        ok = F.col(ISSUE) == OK
+        folder = sinks.location(self.spark, self.t(f"_labelled/{silver}"))
+        (lab.observe(obs, F.count(F.lit(1)).alias("bronze_rows"), F.count_if(ok).alias("good_rows"))
+         .withColumn("_split", F.when(ok, "ok").otherwise("rejected"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_split").parquet(folder))
+        written = self.spark.read.schema(lab.schema).option("basePath", folder).parquet(folder)
+        good, _ = split(written.where("_split = 'ok'").drop("_split"))
+        _, bad = split(written.where("_split = 'rejected'").drop("_split"))
+        self.expected[silver] = good.agg(F.count_distinct(F.struct(*entity.keys))).first()[0]
         # The raw values and the file are part of a rejected row's identity.
         hash_cols = [c for c in bad.columns if c != "_ingest_at"]
         orders = quarantine == "quarantine_orders"
@@ -186,7 +190,7 @@ class Pipeline:
         cols = [c for c in entity.columns if c in rows.columns]
         rows = rows.select(*cols, *[c for c in rows.columns if c not in cols])
         sinks.overwrite(stamp(rows, "_silver_at"), self.t(silver))
-        if obs is not None:
+        if observe:
             m = {k: int(v) for k, v in obs.get.items()}
             m["quarantined_rows"] = m["bronze_rows"] - m["good_rows"]
             m["silver_rows"] = self.table(silver).count()  # parquet footers, no data scan

@@ -7,6 +7,11 @@ type or fail the job. ``infer=True`` reproduces the reference's inferred read.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +51,43 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 def scan_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              infer: bool = False) -> DataFrame:
     """CSV with a header row. Splittable: large files are read in parallel. With
-    ``columns`` they are taken by name and a record with too many or too few fields keeps
-    its whole text in ``_corrupt_record``; ``_file`` names the file of each row."""
+    ``columns`` they are taken by name from each file's own header: files are grouped by header
+    and a group is read with its schema, so columns may stand in any order, and further
+    ones are left out. A record with too many or too few fields keeps its whole text in
+    ``_corrupt_record``, as does every line of a file that lacks a column while others
+    have all (if none has, the path is wrong and the read stops); ``_file`` names the file of each row."""
     if infer or columns is None:
         return spark.read.option("header", True).option("inferSchema", infer).csv(path)
-    rows = spark.read.options(**CSV_OPTIONS).schema(csv_schema(spark, path, columns)).csv(path)
-    return rows.select(*columns, CORRUPT, F.col("_metadata.file_path").alias("_file"))
+    groups = csv_headers(spark, path)
+    parts = []
+    for header in sorted(groups):
+        if set(columns) <= set(header):
+            rows = spark.read.options(**CSV_OPTIONS).schema(text_schema([*header, CORRUPT])).csv(groups[header])
+            parts.append(rows.select(*columns, CORRUPT, F.col("_metadata.file_path").alias("_file")))
+    if not parts:
+        missing = {h: [c for c in columns if c not in h] for h in groups}
+        raise ValueError(f"{path}: no file has a header with all columns; missing: "
+                         + "; ".join(f"{', '.join(m)} in ({', '.join(h)})" for h, m in missing.items()))
+    for header in sorted(groups):
+        if not set(columns) <= set(header) and header:  # an empty file has no line
+            lines = spark.read.text(groups[header])
+            parts.append(lines.select(*[F.lit(None).cast("string").alias(c) for c in columns],
+                                      F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("_file")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files under ``path`` by their header. Only first lines are read, some files at a time."""
+    from tierwise.sources.snapshots import Store
+
+    store = Store(spark)
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: store.first_line(unquote(f)), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        out.setdefault(tuple(next(csv.reader([line]), ())), []).append(unquote(file))
+    return out
 
 
 def scan_json(spark: SparkSession, path: str, columns: list[str] | None = None,

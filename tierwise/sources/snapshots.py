@@ -56,6 +56,18 @@ class Store:
         finally:
             stream.close()
 
+    def first_line(self, path: str) -> str:
+        """Of a text file, by Hadoop's codec for its name if it is a compressed one."""
+        p, fs = self._at(path)
+        codec = self.jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self.conf).getCodec(p)
+        stream = fs.open(p)
+        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+        try:
+            return (reader.readLine() or "").removeprefix("\ufeff")
+        finally:
+            reader.close()
+
     def write(self, path: str, text: str) -> None:
         p, fs = self._at(path)
         stream = fs.create(p, False)
