@@ -95,10 +95,10 @@ class Aligner:
         if any(map(crossing.search, pieces)) or len(self.b.encode("a")) != 1:
             raise ValueError(f"{b_path}: pieces go on after white space; texts can't be cut there")
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
-        # Text of an id with what may follow it: a comma, the bar or semicolon, nothing.
-        self.shown = [f"{i}{mark}" for n, marks in ((len(self.a_bytes), ",|"), (len(pieces), ",;"))
+        # Text of an id with what may follow it: a comma, A's bar; B's semicolon, the stretch's end.
+        self.shown = [f"{i}{mark}" for n, marks in ((len(self.a_bytes), ",|"), (len(pieces), ",;\n"))
                       for i in range(n) for mark in marks]
-        self.memo, self.look, self.listed, self.young, self.old = memo, look, listed, {}, {}
+        self.memo, self.look, self.listed, self.lost, self.young, self.old = memo, look, listed, False, {}, {}
 
     def entries(self, stretches: list[str]) -> list[tuple | None]:
         """Per stretch n_a, n_b, groups, their text, linked pairs (int64, packed, with repetitions),
@@ -140,13 +140,14 @@ class Aligner:
         a_stop, b_stop = np.searchsorted(a_end, stops) + 1, np.searchsorted(b_end, stops) + 1
         n_a, n_b = np.diff(a_stop, prepend=0), np.diff(b_stop, prepend=0)
         n_groups = np.diff(closes.cumsum()[a_stop - 1], prepend=0)
-        shown: list[str] = []
+        shown = [""] * len(sizes)
         if self.listed:  # the text of a group is its A ids, then its B ids
             order = np.empty(len(a) + len(b), np.int64)
             order[np.arange(len(a)) + np.r_[0, np.bincount(b_group).cumsum()][a_group]] = 2 * a + closes
-            order[np.arange(len(b)) + np.bincount(a_group).cumsum()[b_group]] = (
-                2 * len(self.a_bytes) + 2 * b + np.r_[np.diff(b_group) != 0, True])
-            shown = list(map(self.shown.__getitem__, order.tolist()))
+            mark = np.r_[np.diff(b_group) != 0, True].astype(np.int64)
+            mark[b_stop - 1] = 2
+            order[np.arange(len(b)) + np.bincount(a_group).cumsum()[b_group]] = 2 * len(self.a_bytes) + 3 * b + mark
+            shown = "".join(map(self.shown.__getitem__, order.tolist())).split("\n")
         # The B tokens that overlap an A token: from the first that ends after its start to
         # the first that ends at or after its end.
         first = np.searchsorted(b_end, np.r_[0, a_end[:-1]], "right")
@@ -158,11 +159,9 @@ class Aligner:
         if self.look:
             counts, highest = self.look(pairs)
             best, total = (np.diff(x.cumsum()[ends - 1], prepend=0) for x in (highest.astype(np.int64), counts))
-        out, packed, at_token, at_link = [], pairs.astype("<i8").tobytes(), 0, 0
-        for x, y, g, end, hit, sums in zip(*(v.tolist() for v in (n_a, n_b, n_groups, ends, best, total))):
-            out.append((x, y, g, "".join(shown[at_token:at_token + x + y])[:-1], packed[8 * at_link:8 * end], hit, sums))
-            at_token, at_link = at_token + x + y, end
-        return out
+        packed, ends = pairs.astype("<i8").tobytes(), (8 * ends).tolist()
+        links = [packed[x:y] for x, y in zip([0, *ends], ends)]
+        return list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), shown, links, best.tolist(), total.tolist()))
 
     def batch(self, texts: list[str]) -> list[list[tuple]]:
         """Per text the entries of its stretches; none if it has no tokens."""
@@ -173,12 +172,14 @@ class Aligner:
         known = [s for s in fresh if s in self.old]
         self.young.update(zip(known, map(self.old.__getitem__, known)))
         if fresh := list(fresh.difference(known)):
-            self.young.update(zip(fresh, self.entries(fresh)))
+            new = self.entries(fresh)
+            self.lost = self.lost or None in new
+            self.young.update(zip(fresh, new))
         out = [list(map(self.young.__getitem__, stretches)) for stretches in cut_up]
         for s in fresh:
             if len(s) > 64:
                 del self.young[s]
-        return [[] if None in found else found for found in out]
+        return [[] if None in found else found for found in out] if self.lost else out
 
 
 KEPT: dict[str, Aligner] = {}
