@@ -414,8 +414,20 @@ def test_simhash(docs, empty):
     assert sorted(map(tuple, got), key=repr) == sorted(
         [(i, f"{f:016x}", least[c]) for (i, f), c in zip(prints, parent)], key=repr)
     kept = sorted((r["doc_id"] for r in simhash.keep_first(docs).collect()), key=repr)
-    assert kept == sorted({i for i in least.values()} | {None}, key=repr)
+    assert kept == sorted(set(least.values()), key=repr)  # the row without an id is a copy
     assert simhash.near_duplicates(empty).count() == 0
+    assert simhash.keep_first(empty).count() == 0 and simhash.keep_first(docs).columns == docs.columns
+
+
+def test_keep_first_tells_rows_of_one_id_apart(spark):
+    a, b, c = prose(50, 70), prose(50, 71), prose(50, 72)
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (1, b, "y"), (2, a, "x"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (3, c, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for _ in range(2):
+        got = sorted(map(tuple, simhash.keep_first(df.repartition(3)).select("doc_id", "text").collect()))
+        assert got == sorted([(1, a), (1, b), (3, c)])
+    only = simhash.keep_first(df.where("doc_id IS NULL")).collect()
+    assert sorted(r["text"] for r in only) == sorted([a, c])
 
 
 @pytest.mark.parametrize("total", [300, 10**7])

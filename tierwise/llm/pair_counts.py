@@ -62,14 +62,28 @@ BORDER = " \n\t"
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STRETCH = re.compile(rf"[{WHITE}]*(?:[^{WHITE}]+(?:(?![{BORDER}])[{WHITE}]+)?)*")
+# Characters that need the pattern; isspace() knows these and four separators more.
+OTHER = re.compile(f"[\x1c-\x1f\t\x0b-\r{WHITE[4:]}]".replace(" ", ""))
 SHIFT = 32  # a pair is (A id << 32) | B id
 
 
+def keys_of(text: str) -> list[str]:
+    """The stretches of a space and the text; without the space that most begin with, unless white
+    space follows it. (No text: none.)"""
+    if not text:
+        return []
+    if (OTHER.search(text) or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+            or text[0] in " \n" or text[-1] in " \n"):
+        return [s if s[0] != " " or len(s) == 1 or s[1].isspace() else s[1:]
+                for s in STRETCH.findall(" " + text)[:-1]]  # the last match is empty
+    return text.replace("\n", " \n").split(" ")  # every space and line end is a border
+
+
 class Aligner:
     """Aligns texts; remembers distinct stretches. ``look`` maps pairs to their counts and whether
     these are the highest of their A ids (second pass)."""
 
-    def __init__(self, a_path: str, b_path: str, memo: int = 150_000, look: Callable | None = None, listed: bool = True):
+    def __init__(self, a_path: str, b_path: str, memo: int = 250_000, look: Callable | None = None, listed: bool = True):
         import sentencepiece
         import tiktoken
 
@@ -106,24 +120,33 @@ class Aligner:
         # For A they are laid end to end: each begins at a border. Those that end in white space,
         # which would go on, come last, each by itself. After a letter B puts no space before.
         loose = [i for i, s in enumerate(stretches) if s[-1].isspace() or len(s) > 10_000]
-        rest = sorted(set(range(len(stretches))) - set(loose))
-        a = self.a.encode_ordinary("".join([stretches[i] for i in rest])) if rest else []
-        for i in loose:
-            a += self.a.encode_ordinary(stretches[i])
-        order = rest + loose
-        stretches = [stretches[i] for i in order]
+        order = list(range(len(stretches)))
+        if loose:
+            last = set(loose)
+            order = [i for i in order if i not in last] + loose
+            stretches = [stretches[i] for i in order]
+        n = len(stretches) - len(loose)
+        a = self.a.encode_ordinary("".join(stretches[:n])) if n else []
+        for s in stretches[n:]:
+            a += self.a.encode_ordinary(s)
         lines = list(map(str.encode, stretches))
-        if b"".join(map(self.a_bytes.__getitem__, a)) != b"".join(lines):
+        line, sizes = b"".join(lines), np.fromiter(map(len, lines), np.int64, len(lines))
+        if b"".join(map(self.a_bytes.__getitem__, a)) != line:
             raise ValueError("the tokenizer of A lost text")
-        b = [ids[1:] for ids in self.b.encode(["a" + s for s in stretches], num_threads=1)]
-        whole = [b"".join([self.b_bytes[x] for x in ids]) == line for ids, line in zip(b, lines)]
-        a, sizes = np.array(a, np.int64), np.fromiter(map(len, lines), np.int64, len(lines))
-        if not all(whole):
-            at = np.searchsorted(sizes.cumsum(), self.a_size[a].cumsum())
-            a, sizes = a[np.array(whole)[at]], sizes[whole]
-        b = np.fromiter(itertools.chain.from_iterable(itertools.compress(b, whole)), np.int64)
+        b = self.b.encode(["a" + s for s in stretches], num_threads=1)
+        a, counts = np.array(a, np.int64), np.fromiter(map(len, b), np.int64, len(b))
+        ids = np.fromiter(itertools.chain.from_iterable(b), np.int64, int(counts.sum()))
+        ids = np.delete(ids, counts.cumsum() - counts)  # the letter
+        if b"".join(map(self.b_bytes.__getitem__, ids.tolist())) == line:
+            whole = [True] * len(lines)
+        else:
+            whole = [b"".join([self.b_bytes[x] for x in own[1:]]) == s for own, s in zip(b, lines)]
+            keep = np.array(whole)
+            ids = ids[np.repeat(keep, counts - 1)]
+            a = a[keep[np.searchsorted(sizes.cumsum(), self.a_size[a].cumsum())]]
+            sizes = sizes[keep]
         out: list[tuple | None] = [None] * len(stretches)
-        for i, e in zip(itertools.compress(order, whole), self.aligned(sizes, a, b)):
+        for i, e in zip(itertools.compress(order, whole), self.aligned(sizes, a, ids)):
             out[i] = e
         return out
 
@@ -165,14 +188,14 @@ class Aligner:
 
     def batch(self, texts: list[str]) -> list[list[tuple]]:
         """Per text the entries of its stretches; none if it has no tokens."""
-        cut_up = [STRETCH.findall(" " + t)[:-1] if t else [] for t in texts]  # the last match is empty
+        cut_up = list(map(keys_of, texts))
         if len(self.young) > self.memo:  # what was not met since the last time goes
             self.young, self.old = {}, self.young
         fresh = set().union(*cut_up) - self.young.keys()
         known = [s for s in fresh if s in self.old]
         self.young.update(zip(known, map(self.old.__getitem__, known)))
         if fresh := list(fresh.difference(known)):
-            new = self.entries(fresh)
+            new = self.entries([s if s[0].isspace() else f" {s}" for s in fresh])
             self.lost = self.lost or None in new
             self.young.update(zip(fresh, new))
         out = [list(map(self.young.__getitem__, stretches)) for stretches in cut_up]

@@ -24,6 +24,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import regex
@@ -81,16 +82,36 @@ class PrefixCounter:
                 self.rank[a + b] = len(self.halves)
                 self.halves.append((self.rank[a], self.rank[b]))
             self.joined.setdefault((self.rank[a], self.rank[b]), self.rank[a + b])
-        # Trie of the vocabulary: per node its children and the ranks of the token that ends
-        # there inside a word and at a word's end.
-        self.trie: list = [{}, -1, -1]
+        # Automaton of the vocabulary: per state its next ones and the tokens that end in it,
+        # longest first, as (size, rank): those inside a word and those at a word's end.
+        self.next: list[dict[str, int]] = [{}]
+        self.inside: list[tuple] = [()]
+        self.final: list[tuple] = [()]
         for token, rank in self.rank.items():
-            node = self.trie
-            for c in token.removesuffix(END):
-                node = node[0].setdefault(c, [{}, -1, -1])
-            node[2 if token.endswith(END) else 1] = rank
+            state, text = 0, token.removesuffix(END)
+            for c in text:
+                if c not in self.next[state]:
+                    self.next[state][c] = len(self.next)
+                    self.next.append({})
+                    self.inside.append(())
+                    self.final.append(())
+                state = self.next[state][c]
+            (self.final if token.endswith(END) else self.inside)[state] = ((len(text), rank),)
+        self.fail = [0] * len(self.next)
+        queue = list(self.next[0].values())
+        for state in queue:
+            back = self.fail[state]
+            self.inside[state] += self.inside[back]
+            self.final[state] += self.final[back]
+            for c, child in self.next[state].items():
+                f = back
+                while f and c not in self.next[f]:
+                    f = self.fail[f]
+                self.fail[child] = self.next[f].get(c, 0)
+                queue.append(child)
         self.memo_size = memo
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: list[dict[int, bool]] = [{} for _ in self.halves]  # by the second token, then the first
+        self.n_fits = 0
         self.words: dict[str, tuple[int, bytes]] = {}
         self.older: dict[str, tuple[int, bytes]] = {}
         self.parts: dict[str, list[int]] = {}
@@ -100,8 +121,8 @@ class PrefixCounter:
         """Whether BPE leaves the border between adjacent tokens a and b alone: at no
         moment of building both, from the last merge back, may the two symbols at the
         border merge earlier than the merges that were made."""
-        key = (a, b)
-        known = self.fits.get(key)
+        first, second = a, b
+        known = self.fits[b].get(a)
         if known is not None:
             return known
         limit, ok = 1 << 62, True
@@ -118,30 +139,43 @@ class PrefixCounter:
                 limit, a = a, left[1]        # a was made last: undo it
             else:
                 limit, b = b + 1, right[0]   # equal ranks: the left pair merges first
-        if len(self.fits) >= 4 * self.memo_size:
-            self.fits.clear()
-        self.fits[key] = ok
+        self.n_fits += 1
+        if self.n_fits > 4 * self.memo_size:
+            self.n_fits = 1
+            for row in self.fits:
+                row.clear()
+        self.fits[second][first] = ok
         return ok
 
     def walk(self, piece: str, tail: list[int], count: list[int], first: int = 0) -> list[int]:
         """Continues the DP over ``piece`` (in the byte alphabet): fills ``tail`` and ``count``
         where ``tail`` is negative and returns the token counts of the prefixes as words of
         their own. ``first`` is where ``piece`` begins within its word."""
-        fits, compatible = self.fits, self.compatible
-        n = len(piece)
-        ends = [0] * (n + 1)
-        for j in range(n):
-            before, node, step, start = tail[j], self.trie, count[j] + 1, first + j == 0
-            for i in range(j + 1, n + 1):
-                node = node[0].get(piece[i - 1])
-                if node is None:
+        fits, compatible, goto, inside, final = self.fits, self.compatible, self.next, self.inside, self.final
+        ends = [0]
+        state, begin = 0, -first  # a token that begins the word has nothing before it
+        for i, c in enumerate(piece, 1):
+            to = goto[state].get(c, -1)
+            if to < 0:  # the way over shorter suffixes is kept
+                back = state
+                while to < 0 and back:
+                    back = self.fail[back]
+                    to = goto[back].get(c, -1)
+                goto[state][c] = to = max(to, 0)
+            state = to
+            if tail[i] < 0:
+                for size, t in inside[state]:
+                    j = i - size
+                    if j == begin or (ok if (ok := fits[t].get(tail[j])) is not None else compatible(tail[j], t)):
+                        tail[i], count[i] = t, count[j] + 1
+                        break
+            n = 0
+            for size, t in final[state]:
+                j = i - size
+                if j == begin or (ok if (ok := fits[t].get(tail[j])) is not None else compatible(tail[j], t)):
+                    n = count[j] + 1
                     break
-                t = node[1]
-                if t >= 0 and tail[i] < 0 and (start or (ok if (ok := fits.get((before, t))) is not None else compatible(before, t))):
-                    tail[i], count[i] = t, step
-                t = node[2]
-                if t >= 0 and not ends[i] and (start or (ok if (ok := fits.get((before, t))) is not None else compatible(before, t))):
-                    ends[i] = step
+            ends.append(n)
         return ends
 
     def prefix_counts(self, piece: str) -> list[int]:
@@ -173,6 +207,8 @@ class PrefixCounter:
 
     def normal_counts(self, text: str) -> list[int]:
         """Tokens of the prefixes of a normal text."""
+        if (m := self.pieces.match(text)) and m.end() == len(text):  # one piece, as most words are
+            return self.piece_counts(text)
         out, n = [], 0
         for m in self.pieces.finditer(text):
             out += [n] * (m.start() - len(out))
@@ -231,6 +267,18 @@ class PrefixCounter:
             at += len(whole)
         return out
 
+    def special_counts(self, word: str) -> list[int]:
+        """The same where special strings, of one token each, may stand in the word."""
+        out, at = [], 0
+        for m in self.special.finditer(word):
+            n = out[-1] if out else 0
+            part = [n + c for c in self.plain_counts(word[at:m.end()])]
+            out += part[:-1]  # unfinished, it is plain text
+            out.append((part[m.start() - at - 1] if m.start() > at else n) + 1)
+            at = m.end()
+        n = out[-1] if out else 0
+        return out + [n + c for c in self.plain_counts(word[at:])]
+
     def word_counts(self, word: str) -> tuple[int, bytes]:
         """Tokens of a word, and those of each of its prefixes, packed."""
         known = self.words.get(word)
@@ -238,16 +286,8 @@ class PrefixCounter:
             return known
         known = self.older.get(word)
         if known is None:
-            out, at = [], 0
-            for m in (self.special.finditer(word) if self.special and "<|" in word else ()):
-                n = out[-1] if out else 0
-                part = [n + c for c in self.plain_counts(word[at:m.end()])]
-                out += part[:-1]  # unfinished, it is plain text
-                out.append((part[m.start() - at - 1] if m.start() > at else n) + 1)
-                at = m.end()
-            n = out[-1] if out else 0
-            out += [n + c for c in self.plain_counts(word[at:])]
-            known = out[-1], np.array(out, COUNT).tobytes()
+            out = self.special_counts(word) if self.special and "<|" in word else self.plain_counts(word)
+            known = out[-1], array("I", out).tobytes()
         if len(word) <= 64:
             if len(self.words) >= self.memo_size:
                 self.words, self.older = {}, self.words

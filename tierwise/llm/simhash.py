@@ -58,11 +58,13 @@ def fingerprint(text: str, size: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and fp of every row; ``keep``: text columns that come along."""
+
     def init():
-        return lambda cols: {"doc_id": cols["doc_id"], "fp": [fingerprint(t, size) for t in cols["text"]]}
+        return lambda cols: {**{c: cols[c] for c in ("doc_id", *keep)}, "fp": [fingerprint(t, size) for t in cols["text"]]}
 
-    return map_batches(text_of(docs, "doc_id"), init, "doc_id bigint, fp bigint")
+    return map_batches(text_of(docs, "doc_id", *keep), init, "doc_id bigint, " + "".join(f"{c} string, " for c in keep) + "fp bigint")
 
 
 def hex_of(fp: Column) -> Column:
@@ -197,23 +199,33 @@ def links(fps: DataFrame, chosen: list[tuple[list[int], int]], max_bits: int) ->
     return probes.join(index, on).select("u", "v")
 
 
+def roots_of(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` rows, one per fp, with the root of the component that the fp is in."""
+    chosen = plan(*bit_statistics(distinct), max_bits)
+    roots = components(links(distinct.select("fp"), chosen, max_bits)).select(F.col("u").alias("fp"), "root")
+    return distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fp (signed 64 bits) and component_id: the least doc_id reachable over links."""
     prints = cut(fingerprints(docs, size))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
-    chosen = plan(*bit_statistics(distinct), max_bits)
-    nodes = distinct.select("fp")
-    roots = components(links(nodes, chosen, max_bits)).select(F.col("u").alias("fp"), "root")
-    grouped = distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "doc_id")
+    grouped = roots_of(distinct, max_bits)
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classes = grouped.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFrame:
-    """One document of each component, the one of least doc_id, and of its repeated rows
-    one. Rows without a doc_id cannot be told apart by it: they all stay."""
-    kept = (near_duplicates(docs, size, max_bits).where("doc_id = component_id")
-            .select("doc_id").distinct())
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where("doc_id IS NULL")))
+    """One row of each component: the first by doc_id (null last), then by a digest of the whole row,
+    so several texts under one doc_id, or none, are told apart. Equal rows are one."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text").isNull(),
+                            F.md5(F.coalesce("text", F.lit("")).cast("binary")),
+                            F.to_json(F.struct(*rest)) if rest else F.lit("")).cast("binary"))
+    named = docs.withColumn("_simhash_row", row)
+    prints = cut(fingerprints(named, size, ("_simhash_row",)))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_simhash_row")
+    grouped = roots_of(cut(prints.groupBy("fp").agg(F.min(order).alias("first"))), max_bits)
+    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first._simhash_row")
+    return named.dropDuplicates(["_simhash_row"]).join(kept, "_simhash_row", "left_semi").select(*docs.columns)

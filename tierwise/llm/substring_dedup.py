@@ -6,14 +6,13 @@ with a smaller doc_id. Comparing every passage with every other is avoided by ro
 1. Equal texts become one, that of the least doc_id; every other loses all words that a
    window covers. What follows is about the rest.
 2. Every window has an anchor, the least hash of its 8-word runs, which depends on the
-   window's words alone. Anchors that occur in one document only are dropped; an anchor
-   met by more than ``hot`` documents is narrowed to the windows under it that occur, by
-   hash, in two or more. All counts are combinable aggregates over all documents. Where
-   more such windows are left under a hot anchor than one shard holds, they are routed by
-   the anchor and the window's next least run hash, if need be by the third too, and at last by the
-   window's own hash. Each depends on the window's words alone, so equal windows meet.
-3. What is left, runs of windows under one such key, are passages. Equal passages become one,
-   with the least doc_id that has it.
+   window's words alone. Anchors that occur in one document only are dropped.
+3. Runs of windows under one shared anchor are passages; equal ones become one. An anchor is
+   crowded if its distinct passages have more windows than a shard has room for. Windows under a
+   crowded one are cut again, by the anchor and the window's next least run hash, then by the
+   third too, at last by the window's own hash; each depends on the window's words alone,
+   so equal windows meet. Again keys of one document are dropped and equal passages
+   become one. What is counted are passages, by combinable aggregates over all documents.
 4. Per key, passages stream in ascending doc_id through suffix automata of the reference
    shards (what came before, at most ``shard_words`` words each): the matching statistics
    give every window that an earlier document has. What no shard has yet is added to
@@ -35,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -45,10 +45,10 @@ from tierwise.llm.common import cut, cut_by, map_batches, text_of
 WINDOW = 50
 RUN = 8
 LEVELS = 3  # keys of a window before its own hash
-HOT = 256
 SHARD_WORDS = 200_000
 BASE_DDL = "doc_id bigint, tk binary, n int, blob binary, anchors array<bigint>"
-PASSAGE_DDL = "doc_id bigint, tk binary, anchor bigint, digest binary, start int, n int, content binary"
+PASSAGE_DDL = "doc_id bigint, tk binary, anchor bigint, digest binary, start int, n int"
+CONTENT_DDL = "anchor bigint, digest binary, first_doc bigint, content binary"
 RESULT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
@@ -227,82 +227,64 @@ def prepared(docs: DataFrame, window: int) -> DataFrame:
     return map_batches(text_of(docs, "doc_id"), init, BASE_DDL, rows=256)
 
 
-def shared(rows: DataFrame, key: str, hot: int) -> DataFrame:
-    """Keys that occur in two documents or more, and whether in more than ``hot``."""
-    return (rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                  F.count(F.lit(1)).alias("n"))
-            .where("lo < hi").select(key, (F.col("n") > hot).alias("hot")))
+def level_keys(h: np.ndarray, window: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of every window at the level before and at this one."""
+    if not level:
+        anchors = anchors_of(h, window)
+        return anchors, anchors
+    keys = [*keys_of(h, np.arange(max(0, len(h) - window + 1)), window), rolled(h, window).view(np.int64)]
+    return keys[level - 1], keys[level]
 
 
-def window_hashes(rows: DataFrame, window: int) -> DataFrame:
-    """Hashes of the windows under each document's hot anchors, with their keys."""
-    names = [f"k{i}" for i in range(LEVELS)]
+def passages(rows: DataFrame, window: int, level: int) -> DataFrame:
+    """Of rows with the ``keys`` that their windows had at the level before (at the first: the
+    shared anchors) the runs of such windows under one key of this level."""
 
     def init():
         def step(cols):
-            out, tks = {c: [np.empty(0, np.int64)] for c in ("doc_id", "hash", *names)}, []
-            for doc_id, tk, blob, hot in zip(*(cols[c] for c in ("doc_id", "tk", "blob", "hot"))):
-                h = word_hashes(unpack(blob))
-                hashes, first = np.unique(rolled(h, window), return_index=True)
-                under = np.isin(anchors_of(h, window)[first], hot)
-                tks += [tk] * int(under.sum())
-                for k, v in zip(out, (np.full(int(under.sum()), doc_id, np.int64), hashes[under].view(np.int64),
-                                      *keys_of(h, first[under], window))):
-                    out[k].append(v)
-            return {"tk": tks, **{k: np.concatenate(v) for k, v in out.items()}}
+            out = {c.split()[0]: [] for c in PASSAGE_DDL.split(", ")}
+            for doc_id, tk, blob, keys in zip(*(cols[c] for c in ("doc_id", "tk", "blob", "keys"))):
+                words = unpack(blob)
+                before, own = level_keys(word_hashes(words), window, level)
+                for a, b in runs(np.isin(before, keys), own):
+                    digest = hashlib.blake2b(b" ".join(words[a:b + window - 1]), digest_size=16).digest()
+                    for k, v in zip(out, (doc_id, tk, int(own[a]), digest, a, b - a)):
+                        out[k].append(v)
+            return out
         return step
 
-    return map_batches(rows.select("doc_id", "tk", "blob", "hot"), init, "doc_id bigint, tk binary, hash bigint, "
-                       + ", ".join(f"{k} bigint" for k in names), rows=256).distinct()
+    return map_batches(rows.select("doc_id", "tk", "blob", "keys"), init, PASSAGE_DDL, rows=128)
 
 
-def routes(hashes: DataFrame, most: int) -> DataFrame:
-    """(hash, route) of the windows that two documents have: the first key under which at most
-    ``most`` of them are, or else the hash. A key with more is one of at most windows / ``most``,
-    so the broadcast of those stays small."""
-    names = [f"k{i}" for i in range(LEVELS)]
-    both = cut(hashes.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                          *[F.min(k).alias(k) for k in names])
-               .where("lo < hi").select("hash", *names))
-    out, route = both, F.col("hash")
-    for k in names[::-1]:
-        many = both.groupBy(k).count().where(F.col("count") > most).select(k, F.lit(True).alias(f"many_{k}"))
-        out = out.join(F.broadcast(many), k, "left")
-        route = F.when(F.col(f"many_{k}").isNull(), F.col(k)).otherwise(route)
-    return out.select("hash", route.alias("route"))
+def weighed(found: DataFrame, most: int, hot: int) -> DataFrame:
+    """Keys that two documents have, and whether they are crowded: more than ``hot`` passages, with more
+    than ``most`` windows in the distinct ones."""
+    distinct = found.groupBy("anchor", "digest").agg(
+        F.max("n").alias("windows"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("times"))
+    return (distinct.groupBy("anchor").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("windows").alias("windows"),
+                                           F.sum("times").alias("times"))
+            .where("lo < hi").select("anchor", ((F.col("windows") > most) & (F.col("times") > hot)).alias("crowded")))
 
 
-def passages(rows: DataFrame, window: int, with_content: bool) -> DataFrame:
-    """Runs of windows under one shared anchor (under a hot one: of shared windows of one route)."""
+def contents_of(whole: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """The words of every distinct passage, from the first document that has it."""
+    first = (found.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "tk", "start", "n")).alias("w"))
+             .groupBy("w.doc_id", "w.tk").agg(F.collect_list(F.struct("anchor", "digest", "w.start", "w.n")).alias("wanted")))
+    rows = whole.select("doc_id", "tk", "blob").join(first, ["doc_id", "tk"])
 
     def init():
         def step(cols):
-            out = {c.split()[0]: [] for c in PASSAGE_DDL.split(", ")}
-            for doc_id, tk, blob, own, hot, hashes, keys in zip(*(cols[c] for c in (
-                    "doc_id", "tk", "blob", "cool", "hot", "hashes", "routes"))):
+            out = {c.split()[0]: [] for c in CONTENT_DDL.split(", ")}
+            for doc_id, blob, wanted in zip(cols["doc_id"], cols["blob"], cols["wanted"]):
                 words = unpack(blob)
-                h = word_hashes(words)
-                anchors = anchors_of(h, window)
-                flags = np.isin(anchors, own or ())
-                if hot and hashes:
-                    known, route = np.array(hashes, np.int64), np.array(keys, np.int64)
-                    order = np.argsort(known)
-                    known, route = known[order], route[order]
-                    own_hash = rolled(h, window).view(np.int64)
-                    at = np.minimum(np.searchsorted(known, own_hash), len(known) - 1)
-                    under = np.isin(anchors, hot) & (known[at] == own_hash)
-                    flags |= under
-                    anchors = np.where(under, route[at], anchors)
-                for a, b in runs(flags, anchors):
-                    content = b" ".join(words[a:b + window - 1])
-                    for k, v in zip(out, (doc_id, tk, int(anchors[a]), hashlib.blake2b(content, digest_size=16).digest(),
-                                          a, b - a, content if with_content else None)):
+                for w in wanted:
+                    content = b" ".join(words[w["start"]:w["start"] + w["n"] + window - 1])
+                    for k, v in zip(out, (w["anchor"], w["digest"], doc_id, content)):
                         out[k].append(v)
             return out
         return step
 
-    rows = rows.select("doc_id", "tk", "blob", "cool", "hot", F.col("hashes.hash").alias("hashes"), F.col("hashes.route").alias("routes"))
-    return map_batches(rows, init, PASSAGE_DDL, rows=128)
+    return map_batches(rows.select("doc_id", "blob", "wanted"), init, CONTENT_DDL, rows=128)
 
 
 def decide(contents: DataFrame, window: int, shard_words: int) -> DataFrame:
@@ -361,27 +343,31 @@ def removed(rows: DataFrame, window: int, with_text: bool) -> DataFrame:
                        RESULT_DDL + (", kept_text string" if with_text else ""), rows=256)
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard_words: int = SHARD_WORDS,
+def dedup(docs: DataFrame, window: int = WINDOW, hot: int = 0, shard_words: int = SHARD_WORDS,
           with_text: bool = True) -> DataFrame:
-    """Per row: words, words removed, digest of what is kept and (``with_text``) the kept words."""
+    """Per row: words, words removed, digest of what is kept and (``with_text``) the kept words.
+    ``hot``: a key with no more passages than that is never cut again."""
     key = ["doc_id", "tk"]
     base = cut_by(prepared(docs, window), *key)
     first = cut(base.where("doc_id IS NOT NULL").groupBy("tk").agg(F.min("doc_id").alias("doc_id")))
     whole = base.join(first, key, "left_semi")  # of equal texts the first; the others lose all
     met = whole.select(*key, F.explode("anchors").alias("anchor")).distinct()  # in place: no exchange
-    by_doc = cut(met.join(shared(met, "anchor", hot), "anchor").groupBy(*key).agg(
-        F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("cool"),
-        F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot")))
-    found = whole.select(*key, "blob").join(by_doc, key)
-    hashes = window_hashes(found.where(F.size("hot") > 0), window)
-    both = hashes.select(*key, "hash").join(routes(hashes, max(1, shard_words // window)), "hash")
-    by_doc = cut(by_doc.join(both.groupBy(*key).agg(F.collect_list(F.struct("hash", "route")).alias("hashes")), key, "left"))
-    found = whole.select(*key, "blob").join(by_doc, key)
-    contents = passages(found, window, True).groupBy("anchor", "digest").agg(
-        F.min("doc_id").alias("first_doc"), F.first("content").alias("content"))
-    decisions = cut(decide(contents, window, shard_words))
-    occurrences = passages(found, window, False).select(*key, "anchor", "digest", "start", "n")
-    spans = (occurrences.join(decisions, ["anchor", "digest"])
+    shared = met.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    by_doc = cut(met.join(shared, "anchor").groupBy(*key).agg(F.collect_list("anchor").alias("keys")))
+    occurrences, contents = [], []
+    for level in range(LEVELS + 1):
+        found = cut(passages(whole.select(*key, "blob").join(by_doc, key), window, level))
+        keys = cut(weighed(found, max(1, shard_words // window), hot))
+        if level == LEVELS:  # a window's own hash: nothing is left to cut
+            keys = keys.withColumn("crowded", F.lit(False))
+        fine = found.join(keys.where(~F.col("crowded")), "anchor", "left_semi")
+        occurrences.append(fine)
+        contents.append(contents_of(whole, fine, window))
+        if keys.where("crowded").isEmpty():
+            break
+        by_doc = cut(found.join(keys.where("crowded"), "anchor", "left_semi").groupBy(*key).agg(F.collect_set("anchor").alias("keys")))
+    decisions = cut(decide(reduce(DataFrame.unionByName, contents), window, shard_words))
+    spans = (reduce(DataFrame.unionByName, occurrences).join(decisions, ["anchor", "digest"])
              .select(*key, F.when(F.col("doc_id") > F.col("first_doc"), F.array("start", F.col("start") + F.col("n")))
                      .otherwise(F.transform("hits", lambda x: x + F.col("start"))).alias("span"))
              .where(F.size("span") > 0).groupBy(*key).agg(F.collect_set("span").alias("spans")))
