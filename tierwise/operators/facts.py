@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.functions.dates import date_sk
+from tierwise.operators.skew import left_join
 
 FACT_COLS = ["order_id", "line_no", "customer_sk", "product_sk", "channel_sk", "date_sk",
              "customer_id", "product_id", "channel", "order_date", "quantity", "unit_price",
@@ -13,21 +14,24 @@ FACT_COLS = ["order_id", "line_no", "customer_sk", "product_sk", "channel_sk", "
 
 
 def fact_sales(silver_sales: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_channel: DataFrame, extra_cols: list[str] | None = None) -> DataFrame:
+               dim_channel: DataFrame, extra_cols: list[str] | None = None, heavy: bool = False) -> DataFrame:
     """LEFT joins on the natural keys keep every order line (orphans get NULL
     keys and a NULL ``gross_profit``). Join strategy is left to Spark: the
     channel dimension is tiny and is broadcast by size; customer and product
-    dimensions grow with the data and are shuffle-joined when large.
+    dimensions grow with the data and are shuffle-joined when large. ``heavy``: lines of
+    customers and products that hold many are dealt over many tasks (the lines are
+    read twice more, one column each, so they should be a table).
 
     The reference also left-joins the date dimension on ``date_sk``; that join
     adds no column and cannot change the row count (the date dimension is
     unique on ``date_sk``), so it is not issued.
     """
     lines = silver_sales.withColumn("date_sk", date_sk("order_date"))
-    wide = (lines
-            .join(dim_customer.select("customer_id", "customer_sk"), "customer_id", "left")
-            .join(dim_product.select("product_id", "product_sk", "unit_cost"), "product_id", "left")
-            .join(dim_channel.select("channel", "channel_sk"), "channel", "left"))
+    wide = lines
+    for key, dim in (("customer_id", dim_customer.select("customer_id", "customer_sk")),
+                     ("product_id", dim_product.select("product_id", "product_sk", "unit_cost"))):
+        wide = left_join(wide, dim, key, counted=silver_sales) if heavy else wide.join(dim, key, "left")
+    wide = wide.join(dim_channel.select("channel", "channel_sk"), "channel", "left")
     gross_profit = (F.col("amount") - F.col("quantity") * F.col("unit_cost")).alias("gross_profit")
     present = set(wide.columns) | {"gross_profit"}
     cols = [gross_profit if c == "gross_profit" else F.col(c) for c in FACT_COLS if c in present]

@@ -273,7 +273,7 @@ class Pipeline:
 
     def _facts(self, silver: DataFrame) -> DataFrame:
         fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
-                             self.table("dim_channel"), extra_cols=["_silver_at"])
+                             self.table("dim_channel"), extra_cols=["_silver_at"], heavy=True)
         if self.history:
             held = self.versions().read().select("customer_id", F.col("version_key").alias("customer_version"), "valid_from", "valid_to")
             fact = hs.as_of(fact, held, "customer_id", "order_date").drop("valid_from", "valid_to")
