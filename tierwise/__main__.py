@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--reload-days", action="store_true",
                      help="write only the fact folders that changed; the KPI view reads sums per folder")
     run.add_argument("--history", action="store_true", help="keep every customer version, and its key in the fact")
+    run.add_argument("--heavy-keys", action="store_true", help="deal lines of heavy customers and products over tasks")
     run.add_argument("--fresh-since", metavar="DAY", help="fail if the newest order is older")
     run.add_argument("--max-age-days", type=int, help="fail if the newest order is older")
     run.add_argument("--fail-on-error", action="store_true")
@@ -57,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     p = pl.Pipeline(spark, src, database=args.database,
                     calendar=tuple(args.calendar) if args.calendar else None,
                     fact_grain="month" if args.month_folders else "day",
-                    reload="days" if args.reload_days else "full", history=args.history)
+                    reload="days" if args.reload_days else "full", history=args.history,
+                    heavy_keys=args.heavy_keys)
     results = p.run(args.fail_on_error, args.fresh_since, args.max_age_days)
     results.orderBy("status", "check").show(50, truncate=False)
     p.health().show(50, truncate=False)

@@ -105,13 +105,15 @@ def _concurrently(*steps: Callable[[], None]) -> None:
 class Pipeline:
     def __init__(self, spark: SparkSession, sources: Sources, database: str = "tierwise",
                  calendar: tuple[str, str] | None = None, fact_grain: str = "day",
-                 reload: str = "full", history: bool = False):
+                 reload: str = "full", history: bool = False, heavy_keys: bool = False):
         """``fact_grain``: folders of ``fact_orders`` -- ``day`` (``order_date``, as the
         reference) or, on request, ``month`` (``order_month``). It never depends on the
         data. ``reload``: ``full`` writes the whole fact, ``days`` only the folders whose
         lines, or the dimension rows these use, differ from the last run; the KPI view then
         reads sums per folder that are renewed with them. ``history``: keep every version of a
-        customer, and the one that held on the order's day in the fact."""
+        customer, and the one that held on the order's day in the fact. ``heavy_keys``: deal the
+        lines of heavy customers and products over tasks by a sketch of them, where the session's
+        adaptive skew join is not to be relied on."""
         if fact_grain not in ("day", "month"):
             raise ValueError(f"fact_grain must be day or month: {fact_grain}")
         if reload not in ("full", "days"):
@@ -119,6 +121,7 @@ class Pipeline:
         self.fact_grain = fact_grain
         self.reload = reload
         self.history = history
+        self.heavy_keys = heavy_keys
         self.reloaded: list | None = None  # folders that the last gold step wrote; None: all
         self.spark = spark
         self.src = sources
@@ -273,7 +276,7 @@ class Pipeline:
 
     def _facts(self, silver: DataFrame) -> DataFrame:
         fact = fc.fact_sales(silver, self.table("dim_customer"), self.table("dim_product"),
-                             self.table("dim_channel"), extra_cols=["_silver_at"], heavy=True)
+                             self.table("dim_channel"), extra_cols=["_silver_at"], heavy=self.heavy_keys)
         if self.history:
             held = self.versions().read().select("customer_id", F.col("version_key").alias("customer_version"), "valid_from", "valid_to")
             fact = hs.as_of(fact, held, "customer_id", "order_date").drop("valid_from", "valid_to")
