@@ -486,6 +486,22 @@ def test_chat_format(spark):
     assert chat_format.read_back(chat_format.format_turns(df.limit(0))).count() == 0
 
 
+def test_chat_turns_are_written_into_every_example(spark):
+    """Each reply has an example with all turns before it, itself last and alone trainable."""
+    df = spark.createDataFrame(TURNS + [(4, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(40)],
+                               "conv_id bigint, turn bigint, role string, text string")
+    rows = chat_format.format_turns(df).collect()
+    held = sorted((r["example"], r["seq"]) for r in rows if r["conv_id"] == 4)
+    assert held == [(k, i) for k in range(20) for i in range(2 * k + 2)]
+    assert all(r["trainable"] == (r["seq"] == 2 * r["example"] + 1) for r in rows if r["conv_id"] == 4)
+    assert sorted((r["example"], r["seq"]) for r in rows if r["conv_id"] == 1 and r["example"] is None) == [(None, 5)]
+    got = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(df)).collect()}
+    for conv in {r["conv_id"] for r in rows}:
+        here = [r for r in rows if r["conv_id"] == conv]
+        assert got[conv]["formatted_chars"] == sum(len(r["segment"]) for r in here if r["example"] is not None)
+        assert got[conv]["n_examples"] == len({r["example"] for r in here} - {None})
+
+
 @pytest.mark.parametrize("role", ["user", "assistant", "system", "", "tool", "a]b\\", "[ROLE x]"])
 def test_chat_segments_parse(role):
     r = random.Random(6)
