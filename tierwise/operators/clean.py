@@ -108,11 +108,12 @@ def split(labelled: DataFrame, issue_col: str = ISSUE) -> tuple[DataFrame, DataF
 
 
 def _sort_fields(df: DataFrame, tie_break: list[str], desc: set[str]) -> list[Column]:
+    """Ascending columns stand for themselves, so the row need not hold them again."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     fields = []
     for i, c in enumerate(tie_break):
         if c not in desc:
-            fields.append(F.col(c).alias(f"_o{i}"))
+            fields.append(F.col(c))
             continue
         t = types[c]
         if isinstance(t, T.DateType):
@@ -141,10 +142,11 @@ def dedup(df: DataFrame, keys: list[str], tie_break: list[str] | None = None,
     setting is needed for that. The survivor is fully determined (SURVEY trap 1);
     ``NULL`` keys form their own group.
     """
-    tie_break = list(tie_break or [])
+    tie_break = [c for c in dict.fromkeys(tie_break or []) if c not in keys]  # a key is one value in its group
+    desc = set(desc or [])
     payload = [c for c in df.columns if c not in keys]
-    packed = F.struct(*_sort_fields(df, tie_break, set(desc or [])),
-                      *[F.col(c) for c in payload])
+    packed = F.struct(*_sort_fields(df, tie_break, desc),
+                      *[F.col(c) for c in payload if c in desc or c not in tie_break])
     aggs = [F.min(packed).alias("_w")]
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))

@@ -14,6 +14,12 @@ REFERENCE_CALENDAR = ("2023-01-01", "2025-12-31")
 CUSTOMER_COLS = ["customer_id", "name", "email", "region", "segment", "country_code", "updated_at"]
 PRODUCT_COLS = ["product_id", "name", "category", "brand", "unit_cost"]
 
+# The attributes by which the KPI view groups, and the column that stands for them.
+DATE_GROUP = ["year", "quarter", "month", "month_name", "day_type"]
+PRODUCT_GROUP = ["category", "brand"]
+CUSTOMER_GROUP = ["region", "segment", "country_code"]
+GROUP = "_group"
+
 
 def date_spine_between(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per day, ``start`` .. ``end`` inclusive (a fixed calendar)."""
@@ -44,6 +50,19 @@ def dim_product(silver_products: DataFrame) -> DataFrame:
     return with_dense_key(silver_products.select(*PRODUCT_COLS), ["product_id"], "product_sk")
 
 
+def groups(dim: DataFrame, sk: str, cols: list[str]) -> DataFrame:
+    """The combinations of ``cols``, each with the smallest surrogate key that has it."""
+    return dim.groupBy(*cols).agg(F.min(sk).alias(sk + GROUP))
+
+
+def with_group(dim: DataFrame, sk: str, cols: list[str]) -> DataFrame:
+    """``dim`` with ``<sk>_group``: rows that agree in ``cols`` get one surrogate key, so what
+    is grouped by ``cols`` can be moved and grouped by one number instead."""
+    g = groups(dim, sk, cols).select(*[F.col(c).alias(f"_g_{c}") for c in cols], sk + GROUP)
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in cols]
+    return dim.join(g, same).select(*dim.columns, sk + GROUP)
+
+
 def dim_from_values(df: DataFrame, col: str, sk: str) -> DataFrame:
     """Dimension of the distinct values of one fact column (``dim_channel``).
 
