@@ -123,3 +123,13 @@ def test_group_key_stands_for_equal_attributes(spark):
                                 "product_sk bigint, category string, brand string")
     got = {r.product_sk: r.product_sk_group for r in dm.with_group(dim, "product_sk", ["category", "brand"]).collect()}
     assert got == {5: 2, 2: 2, 3: 3, 4: 4, 9: 4}
+
+
+def test_checks_cut_nothing_and_health_cuts_what_it_reads(spark):
+    import __spark_entry__ as entry
+    from conftest import SMOKE_DIR
+
+    checks = entry.queries()["checks_summary"](spark, SMOKE_DIR)
+    assert joins_and_cuts(checks)[1] == 0
+    health = entry.queries()["health_counts"](spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in health.splitlines() if "RDD" in line and ("unit_price" in line or "ship_date" in line)]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.money import cents, from_cents
 from tierwise.operators import checks as ck
+from tierwise.operators import dims as dm
 from tierwise.operators import kpis as kp
 from tierwise.operators import silver as sv
 from tierwise.operators.clean import ISSUE
@@ -53,19 +54,14 @@ class Frames:
         self.max_age_days = max_age_days
 
 
-def registry_frames(spark: SparkSession, d: str, share_silver: bool = False) -> Frames:
+def registry_frames(spark: SparkSession, d: str) -> Frames:
     """Frames over the registry's plans. Orphan checks use the dirty-customer and
-    dirty-product variants so that they bite. ``share_silver``: several checks read
-    silver, so the columns they read are computed once, in the shared checkpoint folder."""
+    dirty-product variants so that they bite. Several checks read silver: they read one
+    exchange of its dedup, and nothing is computed before the checks run."""
 
     @functools.cache
     def silver() -> DataFrame:
-        rows = rg.silver_sales(spark, d)
-        if not share_silver:
-            return rows
-        checkpoint_dir(spark)
-        used = [c for c in rows.columns if c in {*rg.SALES.keys, *EXPECTED_SILVER_COLUMNS}]
-        return rows.select(*used).checkpoint(eager=True)
+        return rg.Gold(spark, d).silver_sales
 
     def lines_with_profit() -> DataFrame:
         cost = rg.silver_products(spark, d).select("product_id", "unit_cost")
@@ -84,9 +80,9 @@ def registry_frames(spark: SparkSession, d: str, share_silver: bool = False) ->
 def first_of_key(rows: DataFrame, keys: list[str], tie_break: list[str]) -> DataFrame:
     """Cents of the first valid bronze line per key: the reconciliation's own way to what
     silver must hold (an aggregate of one value, not silver's dedup)."""
-    order = F.struct(*[F.col(c) for c in tie_break if c in rows.columns])
-    return rows.where(_ok()).groupBy(F.struct(*keys)).agg(
-        F.min_by(F.struct(cents("amount").alias("c")), order).alias("w")).select("w.c")
+    order = [c for c in tie_break if c in rows.columns]
+    first = F.min(F.struct(*order, *[c for c in ["amount"] if c not in order])).alias("w")
+    return rows.where(_ok()).groupBy(F.struct(*keys)).agg(first).select(cents("w.amount").alias("c"))
 
 
 def _table_builders(fr: Frames) -> dict[str, Callable[[], tuple]]:
@@ -211,7 +207,7 @@ def _refs_of(checks: list[ck.Check]) -> dict[str, set[str]]:
 
 
 def run_checks(spark: SparkSession, d: str, keys: list[str] | None = None) -> DataFrame:
-    return run_suite(registry_frames(spark, d, share_silver=keys is None), keys)
+    return run_suite(registry_frames(spark, d), keys)
 
 
 def run_suite(frames: Frames, keys: list[str] | None = None) -> DataFrame:
@@ -244,21 +240,28 @@ def reconcile_detail(spark: SparkSession, d: str) -> DataFrame:
 
 def health_counts(spark: SparkSession, d: str) -> DataFrame:
     """Actual vs expected rows per table, the KPI view, and an overall verdict (H1-H3)."""
-    g = rg.Gold(spark, d)
-    # Layers are tables in production; here silver and the dimensions are cut once.
+    g = rg.Gold(spark, d, of_silver=True)
+    # Layers are tables in production; here silver, the dimensions and the fact are cut once,
+    # order lines to the columns that the counts read.
     checkpoint_dir(spark)
-    for name in ("silver_sales", "silver_customers", "silver_products", "dim_customer", "dim_product", "fact"):
-        setattr(g, name, getattr(g, name).checkpoint(eager=True))
+    read = {"silver_sales": ["order_id", "customer_id", "product_id", "order_date", "channel", "quantity", "amount"],
+            "silver_customers": None, "silver_products": None, "dim_customer": None, "dim_product": None,
+            "grouped_fact": ["order_id", "date_sk", "customer_sk", "product_sk", "channel_sk", "customer_sk_group",
+                             "product_sk_group", "quantity", "amount", "gross_profit"]}
+    for name, cols in read.items():
+        rows = getattr(g, name)
+        setattr(g, name, rows.select(*(cols or rows.columns)).checkpoint(eager=True))
     lab_c = sv.labelled(rg.CUSTOMERS, td.bronze_customers(spark, d))
     lab_p = sv.labelled(rg.PRODUCTS, td.bronze_products(spark, d))
     n = lambda: F.count(F.lit(1))
     # The view's groups counted another way: over the natural keys, without the fact.
-    lines = g.silver_sales.select("order_date", "customer_id", "product_id", "channel")
-    groups = (lines.join(g.silver_products.select("product_id", "category", "brand"), "product_id")
-              .join(g.silver_customers.select("customer_id", "region", "segment", "country_code"), "customer_id")
-              .where("channel IS NOT NULL")
+    products = dm.with_group(g.silver_products, "product_id", dm.PRODUCT_GROUP).select("product_id", "product_id_group")
+    customers = dm.with_group(g.silver_customers, "customer_id", dm.CUSTOMER_GROUP).select(
+        "customer_id", "customer_id_group")
+    groups = (g.silver_sales.where("channel IS NOT NULL")
               .select(F.trunc("order_date", "MM").alias("m"), F.dayofweek("order_date").isin(1, 7).alias("w"),
-                      "category", "brand", "region", "segment", "country_code", "channel"))
+                      "customer_id", "product_id", "channel")
+              .join(products, "product_id").join(customers, "customer_id").drop("product_id", "customer_id"))
     m = ck.MetricSet()
     m.add("src_lineitem", td.table(spark, d, "lineitem"), rows=n())
     m.add("src_customer", td.table(spark, d, "customer"), rows=n())
@@ -279,7 +282,7 @@ def health_counts(spark: SparkSession, d: str) -> DataFrame:
     m.add("dim_customer", g.dim_customer, rows=n())
     m.add("dim_product", g.dim_product, rows=n())
     m.add("dim_channel", g.dim_channel, rows=n())
-    m.add("fact_sales", g.fact, rows=n())
+    m.add("fact_sales", g.grouped_fact, rows=n())
     m.add("kpi_star", kp.kpi_star(g.star()), rows=n())
     m.add("star_rows", groups, groups=F.count_distinct(F.struct("*")))
     expectations = [
