@@ -16,25 +16,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.functions.money import avg_cents, cents, from_cents, pct_tenths
+from tierwise.operators import dims as dm
 
-STAR_GROUPS = ["year", "quarter", "month", "month_name", "day_type",
-               "category", "brand", "region", "segment", "country_code", "channel"]
+STAR_GROUPS = [*dm.DATE_GROUP, *dm.PRODUCT_GROUP, *dm.CUSTOMER_GROUP, "channel"]
 
 
 def star(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
          dim_customer: DataFrame, dim_channel: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """The view's FROM clause: fact inner-joined to the four dimensions on their
-    surrogate keys, reduced first to one row per order and key combination (and ``extra``)."""
-    keys = ["date_sk", "product_sk", "customer_sk", "channel_sk", *(extra or [])]
-    f = fact.groupBy("order_id", *keys).agg(
-        F.sum("quantity").alias("quantity"), F.sum(cents("amount")).alias("_rev"),
-        F.sum(cents("gross_profit")).alias("_gp"))
-    return (f.join(dim_date.select("date_sk", "year", "quarter", "month", "month_name", "day_type"),
-                   "date_sk")
-             .join(dim_product.select("product_sk", "category", "brand"), "product_sk")
-             .join(dim_customer.select("customer_sk", "region", "segment", "country_code"),
-                   "customer_sk")
-             .join(dim_channel.select("channel_sk", "channel"), "channel_sk"))
+    """The view's groups (and ``extra``) and what adds up of its measures: orders (each in one
+    group), units, cents. Inner joins on surrogate keys: a line without one of the four is in
+    no group.
+
+    Lines are counted under the surrogate key that stands for all with the view's attributes
+    (``dims.with_group``; taken from the fact if its lookup brought it). So no exchange of
+    lines carries names, which are joined to the sums of the groups.
+    """
+    dims = [(dim_date, "date_sk", dm.DATE_GROUP), (dim_product, "product_sk", dm.PRODUCT_GROUP),
+            (dim_customer, "customer_sk", dm.CUSTOMER_GROUP)]
+    lines = fact
+    for dim, sk, cols in dims:
+        if sk + dm.GROUP not in fact.columns:
+            lines = lines.join(dm.with_group(dim, sk, cols).select(sk, sk + dm.GROUP), sk)
+    keys = [*[sk + dm.GROUP for _, sk, _ in dims], "channel_sk"]
+    rows = lines.dropna(subset=keys).select(
+        *(extra or []), *keys, "order_id", "quantity", cents("amount").alias("_rev"), cents("gross_profit").alias("_gp"))
+    sums = _by_order_then_group(rows, [*(extra or []), *keys])
+    for dim, sk, cols in dims:
+        sums = sums.join(dm.groups(dim, sk, cols), sk + dm.GROUP)
+    sums = sums.join(dim_channel.select("channel_sk", "channel"), "channel_sk")
+    return sums.select(*(extra or []), *STAR_GROUPS, "order_count", "units_sold", "_rev", "_gp")
 
 
 def _by_order_then_group(rows: DataFrame, groups: list[str]) -> DataFrame:
@@ -56,19 +66,14 @@ def _by_order_then_group(rows: DataFrame, groups: list[str]) -> DataFrame:
         total("_rev"), total("_gp"), F.sum("_lines").alias("_lines"))
 
 
-def group_sums(star_rows: DataFrame, groups: list[str]) -> DataFrame:
-    """What adds up of the view's measures: orders (each in one group), units, cents."""
-    return _by_order_then_group(star_rows, groups).drop("_lines")
-
-
 def total(col: str):
     """Sum of bigint cents as a decimal of its own range."""
     return F.sum(F.col(col).cast("decimal(28,0)")).alias(col)
 
 
-def kpi_star(star_rows: DataFrame) -> DataFrame:
-    g = _by_order_then_group(star_rows, STAR_GROUPS)
-    return g.select(*STAR_GROUPS, "order_count", "units_sold",
+def kpi_star(sums: DataFrame) -> DataFrame:
+    """The view, of ``star``'s sums."""
+    return sums.select(*STAR_GROUPS, "order_count", "units_sold",
                     from_cents("_rev").alias("revenue"),
                     avg_cents("_rev", "order_count").alias("avg_order_value"),
                     from_cents("_gp").alias("gross_profit"),
