@@ -307,6 +307,16 @@ def test_every_prefix_is_counted_and_the_cut_is_the_longest(spark):
         assert x["cut_bytes"] == len(t[:max(k for k in range(len(t) + 1) if count(t[:k]) <= 10)].encode())
 
 
+def test_totals_count_no_prefixes_but_those_at_the_cut():
+    counter = prefix_tokens.PrefixCounter(WORD_BPE)
+    text = "It's ʼn \x1c na\u00efve tokenization'll <|endoftext|>x 123 " + prose(30, 8)
+    n = counter.total(text)
+    assert not counter.packed and n == counter.running(text)[-1]
+    counter.packed.clear()
+    counter.fit(text, n // 2)
+    assert len(counter.packed) <= 1
+
+
 def test_stored_counts_answer_budgets_without_the_text(docs, empty):
     from tokenizers import Tokenizer
 

@@ -4,9 +4,9 @@ For a piece of text that the tokenizer never splits further, dynamic programming
 its bytes finds the last token of the encoding of every prefix: token t may follow the
 encoding of the prefix before it exactly if that encoding's last token and t would not
 be merged across their border ("compatible"). One pass gives the exact token count of
-every prefix. Every distinct word keeps the counts of all its prefixes; a text adds the
-sums over its words to them, which are looked up first: the words up to a place or a budget
-by their sums, then the place within one word. ``prefix_counts`` writes the counts of all
+every prefix. A text adds the sums over its words, of which every distinct one keeps its count: the
+words up to a place or a budget are found by their sums, then the place within one word by the
+counts of that word's prefixes. ``prefix_counts`` writes the counts of all
 prefixes of every text, packed; ``stored_at`` and ``stored_fit`` answer truncation and budget
 questions from these without text or tokenizer.
 
@@ -112,9 +112,10 @@ class PrefixCounter:
         self.memo_size = memo
         self.fits: list[dict[int, bool]] = [{} for _ in self.halves]  # by the second token, then the first
         self.n_fits = 0
-        self.words: dict[str, tuple[int, bytes]] = {}
-        self.older: dict[str, tuple[int, bytes]] = {}
+        self.words: dict[str, int] = {}
+        self.older: dict[str, int] = {}
         self.parts: dict[str, list[int]] = {}
+        self.packed: dict[str, bytes] = {}
         self.longest = max(map(len, self.rank))
 
     def compatible(self, a: int, b: int) -> bool:
@@ -178,6 +179,36 @@ class PrefixCounter:
             ends.append(n)
         return ends
 
+    def piece_total(self, piece: str) -> int:
+        """Tokens of ``piece`` (normal text): the DP over its bytes, asked for a word's end after the
+        last one only."""
+        piece = piece if piece.isascii() and piece.isprintable() else self.raw(piece)
+        if piece + END in self.rank:  # the longest token that ends there, with nothing before it
+            return 1
+        fits, compatible, goto, inside = self.fits, self.compatible, self.next, self.inside
+        size_of = len(piece)
+        tail, count = [-1] * (size_of + 1), [0] * (size_of + 1)
+        state = 0
+        for i, c in enumerate(piece, 1):
+            to = goto[state].get(c, -1)
+            if to < 0:
+                back = state
+                while to < 0 and back:
+                    back = self.fail[back]
+                    to = goto[back].get(c, -1)
+                goto[state][c] = to = max(to, 0)
+            state = to
+            for size, t in inside[state]:
+                j = i - size
+                if j == 0 or (ok if (ok := fits[t].get(tail[j])) is not None else compatible(tail[j], t)):
+                    tail[i], count[i] = t, count[j] + 1
+                    break
+        for size, t in self.final[state]:
+            j = size_of - size
+            if j == 0 or (ok if (ok := fits[t].get(tail[j])) is not None else compatible(tail[j], t)):
+                return count[j] + 1
+        return 0
+
     def prefix_counts(self, piece: str) -> list[int]:
         """Tokens of every prefix of ``piece`` (in the byte alphabet), each as a word of
         its own: item i is the count of piece[:i]."""
@@ -279,15 +310,33 @@ class PrefixCounter:
         n = out[-1] if out else 0
         return out + [n + c for c in self.plain_counts(word[at:])]
 
-    def word_counts(self, word: str) -> tuple[int, bytes]:
-        """Tokens of a word, and those of each of its prefixes, packed."""
+    def word_counts(self, word: str) -> bytes:
+        """Tokens of each prefix of a word, packed."""
+        known = self.packed.get(word)
+        if known is None:
+            out = self.special_counts(word) if self.special and "<|" in word else self.plain_counts(word)
+            known = array("I", out).tobytes()
+            if len(word) <= 64:
+                if len(self.packed) >= self.memo_size:
+                    self.packed.clear()
+                self.packed[word] = known
+        return known
+
+    def word_total(self, word: str) -> int:
+        """Tokens of a word."""
         known = self.words.get(word)
         if known is not None:
             return known
         known = self.older.get(word)
         if known is None:
-            out = self.special_counts(word) if self.special and "<|" in word else self.plain_counts(word)
-            known = out[-1], array("I", out).tobytes()
+            if self.special and "<|" in word:
+                known = self.special_counts(word)[-1]
+            else:
+                text = word.lower() if word.isascii() else self.normal(word)
+                if text.isalpha() and text.isascii():  # one piece, as most words are
+                    known = self.piece_total(text)
+                else:
+                    known = sum([self.piece_total(m) for m in self.pieces.findall(text)])
         if len(word) <= 64:
             if len(self.words) >= self.memo_size:
                 self.words, self.older = {}, self.words
@@ -295,24 +344,23 @@ class PrefixCounter:
         return known
 
     def total(self, text: str) -> int:
-        """Tokens of a text: the last counts of its words (no token crosses white space)."""
-        known = self.words.get
-        return sum([(known(w) or self.word_counts(w))[0] for w in WORDS.findall(text)])
+        """Tokens of a text: those of its words (no token crosses white space)."""
+        known, slow = self.words.get, self.word_total
+        return sum([n if (n := known(w)) is not None else slow(w) for w in WORDS.findall(text)])
 
-    def sums(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Begin and end of the words, tokens up to the end of each, their packed counts."""
-        begin, end, counts, packed = [], [], [], []
+    def sums(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of the words, tokens up to the end of each."""
+        begin, end, counts = [], [], []
         for m in WORDS.finditer(text):
-            n, own = self.word_counts(m[0])
             begin.append(m.start())
             end.append(m.end())
-            counts.append(n)
-            packed.append(own)
-        return np.array(begin, np.int64), np.array(end, np.int64), np.cumsum(counts, dtype=np.int64), packed
+            counts.append(self.word_total(m[0]))
+        return np.array(begin, np.int64), np.array(end, np.int64), np.cumsum(counts, dtype=np.int64)
 
     def running(self, text: str) -> np.ndarray:
         """The token count of every prefix of 1, 2, ... code points."""
-        begin, end, sums, packed = self.sums(text)
+        begin, end, sums = self.sums(text)
+        packed = [self.word_counts(text[a:b]) for a, b in zip(begin, end)]
         before = np.r_[0, sums]
         out = np.repeat(before, np.diff(np.r_[0, begin, len(text)]))
         inside = np.concatenate([np.arange(a, b) for a, b in zip(begin, end)] or [np.empty(0, np.int64)])
@@ -321,24 +369,24 @@ class PrefixCounter:
 
     def at(self, text: str, chars: int) -> int:
         """Exact token count of the first ``chars`` code points."""
-        begin, end, sums, packed = self.sums(text)
+        begin, end, sums = self.sums(text)
         i = int(np.searchsorted(begin, chars))  # words that begin before
         if not i:
             return 0
         whole = int(sums[i - 2]) if i > 1 else 0
-        own = np.frombuffer(packed[i - 1], COUNT)
+        own = np.frombuffer(self.word_counts(text[begin[i - 1]:end[i - 1]]), COUNT)
         return whole + int(own[min(chars - begin[i - 1], len(own)) - 1])
 
     def fit(self, text: str, budget: int) -> int:
         """UTF-8 bytes of the longest prefix (of whole code points) of at most ``budget`` tokens: the
         words whose sums are within it, then as much of the next word as is. One more
         character may need fewer tokens, so all counts of that word are looked at."""
-        begin, end, sums, packed = self.sums(text)
+        begin, end, sums = self.sums(text)
         i = int(np.searchsorted(sums, budget, "right"))  # words that end within it
         if i == len(sums):
             return len(text.encode())
         left = budget - (int(sums[i - 1]) if i else 0)
-        within = np.flatnonzero(np.frombuffer(packed[i], COUNT) <= left)
+        within = np.flatnonzero(np.frombuffer(self.word_counts(text[begin[i]:end[i]]), COUNT) <= left)
         upto = int(begin[i]) + (int(within[-1]) + 1 if len(within) else 0)
         return len(text[:upto].encode())
 
